@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 PLAN_MODULES = [
     "cartwheel.plans.analytics",
+    "cartwheel.plans.orders_export",
+    "cartwheel.plans.constraints",
 ]
 
 
