@@ -11,6 +11,7 @@ PLAN_MODULES = [
     "cartwheel.plans.analytics",
     "cartwheel.plans.orders_export",
     "cartwheel.plans.constraints",
+    "cartwheel.plans.marketplace",
 ]
 
 

@@ -23,13 +23,20 @@ def _key_path(spark: SparkSession, key: str) -> str:
     return scratch_path(spark, "tables", digest, unique=False)
 
 
-def materialized(spark: SparkSession, key: str, build) -> DataFrame:
-    """Return the table for ``key``; ``build()`` runs and is written only the first time."""
+def materialized(spark: SparkSession, key: str, build, fmt: str = "parquet", schema=None) -> DataFrame:
+    """Return the table for ``key``; ``build()`` runs and is written only the first time.
+
+    ``fmt`` is the file format (``parquet``, or ``json`` for raw landed
+    records); ``schema`` is applied when reading back a schema-less format.
+    """
     app = spark.sparkContext.applicationId
     path = _WRITTEN.get((app, key))
     if path is None or not path_exists(spark, path + "/_SUCCESS"):
         path = _key_path(spark, key)
         if not path_exists(spark, path + "/_SUCCESS"):
-            build().write.mode("overwrite").parquet(path)
+            build().write.mode("overwrite").format(fmt).save(path)
         _WRITTEN[(app, key)] = path
-    return spark.read.parquet(path)
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path)
