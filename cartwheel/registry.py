@@ -12,6 +12,7 @@ PLAN_MODULES = [
     "cartwheel.plans.orders_export",
     "cartwheel.plans.constraints",
     "cartwheel.plans.marketplace",
+    "cartwheel.plans.clickstream",
 ]
 
 

@@ -29,11 +29,13 @@ def write_parquet(df: DataFrame, path: str) -> str:
 def write_partitioned(df: DataFrame, path: str, by: str, dynamic: bool = False) -> str:
     """K8: Parquet partitioned by ``by``.
 
-    Rows are clustered on the partition column first so each task writes few
-    files per directory. ``dynamic=True`` replaces only the partitions present
-    in ``df`` (re-running a few days); the default replaces the whole table.
+    A ``rebalance`` hint clusters rows on the partition column so each task
+    writes few files per directory, and lets AQE split a hot partition value
+    over several tasks (and merge small ones) instead of one task per value.
+    ``dynamic=True`` replaces only the partitions present in ``df`` (re-running
+    a few days); the default replaces the whole table.
     """
-    writer = df.repartition(by).write.mode("overwrite").partitionBy(by)
+    writer = df.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
