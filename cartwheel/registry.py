@@ -13,6 +13,7 @@ PLAN_MODULES = [
     "cartwheel.plans.constraints",
     "cartwheel.plans.marketplace",
     "cartwheel.plans.clickstream",
+    "cartwheel.plans.warehouse",
 ]
 
 
