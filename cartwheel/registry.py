@@ -14,6 +14,7 @@ PLAN_MODULES = [
     "cartwheel.plans.marketplace",
     "cartwheel.plans.clickstream",
     "cartwheel.plans.warehouse",
+    "cartwheel.plans.incremental",
 ]
 
 
