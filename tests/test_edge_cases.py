@@ -113,7 +113,7 @@ def test_clickstream_rules(spark):
     clean = clickstream.clean_clicks(spark.createDataFrame(rows, CLICK_COLS), catalog)
     assert sorted(r["event_id"] for r in clean.collect()) == ["1", "2", "3", "4", "8"]
     sd = clickstream.session_days(clean)
-    sessions = {r["session_id"]: r for r in clickstream.sessions_from(sd).collect()}
+    sessions = {r["session_id"]: r for r in clickstream.sessions_from(clean).collect()}
     assert set(sessions) == {"s1", "s2"}
     s1 = sessions["s1"]
     assert s1["customer_id"] == "c1" and s1["device_type"] == "mobile"  # first non-null by time
