@@ -12,16 +12,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import hadoop_fs
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+# Below this input size a table is read as is; above it, a scan with fewer
+# partitions than the session's parallelism is spread (see ``spread``).
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
     if columns:
         df = df.select(*columns)
-    return with_session_timestamps(df)
+    return spread(with_session_timestamps(df), path)
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """Use every core when a sizeable table arrives as too few scan splits.
+
+    A Parquet row group is the smallest scan split, so a single-row-group file
+    is read by one task however large it is. When the scan has fewer
+    partitions than ``defaultParallelism`` and the input is over
+    ``SPREAD_MIN_BYTES``, the rows are spread round-robin before any per-row
+    work. On a cluster reading many files the scan already has more splits
+    than cores and the frame is returned unchanged (no extra shuffle).
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    fs, jpath = hadoop_fs(spark, path)
+    if fs.getContentSummary(jpath).getLength() < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(target)
 
 
 def with_session_timestamps(df: DataFrame) -> DataFrame:
