@@ -20,6 +20,7 @@ from ..functions.dates import parse_iso_utc
 from ..functions.numeric import integral_long
 from ..operators import cleaning as cl
 from ..operators import upsert as up
+from ..operators.quality import apply_defaults
 from ..oracle import with_fixtures
 from ..session import scratch_path
 from ..sinks.materialize import materialized
@@ -142,9 +143,8 @@ def upsert_marketplace(spark: SparkSession, sf_dir: str) -> DataFrame:
     source_order_id and carry the second load time."""
     root = scratch_path(spark, "marketplace_orders")
     for where, at in ((F.col("page") % 3 != 0, RUN1_AT), (F.col("page") % 3 != 1, RUN2_AT)):
-        batch = clean_frame(_flagged(spark, sf_dir, where)).withColumn(
-            "loaded_at", F.lit(at).cast("timestamp")
-        )
+        # loaded_at takes its default (this load's time) at write
+        batch = apply_defaults(clean_frame(_flagged(spark, sf_dir, where)), {"loaded_at": F.lit(at).cast("timestamp")})
         up.upsert(spark, root, batch, "source_order_id")
     return up.read_current(spark, root)
 

@@ -51,6 +51,13 @@ def clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_orders_frame(fx.raw_orders_export(spark, sf_dir))
 
 
+def clean_orders_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B12 from a CSV file: the raw export written as CSV (K1), read back with
+    every column as text (S1/S2), then cleaned."""
+    path = writers.write_csv(fx.raw_orders_export(spark, sf_dir), scratch_path(spark, "raw_orders_csv"))
+    return clean_orders_frame(files.read_csv_text(spark, path, EXPORT_COLUMNS))
+
+
 def clean_orders_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6 in one pass: distinct rows carry their multiplicity, the validity
     test runs once per distinct row, both counts come from one aggregate."""
@@ -150,6 +157,7 @@ _PROFILE_COLUMNS_SQL = "\nUNION ALL\n".join(
 
 SQL = {
     "clean_orders": _CLEAN_SQL,
+    "clean_orders_csv": _CLEAN_SQL,
     "clean_orders_summary": _SUMMARY_SQL,
     "profile_shape": "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(7 AS BIGINT) AS n_columns FROM raw_orders_export",
     "profile_columns": _PROFILE_COLUMNS_SQL,
@@ -163,6 +171,7 @@ SELECT status, CAST(COUNT(*) AS BIGINT) AS n FROM raw_orders_export GROUP BY sta
 
 QUERIES = {
     "clean_orders": clean_orders,
+    "clean_orders_csv": clean_orders_csv,
     "clean_orders_summary": clean_orders_summary,
     "profile_shape": profile_shape,
     "profile_columns": profile_columns,

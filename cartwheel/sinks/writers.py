@@ -9,8 +9,16 @@ ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """K1: CSV with a header row, no index."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """K1: CSV with a header row, no index. Leading/trailing blanks are kept
+    (they are data: ' completed' is not a valid status), NULL is written as an
+    empty field and the empty string as ``""``, so both survive a read back."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
     return path
 
 
