@@ -147,19 +147,18 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     o = orders(spark, sf_dir).where(F.col("status") != "cancelled").select("order_id", "order_date")
     base = oi.join(o, "order_id").select("order_item_id", "order_id", "order_date")
-    first = base.select(
-        F.col("order_item_id").alias("return_id"),
+    # one pass: event 0 for every returned item, event 1 also for id % 40 = 0
+    events = F.when(F.col("order_item_id") % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    ev = base.select("*", F.explode(events).alias("_ev"))
+    return ev.select(
+        (F.col("order_item_id") + F.col("_ev")).alias("return_id"),
         "order_item_id",
-        (F.col("order_date") + F.make_dt_interval(days=(2 + F.col("order_id") % 20).cast("int"))).alias("return_date"),
-        _pick(F.col("order_item_id") % 5, RETURN_REASONS).alias("reason"),
+        (
+            F.col("order_date")
+            + F.make_dt_interval(days=(2 + 7 * F.col("_ev") + F.col("order_id") % 20).cast("int"))
+        ).alias("return_date"),
+        _pick((F.col("order_item_id") + F.col("_ev")) % 5, RETURN_REASONS).alias("reason"),
     )
-    second = base.where(F.col("order_item_id") % 40 == 0).select(
-        (F.col("order_item_id") + 1).alias("return_id"),
-        "order_item_id",
-        (F.col("order_date") + F.make_dt_interval(days=(9 + F.col("order_id") % 20).cast("int"))).alias("return_date"),
-        _pick((F.col("order_item_id") + 1) % 5, RETURN_REASONS).alias("reason"),
-    )
-    return first.unionByName(second)
 
 
 def raw_orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
