@@ -34,6 +34,7 @@ from ..operators import cleaning as cl
 from ..oracle import register, with_fixtures
 from ..session import scratch_path
 from ..sinks import writers
+from ..sources import files
 from ..sources import fixtures as fx
 
 # Fixed list of event types the job accepts (values as in the original job).
@@ -66,7 +67,8 @@ def clean_clicks(raw: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def clean_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_clicks(fx.raw_clickstream(spark, sf_dir), fx.click_catalog(spark, sf_dir))
+    catalog = files.key_set(fx.click_catalog(spark, sf_dir), "product_id")
+    return clean_clicks(fx.raw_clickstream(spark, sf_dir), catalog)
 
 
 def _first_non_null(value: str) -> F.Column:

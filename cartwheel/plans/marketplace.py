@@ -109,7 +109,7 @@ def _flagged(spark: SparkSession, sf_dir: str, pages_where=None) -> DataFrame:
     flat = page_flatten(spark, sf_dir)
     if pages_where is not None:
         flat = flat.where(pages_where)
-    return flag_records(flat, fx.products(spark, sf_dir))
+    return flag_records(flat, files.key_set(fx.products(spark, sf_dir), "product_id"))
 
 
 def clean_marketplace(spark: SparkSession, sf_dir: str) -> DataFrame:
