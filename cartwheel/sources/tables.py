@@ -43,11 +43,14 @@ def spread(df: DataFrame, path: str) -> DataFrame:
     than cores and the frame is returned unchanged (no extra shuffle).
     """
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    fs, jpath = hadoop_fs(spark, path)
-    if fs.getContentSummary(jpath).getLength() < SPREAD_MIN_BYTES:
+    try:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        fs, jpath = hadoop_fs(spark, path)
+        if fs.getContentSummary(jpath).getLength() < SPREAD_MIN_BYTES:
+            return df
+    except Exception:  # no JVM-side access (e.g. a remote session): read as is
         return df
     return df.repartition(target)
 
