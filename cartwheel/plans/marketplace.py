@@ -61,7 +61,11 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.flatten_pages(landed_pages(spark, sf_dir))
+    """Flat records in arrival order. The landed JSON is parsed once and kept
+    as a Parquet table, so later steps read only the columns they use."""
+    return materialized(
+        spark, f"marketplace_flat|{sf_dir}", lambda: files.flatten_pages(landed_pages(spark, sf_dir))
+    )
 
 
 def page_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +78,11 @@ def flag_records(flat: DataFrame, catalog: DataFrame) -> DataFrame:
     First arrival per id comes from a combining aggregate joined back, so a
     hot id is reduced map-side and its join partition can be split by AQE.
     """
-    first = flat.groupBy("marketplace_order_id").agg(F.min(F.struct("page", "pos")).alias("_first"))
+    # arrival as one order-preserving BIGINT (pos < 2^31), so the aggregate
+    # buffer is fixed-width and Spark can use hash aggregation
+    arrival = F.col("page") * F.lit(2147483648) + F.col("pos")
+    flat = flat.withColumn("_arrival", arrival)
+    first = flat.groupBy("marketplace_order_id").agg(F.min("_arrival").alias("_first"))
     cat = catalog.select(F.col("product_id").alias("_pid")).distinct().withColumn("_in_cat", F.lit(True))
     parsed = flat.join(first, "marketplace_order_id").select(
         "*",
@@ -84,7 +92,7 @@ def flag_records(flat: DataFrame, catalog: DataFrame) -> DataFrame:
     parsed = parsed.join(cat, "_pid", "left")
     reason = cl.first_failing_reason(
         [
-            ("duplicate", F.struct("page", "pos") != F.col("_first")),
+            ("duplicate", F.col("_arrival") != F.col("_first")),
             ("unknown_product", F.col("_in_cat").isNull()),
             ("bad_timestamp", F.col("_ts").isNull()),
             ("bad_quantity", F.coalesce(F.col("quantity"), F.lit(0)) <= 0),
