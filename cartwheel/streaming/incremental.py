@@ -76,11 +76,20 @@ def land(batch: DataFrame, landing_root: str, batch_id: str) -> DataFrame:
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str, ts_col: str) -> DataFrame:
-    """J10 + F9: first row per key within the batch, minus keys already loaded."""
+    """J10 + F9: first row per key within the batch, minus keys already loaded.
+
+    ``batch LEFT ANTI JOIN target`` could only build on the target side and
+    would shuffle the whole, ever-growing target every run. Instead the
+    target's key column is semi-joined to the batch's distinct keys (the
+    small side, which Spark broadcasts when its measured size allows), and
+    the batch is anti-joined to that small hit list.
+    """
     first = keep_first_by(batch, key, [ts_col, key])
     if target is None:
         return first
-    return first.join(target.select(key), key, "left_anti")
+    batch_keys = first.select(key).distinct()
+    already = target.select(key).join(batch_keys, key, "left_semi")
+    return first.join(already, key, "left_anti")
 
 
 def _read_target(spark: SparkSession, target_root: str) -> DataFrame | None:
