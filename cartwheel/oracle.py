@@ -22,6 +22,8 @@ _REASON = (
     "WHEN 3 THEN 'changed_mind' ELSE 'too_late' END"
 )
 
+_CHANNEL = "CASE o_orderkey % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile_app' ELSE 'marketplace' END"
+
 # name -> (sql, dependencies); order matters only for readability
 FIXTURE_SQL: dict[str, tuple[str, list[str]]] = {
     "customers": (
@@ -43,7 +45,7 @@ FIXTURE_SQL: dict[str, tuple[str, list[str]]] = {
     "sales_orders": (
         f"""SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
        {_STATUS} AS status,
-       CASE o_orderkey % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile_app' ELSE 'marketplace' END AS channel
+       {_CHANNEL} AS channel
   FROM orders""",
         [],
     ),
@@ -75,16 +77,16 @@ FIXTURE_SQL: dict[str, tuple[str, list[str]]] = {
     "return_base": (
         """SELECT i.order_item_id, i.order_id, o.order_date
   FROM order_items_flag i JOIN sales_orders o ON o.order_id = i.order_id
-  WHERE i.l_returnflag = 'R' AND i.order_item_id % 8 = 0 AND o.status <> 'cancelled'""",
+  WHERE i.l_returnflag = 'R' AND o.status <> 'cancelled'""",
         ["order_items_flag", "sales_orders"],
     ),
     "returns": (
-        f"""SELECT order_item_id AS return_id, order_item_id,
+        f"""SELECT order_item_id * 2 AS return_id, order_item_id,
        order_date + to_days(CAST(2 + order_id % 20 AS INTEGER)) AS return_date,
        {_REASON.format(x='order_item_id')} AS reason
   FROM return_base
 UNION ALL
-SELECT order_item_id + 1 AS return_id, order_item_id,
+SELECT order_item_id * 2 + 1 AS return_id, order_item_id,
        order_date + to_days(CAST(9 + order_id % 20 AS INTEGER)) AS return_date,
        {_REASON.format(x='(order_item_id + 1)')} AS reason
   FROM return_base WHERE order_item_id % 40 = 0""",
@@ -113,7 +115,7 @@ UNION ALL SELECT * FROM raw_orders_base WHERE CAST(order_row_id AS BIGINT) % 50
         ["raw_orders_base"],
     ),
     "mkt_first": (
-        """SELECT o_orderkey // 150 + 1 AS page, o_orderkey AS seq,
+        f"""SELECT o_orderkey // 150 + 1 AS page, o_orderkey AS seq,
        'MKT-' || CAST(o_orderkey AS VARCHAR) AS marketplace_order_id,
        'buyer' || CAST(o_custkey AS VARCHAR) || '@marketplace-example.com' AS customer_email,
        CASE WHEN o_orderkey % 40 = 2 THEN 'SKU-99999999' WHEN o_orderkey % 61 = 2 THEN 'SKU-x'
@@ -124,7 +126,7 @@ UNION ALL SELECT * FROM raw_orders_base WHERE CAST(order_row_id AS BIGINT) % 50
        CASE WHEN o_orderkey % 43 = 2 THEN 'not-a-date'
             ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS order_ts,
        CAST(CASE WHEN o_orderkey % 59 = 2 THEN 0.0 ELSE o_totalprice / 100 END AS DOUBLE) AS amount_usd
-  FROM orders WHERE o_orderkey % 3 = 2""",
+  FROM orders WHERE {_CHANNEL} = 'marketplace'""",
         [],
     ),
     "mkt_records": (

@@ -200,6 +200,39 @@ def _table_query(name: str):
     return q
 
 
+def dim_store_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D4 as a question: every store member with the number of orders placed
+    through its channel (0 when none). The per-channel count is a partial
+    aggregate over all orders (one row per channel leaves each map task), so
+    a channel holding most orders is reduced before the shuffle."""
+    t = build(spark, sf_dir)
+    per_channel = (
+        fx.orders(spark, sf_dir)
+        .groupBy(F.col("channel").alias("channel_code"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+    return t["dim_store"].join(per_channel, "channel_code", "left").select(
+        *t["dim_store"].columns, F.coalesce(F.col("orders"), F.lit(0)).cast("bigint").alias("orders")
+    )
+
+
+def dim_promotion_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 as a question: every promotion member (0 = none) with the number of
+    orders the deterministic pick assigns to it, counted over all orders."""
+    t = build(spark, sf_dir)
+    per_promo = (
+        fx.orders(spark, sf_dir)
+        .groupBy(promotion_bucket(F.col("order_id")).alias("promotion_key"))
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
+    dim = t["dim_promotion"]
+    return _money_out(
+        dim.join(per_promo, "promotion_key", "left").select(
+            *dim.columns, F.coalesce(F.col("orders"), F.lit(0)).cast("bigint").alias("orders")
+        )
+    )
+
+
 def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per warehouse table."""
     t = build(spark, sf_dir)
@@ -331,12 +364,15 @@ def star_questions_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------- type 2 and as-of join
 
 SCD_AS_OF = "1998-01-01"
+# The first load sees the customers who had signed up before this day; the
+# ones who signed up later arrive as new keys in the second snapshot.
+SCD_FIRST_LOAD = "1994-12-01"
 SCD_COLUMNS = ["customer_key", "customer_id", "email", "country", "city", "valid_from", "valid_to", "is_current"]
 
 
 def _customer_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = fx.customers(spark, sf_dir)
-    snap1 = c.where(F.col("customer_id") % 13 != 0)
+    snap1 = c.where(F.col("signup_date") < F.lit(SCD_FIRST_LOAD).cast("date"))
     k = F.col("customer_id")
     snap2 = c.select(
         "customer_id",
@@ -451,9 +487,14 @@ SQL = {
     "dim_customer": "SELECT * FROM wh_dim_customer",
     "dim_product": """SELECT product_id AS product_key, product_name, category, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(unit_cost AS DOUBLE) AS unit_cost, active FROM products""",
-    "dim_store": "SELECT * FROM wh_dim_store",
-    "dim_promotion": """SELECT promotion_key, promotion_code, promotion_name, CAST(discount_pct AS DOUBLE) AS discount_pct
-FROM wh_dim_promotion""",
+    "dim_store": """SELECT s.*, CAST(COALESCE(n.orders, 0) AS BIGINT) AS orders
+FROM wh_dim_store s LEFT JOIN (SELECT channel, COUNT(*) AS orders FROM sales_orders GROUP BY channel) n
+  ON n.channel = s.channel_code""",
+    "dim_promotion": f"""SELECT p.promotion_key, p.promotion_code, p.promotion_name,
+       CAST(p.discount_pct AS DOUBLE) AS discount_pct, CAST(COALESCE(n.orders, 0) AS BIGINT) AS orders
+FROM wh_dim_promotion p LEFT JOIN (
+    SELECT {_PROMO_SQL.format(h=_HASH_SQL)} AS promotion_key, COUNT(*) AS orders FROM sales_orders o GROUP BY 1) n
+  ON n.promotion_key = p.promotion_key""",
     "fact_sales": """SELECT sales_key, order_id, order_item_id, date_key, customer_key, product_key, store_key,
        promotion_key, order_status, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
        CAST(extended_price AS DOUBLE) AS extended_price, CAST(unit_cost AS DOUBLE) AS unit_cost,
@@ -514,7 +555,7 @@ GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
 
 register(
     "wh_scd2",
-    f"""WITH snap1 AS (SELECT * FROM customers WHERE customer_id % 13 <> 0),
+    f"""WITH snap1 AS (SELECT * FROM customers WHERE signup_date < DATE '{SCD_FIRST_LOAD}'),
 dim1 AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key, customer_id, email, country, city,
                 signup_date AS valid_from, CAST(NULL AS DATE) AS valid_to, 1 AS is_current FROM snap1),
 snap2 AS (SELECT customer_id,
@@ -549,6 +590,8 @@ FROM sales_orders o JOIN v ON v.customer_id = o.customer_id
 QUERIES = {name: _table_query(name) for name in TABLES}
 QUERIES.update(
     {
+        "dim_store": dim_store_query,
+        "dim_promotion": dim_promotion_query,
         "warehouse_counts": warehouse_counts,
         "star_category_channel": star_category_channel,
         "star_margin_by_month": star_margin_by_month,

@@ -87,10 +87,15 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("order_date"),
         order_status(F.col("o_orderstatus"), F.col("o_orderkey")).alias("status"),
-        _pick(F.col("o_orderkey") % 3, CHANNELS).alias("channel"),
+        channel_of(F.col("o_orderkey")).alias("channel"),
     )
 
 
+def channel_of(order_key: Column) -> Column:
+    """The sales channel of an order (one of CHANNELS, by order key)."""
+    return _pick(order_key % 3, CHANNELS)
+
+
 ITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
 
 
@@ -137,21 +142,21 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """~4% of items: returnflag R, id % 8 = 0, order not cancelled.
+    """Every item the source flags as returned (``l_returnflag = 'R'``) of an
+    order that was not cancelled.
 
-    Items with id % 40 = 0 get a second return event (id + 1), which makes the
-    LEFT JOIN fan-out of the returns question visible.
+    Items with id % 40 = 0 get a second return event, which makes the LEFT
+    JOIN fan-out of the returns question visible; return_id = 2 * item id +
+    event number, unique.
     """
-    oi = order_items_with_flag(spark, sf_dir).where(
-        (F.col("l_returnflag") == "R") & (F.col("order_item_id") % 8 == 0)
-    )
+    oi = order_items_with_flag(spark, sf_dir).where(F.col("l_returnflag") == "R")
     o = orders(spark, sf_dir).where(F.col("status") != "cancelled").select("order_id", "order_date")
     base = oi.join(o, "order_id").select("order_item_id", "order_id", "order_date")
     # one pass: event 0 for every returned item, event 1 also for id % 40 = 0
     events = F.when(F.col("order_item_id") % 40 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     ev = base.select("*", F.explode(events).alias("_ev"))
     return ev.select(
-        (F.col("order_item_id") + F.col("_ev")).alias("return_id"),
+        (F.col("order_item_id") * 2 + F.col("_ev")).alias("return_id"),
         "order_item_id",
         (
             F.col("order_date")
@@ -214,7 +219,7 @@ def marketplace_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     k = F.col("o_orderkey")
-    o = o.where(k % 3 == 2)
+    o = o.where(channel_of(k) == "marketplace")
     sku = (
         F.when(k % 40 == 2, F.lit("SKU-99999999"))
         .when(k % 61 == 2, F.lit("SKU-x"))
