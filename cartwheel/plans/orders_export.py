@@ -93,7 +93,9 @@ def profile_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def format_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the clean orders as CSV, JSON lines and Parquet, read
     each back (S1, S6, S7) and report rows, files and bytes per format.
-    Sizes come from a ``binaryFile`` listing without reading file content."""
+    Sizes come from a ``binaryFile`` listing without reading file content.
+    The cleaning (a de-duplicating shuffle) runs once: Parquet is written
+    first and the text formats are written from that stored table."""
     clean = clean_orders(spark, sf_dir)
     root = scratch_path(spark, "formats")
     paths = writers.write_three_formats(clean, root)

@@ -51,10 +51,14 @@ def write_partitioned(df: DataFrame, path: str, by: str, dynamic: bool = False)
 
 
 def write_three_formats(df: DataFrame, root: str) -> dict[str, str]:
+    """K1-K3 of the same rows: ``df`` is computed once (written as Parquet),
+    CSV and JSON are written from the stored Parquet table."""
+    parquet = write_parquet(df, f"{root}/format=parquet")
+    stored = df.sparkSession.read.parquet(parquet)
     return {
-        "csv": write_csv(df, f"{root}/format=csv"),
-        "json": write_json(df, f"{root}/format=json"),
-        "parquet": write_parquet(df, f"{root}/format=parquet"),
+        "csv": write_csv(stored, f"{root}/format=csv"),
+        "json": write_json(stored, f"{root}/format=json"),
+        "parquet": parquet,
     }
 
 

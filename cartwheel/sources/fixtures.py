@@ -167,6 +167,14 @@ def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed raw export: written once per application as an all-text
+    table and read back, as the cleaning job would read the exported file.
+    (Left inline, Catalyst pushes the cleaning's NULL filters into the
+    generating expressions below and evaluates them several times a row.)"""
+    return materialized(spark, f"raw_orders_export|{sf_dir}", lambda: _raw_orders_rows(spark, sf_dir))
+
+
+def _raw_orders_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A messy all-text export of orders (A1): four date formats, blanks,
     text quantities, mixed-case statuses, null channels, 2% exact duplicates."""
     o = orders(spark, sf_dir)
