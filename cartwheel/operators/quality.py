@@ -96,9 +96,13 @@ def check_table(df: DataFrame, rules: TableRules, parents: dict[str, DataFrame])
         parts.append(dup.select(F.lit(rules.name).alias("table_name"), F.lit(f"unique({','.join(key)})").alias("rule"), "violations"))
     for col, parent, pcol in rules.foreign_keys:
         pk = parents[parent].select(F.col(pcol).alias(col))
-        missing = df.select(col).where(F.col(col).isNotNull()).join(pk, col, "left_anti")
+        # child keys with their row counts first: the partial aggregate leaves
+        # one row per key per map task, so a key held by a third of the rows
+        # does not travel to one reducer; the anti join then sums the counts
+        keyed = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+        missing = keyed.join(pk, col, "left_anti")
         parts.append(
-            missing.agg(F.count(F.lit(1)).cast("bigint").alias("violations")).select(
+            missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")).select(
                 F.lit(rules.name).alias("table_name"),
                 F.lit(f"fk({col}->{parent}.{pcol})").alias("rule"),
                 "violations",
