@@ -1,7 +1,8 @@
 """Incremental-load scenarios over the orders table (I1-I8 end to end).
 
-The source "as of run 1" holds orders before 1998-01-01 except the odd-id
-orders of 1997-12-31, which arrive late (with the full table at run 2). With
+The source "as of run 1" holds orders before 1998-01-01 except the
+marketplace orders of 1997-12-31: that channel's feed for the day arrives
+late (with the full table at run 2). With
 a strict ``>`` mark those late rows are lost (the original behaviour); a
 one-day ``lookback`` or a reset-and-replay recovers them; the stream form has
 no mark and loads everything once. Load times are fixed literals so the
@@ -22,13 +23,14 @@ from ..streaming import incremental as inc
 
 CUTOFF = "1998-01-01"
 LATE_DAY = "1997-12-31"
+LATE_CHANNEL = "marketplace"
 T1, T2, T3 = (dt.datetime(2026, 2, d) for d in (1, 2, 3))
 STREAM_BASE = dt.datetime(2026, 3, 1)
 
 
 def _source_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = fx.orders(spark, sf_dir)
-    late = (F.col("order_date") == F.lit(LATE_DAY).cast("timestamp")) & (F.col("order_id") % 2 == 1)
+    late = (F.col("order_date") == F.lit(LATE_DAY).cast("timestamp")) & (F.col("channel") == LATE_CHANNEL)
     return o.where((F.col("order_date") < F.lit(CUTOFF).cast("timestamp")) & ~late)
 
 
@@ -92,7 +94,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- oracle SQL
 
 _V1 = f"""v1 AS (SELECT * FROM sales_orders WHERE order_date < TIMESTAMP '{CUTOFF}'
-             AND NOT (order_date = TIMESTAMP '{LATE_DAY}' AND order_id % 2 = 1)),
+             AND NOT (order_date = TIMESTAMP '{LATE_DAY}' AND channel = '{LATE_CHANNEL}')),
 m1 AS (SELECT MAX(order_date) AS m FROM v1)"""
 
 
