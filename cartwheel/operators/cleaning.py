@@ -81,12 +81,52 @@ def member_of(df: DataFrame, catalog: DataFrame, key: str, catalog_key: str | No
     return df.join(cat, key, "left_semi")
 
 
-def null_or_member_of(df: DataFrame, catalog: DataFrame, key: str, catalog_key: str | None = None) -> DataFrame:
-    """keep rows with NULL ``key`` or a ``key`` in the catalog, in one pass
-    (left join to the de-duplicated catalog with a marker column)."""
+NULL_KEY_SPREAD = 64
+
+
+def mark_membership(
+    df: DataFrame, catalog: DataFrame, key: str, flag: str, catalog_key: str | None = None,
+    spread: int = NULL_KEY_SPREAD,
+) -> DataFrame:
+    """``df`` plus a boolean ``flag``: TRUE when ``key`` is in the catalog,
+    NULL otherwise (NULL keys included). One left join to the de-duplicated
+    catalog; no row is added or dropped.
+
+    NULL keys never match, but a hash shuffle would still send every one of
+    them to the same reducer, and NULL is the most common key here (a click
+    stream's page views carry no product). So the join key is a pair: the
+    catalog and non-NULL rows use (key, 0); NULL rows use (0, 1 + a hash of
+    the row mod ``spread``), which spreads them over ``spread`` reducers and
+    matches no catalog row. The hash is of the row's values, so a retried
+    task routes every row as before.
+    """
     ck = catalog_key or key
-    marked = catalog.select(F.col(ck).alias(key)).distinct().withColumn("_cw_in", F.lit(True))
-    return df.join(marked, key, "left").where(F.col(key).isNull() | F.col("_cw_in")).drop("_cw_in")
+    dtype = df.schema[key].dataType
+    k = F.col(ck).cast(dtype)
+    # spread 0 is written as an expression of the key, not a literal: a
+    # literal would be folded into a join filter, dropping the spread column
+    # from the shuffle keys. The distinct runs on the pair, so its shuffle
+    # already has the join's partitioning.
+    marked = (
+        catalog.where(k.isNotNull())
+        .select(k.alias("_cw_k"), F.when(k.isNotNull(), F.lit(0)).alias("_cw_s"))
+        .distinct()
+        .withColumn(flag, F.lit(True))
+    )
+    is_null = F.col(key).isNull()
+    keyed = df.select(
+        "*",
+        F.when(is_null, F.lit(0).cast(dtype)).otherwise(F.col(key)).alias("_cw_k"),
+        F.when(is_null, 1 + F.pmod(F.xxhash64(*df.columns), F.lit(spread))).otherwise(0).cast("int").alias("_cw_s"),
+    )
+    return keyed.join(marked, ["_cw_k", "_cw_s"], "left").drop("_cw_k", "_cw_s")
+
+
+def null_or_member_of(df: DataFrame, catalog: DataFrame, key: str, catalog_key: str | None = None) -> DataFrame:
+    """keep rows with NULL ``key`` or a ``key`` in the catalog, in one
+    pass (``mark_membership``, then a filter on the mark)."""
+    marked = mark_membership(df, catalog, key, "_cw_in", catalog_key)
+    return marked.where(F.col(key).isNull() | F.col("_cw_in")).drop("_cw_in")
 
 
 def add_constant(df: DataFrame, name: str, value) -> DataFrame:

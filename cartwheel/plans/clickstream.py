@@ -159,8 +159,7 @@ def click_clean_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows kept with a non-numeric product id (they pass as "no product")."""
     raw = fx.raw_clickstream(spark, sf_dir)
     typed = parse_clicks(raw, keep_raw_product=True)
-    cat = fx.click_catalog(spark, sf_dir).distinct().withColumn("_in_cat", F.lit(True))
-    flagged = typed.join(cat, "product_id", "left")
+    flagged = cl.mark_membership(typed, fx.click_catalog(spark, sf_dir), "product_id", "_in_cat")
     reason = cl.first_failing_reason(
         [
             ("bad_timestamp", F.col("event_timestamp").isNull()),

@@ -203,3 +203,41 @@ def test_keep_first_by_hot_key(spark):
     out = cl.keep_first_by(df, "k", ["seq"])
     assert out.count() == df.select("k").distinct().count()
     assert out.where("k = 0").first()["seq"] == 0
+
+
+def test_null_keys_spread_and_kept_in_catalog_join(spark):
+    """F20 with a hot NULL key: NULL rows are kept, spread over many reducer
+    partitions (not one), unknown ids dropped, a duplicated catalog id does
+    not multiply rows."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rows = [(i, None if i % 3 else i % 7) for i in range(3000)]
+        df = spark.createDataFrame(rows, "event_id bigint, product_id bigint")
+        catalog = spark.createDataFrame([(1,), (2,), (2,), (3,)], "product_id bigint")
+        out = cl.null_or_member_of(df, catalog, "product_id")
+        got = sorted((r[0], r[1]) for r in out.collect())
+        want = sorted(r for r in rows if r[1] is None or r[1] in (1, 2, 3))
+        assert got == want
+        # the partition id is taken before the NULL filter: a nondeterministic
+        # column keeps the filter from being pushed below the join
+        tagged = out.withColumn("p", F.spark_partition_id())
+        nulls_per_part = tagged.where(F.col("product_id").isNull()).groupBy("p").count().collect()
+        assert len(nulls_per_part) >= 16
+        assert max(r["count"] for r in nulls_per_part) < 2000 / 4
+        flagged = cl.mark_membership(df, catalog, "product_id", "in_cat")
+        assert flagged.count() == len(rows)
+        assert flagged.where(F.col("in_cat")).count() == sum(1 for r in rows if r[1] in (1, 2, 3))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
