@@ -35,8 +35,9 @@ def build_pages(records: DataFrame) -> DataFrame:
     """Group flat records into API envelopes. A page holds a bounded number of
     records (the page size), so collecting one page's records is bounded."""
     fields = [c for c in records.columns if c not in ("page", "seq")]
-    total = records.agg(F.count(F.lit(1))).scalar()
-    last_page = records.agg(F.max("page")).scalar()
+    # envelope totals: one aggregate pass, two scalars back to the driver
+    stats = records.agg(F.count(F.lit(1)).alias("n"), F.max("page").alias("last")).first()
+    total, last_page = stats["n"], stats["last"]
     grouped = records.groupBy("page").agg(
         F.sort_array(F.collect_list(F.struct("seq", *fields))).alias("_recs")
     )
