@@ -84,41 +84,48 @@ def member_of(df: DataFrame, catalog: DataFrame, key: str, catalog_key: str | No
 NULL_KEY_SPREAD = 64
 
 
+def spread_key_left(df: DataFrame, key: str, spread: int = NULL_KEY_SPREAD) -> list[Column]:
+    """Join key pair (``_cw_k``, ``_cw_s``) for the probing side of a LEFT join.
+
+    NULL keys never match, but a hash shuffle would still send every one of
+    them to the same reducer. Non-NULL rows get (key, 0); NULL rows get
+    (0, 1 + a hash of the row mod ``spread``), which spreads them over
+    ``spread`` reducers and matches nothing on the other side (whose spread is
+    0). The hash is of the row's values, so a retried task routes every row
+    as before.
+    """
+    dtype = df.schema[key].dataType
+    is_null = F.col(key).isNull()
+    return [
+        F.when(is_null, F.lit(0).cast(dtype)).otherwise(F.col(key)).alias("_cw_k"),
+        F.when(is_null, 1 + F.pmod(F.xxhash64(*df.columns), F.lit(spread))).otherwise(0).cast("int").alias("_cw_s"),
+    ]
+
+
+def spread_key_right(key: Column) -> list[Column]:
+    """The matching pair for the build side (rows with a non-NULL key).
+
+    Spread 0 is written as an expression of the key, not a literal: a literal
+    would be folded into a join filter, dropping the spread column from the
+    shuffle keys (seen in ``explain``)."""
+    return [key.alias("_cw_k"), F.when(key.isNotNull(), F.lit(0)).alias("_cw_s")]
+
+
 def mark_membership(
     df: DataFrame, catalog: DataFrame, key: str, flag: str, catalog_key: str | None = None,
     spread: int = NULL_KEY_SPREAD,
 ) -> DataFrame:
     """``df`` plus a boolean ``flag``: TRUE when ``key`` is in the catalog,
     NULL otherwise (NULL keys included). One left join to the de-duplicated
-    catalog; no row is added or dropped.
-
-    NULL keys never match, but a hash shuffle would still send every one of
-    them to the same reducer, and NULL is the most common key here (a click
-    stream's page views carry no product). So the join key is a pair: the
-    catalog and non-NULL rows use (key, 0); NULL rows use (0, 1 + a hash of
-    the row mod ``spread``), which spreads them over ``spread`` reducers and
-    matches no catalog row. The hash is of the row's values, so a retried
-    task routes every row as before.
+    catalog; no row is added or dropped. NULL is the most common key of a
+    click stream's product column (page views), so NULL keys are spread over
+    reducers (``spread_key_left``). The distinct runs on the key pair, so its
+    shuffle already has the join's partitioning.
     """
     ck = catalog_key or key
-    dtype = df.schema[key].dataType
-    k = F.col(ck).cast(dtype)
-    # spread 0 is written as an expression of the key, not a literal: a
-    # literal would be folded into a join filter, dropping the spread column
-    # from the shuffle keys. The distinct runs on the pair, so its shuffle
-    # already has the join's partitioning.
-    marked = (
-        catalog.where(k.isNotNull())
-        .select(k.alias("_cw_k"), F.when(k.isNotNull(), F.lit(0)).alias("_cw_s"))
-        .distinct()
-        .withColumn(flag, F.lit(True))
-    )
-    is_null = F.col(key).isNull()
-    keyed = df.select(
-        "*",
-        F.when(is_null, F.lit(0).cast(dtype)).otherwise(F.col(key)).alias("_cw_k"),
-        F.when(is_null, 1 + F.pmod(F.xxhash64(*df.columns), F.lit(spread))).otherwise(0).cast("int").alias("_cw_s"),
-    )
+    k = F.col(ck).cast(df.schema[key].dataType)
+    marked = catalog.where(k.isNotNull()).select(*spread_key_right(k)).distinct().withColumn(flag, F.lit(True))
+    keyed = df.select("*", *spread_key_left(df, key, spread))
     return keyed.join(marked, ["_cw_k", "_cw_s"], "left").drop("_cw_k", "_cw_s")
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cleaning import spread_key_left, spread_key_right
 from .numbering import dense_row_number
 
 UNKNOWN_MEMBER = -1
@@ -28,10 +29,16 @@ def lookup_key(
     whose size is fixed by construction (stores, promotions, calendar days);
     others are left to AQE's measured-size decision.
     """
-    d = dim.select(F.col(dim_natural).alias("_cw_nat"), F.col(key).alias("_cw_key"))
     if hint_broadcast:
-        d = F.broadcast(d)
-    joined = facts.join(d, facts[natural] == d["_cw_nat"], "left")
+        d = F.broadcast(dim.select(F.col(dim_natural).alias("_cw_nat"), F.col(key).alias("_cw_key")))
+        joined = facts.join(d, facts[natural] == d["_cw_nat"], "left").drop("_cw_nat")
+    else:
+        # a shuffled join: NULL natural keys (unknown members) are spread over
+        # reducers instead of all hashing to one
+        nat = F.col(dim_natural).cast(facts.schema[natural].dataType)
+        d = dim.where(nat.isNotNull()).select(*spread_key_right(nat), F.col(key).alias("_cw_key"))
+        keyed = facts.select("*", *spread_key_left(facts, natural))
+        joined = keyed.join(d, ["_cw_k", "_cw_s"], "left").drop("_cw_k", "_cw_s")
     if policy == "fail":
         message = F.concat(F.lit(f"no {key} for {natural}="), F.coalesce(F.col(natural).cast("string"), F.lit("NULL")))
         resolved = F.when(F.col("_cw_key").isNull(), F.raise_error(message)).otherwise(F.col("_cw_key"))
@@ -39,7 +46,7 @@ def lookup_key(
         resolved = F.coalesce(F.col("_cw_key"), F.lit(UNKNOWN_MEMBER))
     else:
         raise ValueError(policy)
-    return joined.withColumn(key, resolved.cast("bigint")).drop("_cw_nat", "_cw_key")
+    return joined.withColumn(key, resolved.cast("bigint")).drop("_cw_key")
 
 
 def promotion_bucket(order_id: Column, rate_per_2_32: int = 644245094, n_promotions: int = 3) -> Column:

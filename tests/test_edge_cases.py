@@ -241,3 +241,19 @@ def test_null_keys_spread_and_kept_in_catalog_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_lookup_key_shuffled_with_null_keys(spark):
+    """J12 without a broadcast: NULL and missing natural keys map to the
+    unknown member, matched keys to their surrogate key, no row is lost."""
+    facts = spark.createDataFrame(
+        [(1, 10), (2, None), (3, 11), (4, None), (5, 99)], "order_id bigint, customer_id bigint"
+    )
+    dim = spark.createDataFrame([(10, 1), (11, 2)], "customer_id bigint, customer_key bigint")
+    out = lookup_key(facts, dim, "customer_id", "customer_id", "customer_key", "unknown_member")
+    assert sorted((r["order_id"], r["customer_id"], r["customer_key"]) for r in out.collect()) == [
+        (1, 10, 1), (2, None, -1), (3, 11, 2), (4, None, -1), (5, 99, -1)
+    ]
+    assert out.columns == ["order_id", "customer_id", "customer_key"]
+    with pytest.raises(Exception, match="no customer_key for customer_id=NULL"):
+        lookup_key(facts.where("order_id = 2"), dim, "customer_id", "customer_id", "customer_key", "fail").collect()
