@@ -8,6 +8,7 @@ which is the local/test case.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -26,16 +27,33 @@ DEFAULT_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "cartwheel",
-    driver_memory: str = "8g",
+    driver_memory: str | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """The session with the library's defaults (UTC, ANSI, AQE, UI off).
+
+    Inside a cluster application (a session exists already, or the driver
+    was started by ``spark-submit``) only those defaults are applied: the
+    shuffle width and executor sizing stay the cluster's, and AQE coalesces
+    small shuffle partitions at run time. ``master``, ``shuffle_partitions``
+    and ``driver_memory`` are for local runs and tests; without a master a
+    local session over all cores is started.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    running = SparkSession.getActiveSession() is not None
+    if master:
+        builder = builder.master(master)
+    elif not running and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        # no session and no JVM launched by spark-submit: a plain local run
+        builder = builder.master("local[*]")
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = driver_memory
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory:
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

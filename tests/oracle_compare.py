@@ -96,7 +96,7 @@ def main(argv: list[str]) -> int:
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = argv or sorted(entry.queries())
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8, driver_memory="8g")
     q, o = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0
