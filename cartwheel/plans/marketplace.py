@@ -83,13 +83,13 @@ def flag_records(flat: DataFrame, catalog: DataFrame) -> DataFrame:
     arrival = F.col("page") * F.lit(2147483648) + F.col("pos")
     flat = flat.withColumn("_arrival", arrival)
     first = flat.groupBy("marketplace_order_id").agg(F.min("_arrival").alias("_first"))
-    cat = catalog.select(F.col("product_id").alias("_pid")).distinct().withColumn("_in_cat", F.lit(True))
     parsed = flat.join(first, "marketplace_order_id").select(
         "*",
         integral_long(cl.strip_literal(F.col("product_sku"), "SKU-")).alias("_pid"),
         parse_iso_utc(F.col("order_ts")).alias("_ts"),
     )
-    parsed = parsed.join(cat, "_pid", "left")
+    # SKUs that are not numbers give a NULL id: spread those over reducers
+    parsed = cl.mark_membership(parsed, catalog, "_pid", "_in_cat", catalog_key="product_id")
     reason = cl.first_failing_reason(
         [
             ("duplicate", F.col("_arrival") != F.col("_first")),
@@ -146,11 +146,14 @@ RUN2_AT = "2026-01-02 00:00:00"
 
 
 def upsert_marketplace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K6 + F23 + C5: load pages with page % 3 != 0, then pages with
-    page % 3 != 1; rows of the second load replace those of the first by
-    source_order_id and carry the second load time."""
+    """K6 + F23 + C5: run 1 fetched the first two thirds of the pages, run 2
+    fetched again from the one-third mark to the last page; rows of the
+    second load replace those of the first by source_order_id and carry the
+    second load time. The last page is a scalar subquery, not a driver value."""
     root = scratch_path(spark, "marketplace_orders")
-    for where, at in ((F.col("page") % 3 != 0, RUN1_AT), (F.col("page") % 3 != 1, RUN2_AT)):
+    last = page_flatten(spark, sf_dir).agg(F.max("page")).scalar()
+    page = F.col("page")
+    for where, at in ((page * 3 <= last * 2, RUN1_AT), (page * 3 > last, RUN2_AT)):
         # loaded_at takes its default (this load's time) at write
         batch = apply_defaults(clean_frame(_flagged(spark, sf_dir, where)), {"loaded_at": F.lit(at).cast("timestamp")})
         up.upsert(spark, root, batch, "source_order_id")
@@ -209,7 +212,8 @@ WHERE reject_reason IS NOT NULL GROUP BY reject_reason ORDER BY n DESC, reject_r
 SELECT page, pos, marketplace_order_id, product_sku, quantity, order_ts, amount_usd, reject_reason
 FROM ({_flagged_sql()}) WHERE reject_reason IS NOT NULL""",
     "upsert_marketplace": f"""
-WITH run1 AS ({_clean_sql('page % 3 <> 0')}), run2 AS ({_clean_sql('page % 3 <> 1')})
+WITH run1 AS ({_clean_sql('page * 3 <= (SELECT MAX(page) FROM mkt_flat) * 2')}),
+run2 AS ({_clean_sql('page * 3 > (SELECT MAX(page) FROM mkt_flat)')})
 SELECT *, TIMESTAMP '{RUN1_AT}' AS loaded_at FROM run1
 WHERE source_order_id NOT IN (SELECT source_order_id FROM run2)
 UNION ALL
