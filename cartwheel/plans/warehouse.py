@@ -157,11 +157,11 @@ TABLES = ["dim_date", "dim_customer", "dim_product", "dim_store", "dim_promotion
 
 def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All warehouse tables, each written once (full refresh) and read back."""
-    customers = fx.customers(spark, sf_dir)
-    products = fx.products(spark, sf_dir)
-    orders = fx.orders(spark, sf_dir)
-    items = fx.order_items(spark, sf_dir)
-    returns = fx.returns(spark, sf_dir)
+    # source frames are made inside the builders: once the tables exist, a
+    # call only looks them up
+    orders = lambda: fx.orders(spark, sf_dir)
+    items = lambda: fx.order_items(spark, sf_dir)
+    returns = lambda: fx.returns(spark, sf_dir)
     t: dict[str, DataFrame] = {}
 
     def keep(name, build_fn):
@@ -169,18 +169,21 @@ def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     keep("dim_store", lambda: dim_store_frame(spark))
     keep("dim_promotion", lambda: dim_promotion_frame(spark))
-    keep("dim_product", lambda: dim_product_frame(products))
-    keep("dim_customer", lambda: dim_customer_frame(customers))
+    keep("dim_product", lambda: dim_product_frame(fx.products(spark, sf_dir)))
+    keep("dim_customer", lambda: dim_customer_frame(fx.customers(spark, sf_dir)))
     keep(
         "dim_date",
         lambda: dim_date_frame(
-            orders.select(F.to_date("order_date").alias("d")).unionByName(
-                returns.select(F.to_date("return_date").alias("d"))
+            orders().select(F.to_date("order_date").alias("d")).unionByName(
+                returns().select(F.to_date("return_date").alias("d"))
             )
         ),
     )
-    keep("fact_sales", lambda: fact_sales_frame(items, orders, products, t["dim_customer"], t["dim_store"]))
-    keep("fact_returns", lambda: fact_returns_frame(returns, items, orders, t["dim_customer"]))
+    keep(
+        "fact_sales",
+        lambda: fact_sales_frame(items(), orders(), fx.products(spark, sf_dir), t["dim_customer"], t["dim_store"]),
+    )
+    keep("fact_returns", lambda: fact_returns_frame(returns(), items(), orders(), t["dim_customer"]))
     return t
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import path_exists, scratch_path
 
 _WRITTEN: dict[tuple[str, str], str] = {}
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
 
 
 def _key_path(spark: SparkSession, key: str) -> str:
@@ -31,6 +32,8 @@ def materialized(spark: SparkSession, key: str, build, fmt: str = "parquet", sch
     """
     app = spark.sparkContext.applicationId
     path = _WRITTEN.get((app, key))
+    if path is not None and path_exists(spark, path + "/_SUCCESS") and (app, key) in _FRAMES:
+        return _FRAMES[(app, key)]
     if path is None or not path_exists(spark, path + "/_SUCCESS"):
         path = _key_path(spark, key)
         if not path_exists(spark, path + "/_SUCCESS"):
@@ -39,4 +42,6 @@ def materialized(spark: SparkSession, key: str, build, fmt: str = "parquet", sch
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(path)
+    # the read-back frame is kept: a later call reuses its resolved schema
+    _FRAMES[(app, key)] = reader.load(path)
+    return _FRAMES[(app, key)]

@@ -22,6 +22,7 @@ def table_path(sf_dir: str, name: str) -> str:
 # Below this input size a table is read as is; above it, a scan with fewer
 # partitions than the session's parallelism is spread (see ``spread``).
 SPREAD_MIN_BYTES = 1 << 20
+_SPREAD: dict[tuple[str, str, int], bool] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -45,10 +46,13 @@ def spread(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     try:
         target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-        fs, jpath = hadoop_fs(spark, path)
-        if fs.getContentSummary(jpath).getLength() < SPREAD_MIN_BYTES:
+        decision = (spark.sparkContext.applicationId, path, target)
+        if decision not in _SPREAD:
+            # splits do not depend on the columns read: decided once per table
+            few = spark.read.parquet(path).rdd.getNumPartitions() < target
+            fs, jpath = hadoop_fs(spark, path)
+            _SPREAD[decision] = few and fs.getContentSummary(jpath).getLength() >= SPREAD_MIN_BYTES
+        if not _SPREAD[decision]:
             return df
     except Exception:  # no JVM-side access (e.g. a remote session): read as is
         return df
