@@ -48,8 +48,10 @@ def spread(df: DataFrame, path: str) -> DataFrame:
         target = spark.sparkContext.defaultParallelism
         decision = (spark.sparkContext.applicationId, path, target)
         if decision not in _SPREAD:
-            # splits do not depend on the columns read: decided once per table
-            few = spark.read.parquet(path).rdd.getNumPartitions() < target
+            # splits do not depend on the columns read: decided once per table,
+            # from the caller's frame (its file listing is already done); the
+            # size is summed only when there are few splits, i.e. few files
+            few = df.rdd.getNumPartitions() < target
             fs, jpath = hadoop_fs(spark, path)
             _SPREAD[decision] = few and fs.getContentSummary(jpath).getLength() >= SPREAD_MIN_BYTES
         if not _SPREAD[decision]:
