@@ -257,3 +257,22 @@ def test_lookup_key_shuffled_with_null_keys(spark):
     assert out.columns == ["order_id", "customer_id", "customer_key"]
     with pytest.raises(Exception, match="no customer_key for customer_id=NULL"):
         lookup_key(facts.where("order_id = 2"), dim, "customer_id", "customer_id", "customer_key", "fail").collect()
+
+
+def test_partitioned_write_dynamic_rerun_of_one_day(spark):
+    """K8: re-running one day with dynamic overwrite replaces only that day;
+    the default (static) overwrite replaces the whole table."""
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks import writers
+
+    path = scratch_path(spark, "k8")
+    days = spark.createDataFrame(
+        [(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2)), (3, dt.date(2025, 1, 3))], "n bigint, event_date date"
+    )
+    writers.write_partitioned(days, path, "event_date")
+    rerun = spark.createDataFrame([(20, dt.date(2025, 1, 2))], "n bigint, event_date date")
+    writers.write_partitioned(rerun, path, "event_date", dynamic=True)
+    got = sorted((r["event_date"].day, r["n"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 1), (2, 20), (3, 3)]
+    writers.write_partitioned(rerun, path, "event_date")
+    assert [(r["event_date"].day, r["n"]) for r in spark.read.parquet(path).collect()] == [(2, 20)]
