@@ -11,6 +11,18 @@ from .numbering import dense_row_number
 
 UNKNOWN_MEMBER = -1
 
+# A calendar of a century is ~36,600 days; a larger "calendar" means a bad
+# date in the data, and the table is no longer hinted for broadcast.
+CALENDAR_BROADCAST_MAX_ROWS = 40_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """A broadcast hint only after checking the row count (one count job;
+    cheap on a written table, whose Parquet footers hold the counts). Above
+    the bound the frame is returned as is, so the join stays a shuffled join
+    unless AQE measures it small enough at run time."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
 
 def lookup_key(
     facts: DataFrame,

@@ -4,7 +4,8 @@
 writes each once per application as a Parquet table in the checkpoint
 folder (full refresh, K10); every star question then starts from Parquet
 scans. Dimension sizes: store and promotion are constants and the calendar
-is bounded by the date range, so those are broadcast; customer and product
+is bounded by the date range (its row count is checked before the
+broadcast hint), so those are broadcast; customer and product
 grow with the data and are left to AQE's runtime size check. The star
 questions aggregate the fact on its foreign keys *before* attaching the
 dimension attributes, so the joins see one row per key, not per sale.
@@ -18,7 +19,14 @@ from pyspark.sql import types as T
 
 from ..functions.dates import date_key, month_bucket
 from ..functions.numeric import money, pct
-from ..operators.dimensions import asof_version, lookup_key, promotion_bucket, scd2_merge
+from ..operators.dimensions import (
+    CALENDAR_BROADCAST_MAX_ROWS,
+    asof_version,
+    broadcast_if_small,
+    lookup_key,
+    promotion_bucket,
+    scd2_merge,
+)
 from ..operators.numbering import dense_row_number
 from ..oracle import register, with_fixtures
 from ..sinks.materialize import materialized
@@ -266,7 +274,7 @@ def star_margin_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_key = _sales(t).groupBy("date_key", "store_key").agg(
         F.sum("extended_price").alias("rev"), F.sum("gross_margin").alias("mar")
     )
-    d = F.broadcast(t["dim_date"].select("date_key", "year", "month"))
+    d = broadcast_if_small(t["dim_date"].select("date_key", "year", "month"), CALENDAR_BROADCAST_MAX_ROWS)
     s = F.broadcast(t["dim_store"].select("store_key", "channel_name"))
     return (
         per_key.join(d, "date_key")
@@ -351,7 +359,9 @@ def star_questions_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly revenue question split by channel and promotion."""
     t = build(spark, sf_dir)
     per_key = _sales(t).groupBy("date_key", "store_key", "promotion_key").agg(F.sum("extended_price").alias("rev"))
-    d = F.broadcast(t["dim_date"].select("date_key", month_bucket("full_date").alias("month")))
+    d = broadcast_if_small(
+        t["dim_date"].select("date_key", month_bucket("full_date").alias("month")), CALENDAR_BROADCAST_MAX_ROWS
+    )
     s = F.broadcast(t["dim_store"].select("store_key", "channel_name"))
     p = F.broadcast(t["dim_promotion"].select("promotion_key", "promotion_code"))
     return (

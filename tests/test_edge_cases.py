@@ -276,3 +276,21 @@ def test_partitioned_write_dynamic_rerun_of_one_day(spark):
     assert got == [(1, 1), (2, 20), (3, 3)]
     writers.write_partitioned(rerun, path, "event_date")
     assert [(r["event_date"].day, r["n"]) for r in spark.read.parquet(path).collect()] == [(2, 20)]
+
+
+def test_broadcast_hint_only_under_checked_bound(spark):
+    from cartwheel.operators.dimensions import broadcast_if_small
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.range(1000).withColumnRenamed("id", "k")
+        dim = spark.range(50).withColumnRenamed("id", "k")
+
+        def plan(d):
+            return facts.join(d, "k")._jdf.queryExecution().executedPlan().toString()
+
+        assert "BroadcastHashJoin" in plan(broadcast_if_small(dim, 100))
+        assert "BroadcastHashJoin" not in plan(broadcast_if_small(dim, 10))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
