@@ -5,17 +5,22 @@ Plan shape, chosen for scale:
 * cleaning is one pass of expressions plus one join to the de-duplicated
   catalog (F20; the original split the data by NULL product and re-united it,
   scanning the input twice);
-* sessions are one aggregate keyed by session_id (one shuffle); the daily
-  funnel is a two-level aggregate, (session_id, event_date) then event_date,
-  of fixed-width counters only (hash aggregation), so a session that crosses
-  midnight counts in each day and distinct sessions need no distinct-Expand;
+* one event-sized aggregate keyed by (session_id, event_date) feeds both
+  the sessions and the daily funnel: sessions fold a session's day rows
+  (min / max / sum combine exactly), the funnel sums them per day, so a
+  session that crosses midnight counts in each day and distinct sessions
+  need no distinct-Expand. In the job this session-day table is written
+  once (one row per session and day, far smaller than the events), which
+  saves a second scan and shuffle of the events; when only the funnel is
+  asked for, Catalyst prunes the session figures and the aggregate stays a
+  hash aggregate of fixed-width counters;
 * "first" customer/device of a session is the value of the earliest event by
   (timestamp, event_id) among events where it is not NULL - a total order,
   unlike row-order ``first``; it is a ``min`` over a struct, so it combines
   map-side like every other aggregate here (a hot session or day is reduced
   inside each input partition before the shuffle);
 * the job writes the cleaned events once as a Parquet table in its output
-  folder and computes the three aggregates from it: parsing and the catalog
+  folder and computes the aggregates from it: parsing and the catalog
   join run once, lineage is cut at a durable table (an executor loss does
   not recompute the cleaning), and each aggregate reads only the columns it
   needs - cheaper than caching an event-sized frame in executor memory;
@@ -77,28 +82,39 @@ def _first_non_null(value: str) -> F.Column:
 
 
 def session_days(clean: DataFrame) -> DataFrame:
-    """One row per (session_id, event_date) with the event counts by type."""
+    """One row per (session_id, event_date): the event counts by type and the
+    partial session figures (first customer/device, first and last time,
+    events). Sessions and the daily funnel are both folded from these rows,
+    so the event-sized shuffle happens once for both. Rows without a session
+    id are kept: their events still count per day."""
     t = F.col("event_type")
     return clean.groupBy("session_id", "event_date").agg(
         F.count_if(t == "page_view").alias("page_views"),
         F.count_if(t == "view_product").alias("product_views"),
         F.count_if(t == "add_to_cart").alias("add_to_carts"),
         F.count_if(t == "purchase").alias("purchases"),
+        _first_non_null("customer_id").alias("fc"),
+        _first_non_null("device_type").alias("fd"),
+        F.min("event_timestamp").alias("session_start"),
+        F.max("event_timestamp").alias("session_end"),
+        F.count(F.lit(1)).alias("event_count"),
     )
 
 
-def sessions_from(clean: DataFrame) -> DataFrame:
-    """One row per session. NULL session ids are not a session."""
+def sessions_from_days(sd: DataFrame) -> DataFrame:
+    """One row per session from its (session, day) rows; every
+    figure combines (min, max, sum), so the result equals one aggregate over
+    the events. NULL session ids are not a session."""
     return (
-        clean.where(F.col("session_id").isNotNull())
+        sd.where(F.col("session_id").isNotNull())
         .groupBy("session_id")
         .agg(
-            _first_non_null("customer_id").alias("fc"),
-            _first_non_null("device_type").alias("fd"),
-            F.min("event_timestamp").alias("session_start"),
-            F.max("event_timestamp").alias("session_end"),
-            F.count(F.lit(1)).alias("event_count"),
-            F.max(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("converted"),
+            F.min("fc").alias("fc"),
+            F.min("fd").alias("fd"),
+            F.min("session_start").alias("session_start"),
+            F.max("session_end").alias("session_end"),
+            F.sum("event_count").cast("bigint").alias("event_count"),
+            F.max(F.when(F.col("purchases") > 0, 1).otherwise(0)).alias("converted"),
             F.min("event_date").alias("event_date"),
         )
         .select(
@@ -115,6 +131,11 @@ def sessions_from(clean: DataFrame) -> DataFrame:
     )
 
 
+def sessions_from(clean: DataFrame) -> DataFrame:
+    """One row per session."""
+    return sessions_from_days(session_days(clean))
+
+
 def daily_from(sd: DataFrame) -> DataFrame:
     """Per day the four event counts, distinct sessions and conversion %."""
     daily = sd.groupBy("event_date").agg(
@@ -189,12 +210,14 @@ def run_job(spark: SparkSession, sf_dir: str, out_root: str | None = None) -> di
     out_root = out_root or scratch_path(spark, "clickstream")
     clean_path = writers.write_parquet(clean_events(spark, sf_dir), f"{out_root}/clean_events")
     clean = spark.read.parquet(clean_path)
+    # one event-sized aggregate feeds both sessions and the daily funnel
+    sd_path = writers.write_parquet(session_days(clean), f"{out_root}/session_days")
+    sd = spark.read.parquet(sd_path)
     return {
         "clean_events": clean_path,
-        "sessions": writers.write_partitioned(sessions_from(clean), f"{out_root}/sessions", "event_date"),
-        "daily_summary": writers.write_parquet(
-            daily_from(session_days(clean)).coalesce(1), f"{out_root}/daily_summary"
-        ),
+        "session_days": sd_path,
+        "sessions": writers.write_partitioned(sessions_from_days(sd), f"{out_root}/sessions", "event_date"),
+        "daily_summary": writers.write_parquet(daily_from(sd).coalesce(1), f"{out_root}/daily_summary"),
         "product_daily": writers.write_partitioned(product_daily_from(clean), f"{out_root}/product_daily", "event_date"),
     }
 

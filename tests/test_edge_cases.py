@@ -294,3 +294,20 @@ def test_broadcast_hint_only_under_checked_bound(spark):
         assert "BroadcastHashJoin" not in plan(broadcast_if_small(dim, 10))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_session_first_values_fold_across_days_with_ties(spark):
+    """Sessions folded from (session, day) rows equal one aggregate over the
+    events: first device from day 1, first customer by (time, event id)."""
+    catalog = spark.createDataFrame([(1,)], "product_id bigint")
+    rows = [
+        ("b", "s", None, "page_view", None, "2024-03-01T23:00:00", "tablet"),
+        ("z", "s", "late", "page_view", None, "2024-03-02T01:00:00", None),
+        ("y", "s", "tie-y", "page_view", None, "2024-03-02T00:30:00", "mobile"),
+        ("x", "s", "tie-x", "purchase", None, "2024-03-02T00:30:00", None),
+    ]
+    clean = clickstream.clean_clicks(spark.createDataFrame(rows, CLICK_COLS), catalog)
+    s = clickstream.sessions_from(clean).first()
+    assert (s["customer_id"], s["device_type"]) == ("tie-x", "tablet")
+    assert (s["event_count"], s["converted"], s["duration_seconds"]) == (4, 1, 7200)
+    assert s["event_date"] == dt.date(2024, 3, 1)
