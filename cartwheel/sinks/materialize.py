@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import path_exists, scratch_path
 
 _WRITTEN: dict[tuple[str, str], str] = {}
-_FRAMES: dict[tuple[str, str], DataFrame] = {}
+_FRAMES: dict[tuple[str, str, int], DataFrame] = {}
 
 
 def _key_path(spark: SparkSession, key: str) -> str:
@@ -32,8 +32,9 @@ def materialized(spark: SparkSession, key: str, build, fmt: str = "parquet", sch
     """
     app = spark.sparkContext.applicationId
     path = _WRITTEN.get((app, key))
-    if path is not None and path_exists(spark, path + "/_SUCCESS") and (app, key) in _FRAMES:
-        return _FRAMES[(app, key)]
+    frame_key = (app, key, id(spark))  # a frame belongs to one session
+    if path is not None and path_exists(spark, path + "/_SUCCESS") and frame_key in _FRAMES:
+        return _FRAMES[frame_key]
     if path is None or not path_exists(spark, path + "/_SUCCESS"):
         path = _key_path(spark, key)
         if not path_exists(spark, path + "/_SUCCESS"):
@@ -43,5 +44,5 @@ def materialized(spark: SparkSession, key: str, build, fmt: str = "parquet", sch
     if schema is not None:
         reader = reader.schema(schema)
     # the read-back frame is kept: a later call reuses its resolved schema
-    _FRAMES[(app, key)] = reader.load(path)
-    return _FRAMES[(app, key)]
+    _FRAMES[frame_key] = reader.load(path)
+    return _FRAMES[frame_key]
