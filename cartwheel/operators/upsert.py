@@ -42,12 +42,18 @@ def upsert(spark: SparkSession, root: str, src: DataFrame, key: str | list[str])
     """INSERT OR REPLACE semantics: rows of ``src`` replace target rows with the
     same key; other target rows stay. ``src`` must be unique on ``key``.
 
-    Both sides are shuffled once on the key (anti join); no row is collected.
+    ``src`` is staged as Parquet first (``_staging/``, not a version), so the
+    batch is computed once although the merge reads it twice (its keys for
+    the anti join, its rows for the union). Both sides are shuffled once on
+    the key; no row is collected.
     """
     keys = [key] if isinstance(key, str) else list(key)
     current = read_current(spark, root)
-    merged = src if current is None else current.join(src.select(*keys), keys, "left_anti").unionByName(src)
     nxt = (current_version(spark, root) or 0) + 1
+    staged_path = f"{root}/_staging/v={nxt:06d}"
+    src.write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
+    merged = staged if current is None else current.join(staged.select(*keys), keys, "left_anti").unionByName(staged)
     path = f"{root}/v={nxt:06d}"
     merged.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
