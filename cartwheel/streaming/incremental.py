@@ -87,7 +87,9 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str, ts_col: str)
     first = keep_first_by(batch, key, [ts_col, key])
     if target is None:
         return first
-    batch_keys = first.select(key).distinct()
+    # the same key set as ``first``'s, taken from the landed batch so the
+    # first-row aggregate is not evaluated a second time for its keys
+    batch_keys = batch.select(key).distinct()
     already = target.select(key).join(batch_keys, key, "left_semi")
     return first.join(already, key, "left_anti")
 
