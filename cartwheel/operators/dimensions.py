@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cleaning import spread_key_left, spread_key_right
+from ..session import checkpoint_root
 from .numbering import dense_row_number
 
 UNKNOWN_MEMBER = -1
@@ -90,6 +91,7 @@ def scd2_merge(
     current version opens at ``as_of``; unseen keys get their first version;
     keys missing from the source stay as they are. Closed history is copied.
     New surrogate keys continue after the current maximum (parallel numbering).
+    The compared rows are checkpointed once and read by every branch.
     """
     cols = [natural, *tracked]
     hist = dim.where(F.col("is_current") == 0)
@@ -100,7 +102,10 @@ def scd2_merge(
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
     both = F.col(natural).isNotNull() & F.col(f"_s_{natural}").isNotNull()
-    j = j.withColumn("_changed", both & ~same)
+    # the compared rows feed three branches, one of them (new keys) in its
+    # own job: a reliable checkpoint computes the full outer join once
+    checkpoint_root(dim.sparkSession)
+    j = j.withColumn("_changed", both & ~same).checkpoint(eager=True)
     dim_cols = dim.columns
     kept = j.where(F.col(natural).isNotNull() & ~F.col("_changed")).select(*dim_cols)
     closed = (
