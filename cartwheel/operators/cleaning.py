@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -96,9 +97,11 @@ def spread_key_left(df: DataFrame, key: str, spread: int = NULL_KEY_SPREAD) -> l
     """
     dtype = df.schema[key].dataType
     is_null = F.col(key).isNull()
+    # map columns cannot be hashed; every other column takes part
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     return [
         F.when(is_null, F.lit(0).cast(dtype)).otherwise(F.col(key)).alias("_cw_k"),
-        F.when(is_null, 1 + F.pmod(F.xxhash64(*df.columns), F.lit(spread))).otherwise(0).cast("int").alias("_cw_s"),
+        F.when(is_null, 1 + F.pmod(F.xxhash64(*hashable), F.lit(spread))).otherwise(0).cast("int").alias("_cw_s"),
     ]
 
 
