@@ -41,10 +41,12 @@ def strip_literal(c: Column, literal: str) -> Column:
 def keep_first_by(df: DataFrame, key: str | list[str], order: list[str | Column]) -> DataFrame:
     """One row per key, the first by ``order`` (first arrival wins).
 
-    Written as ``min_by`` in a hash aggregate rather than a ``row_number``
-    window: the aggregate combines map-side, so a key holding a third of all
-    rows is reduced inside each input partition before the shuffle, instead
-    of being sorted in one task.
+    Written as a ``min_by`` aggregate rather than a ``row_number`` window:
+    the aggregate combines map-side, so a key holding a third of all rows is
+    reduced inside each input partition before the shuffle, instead of being
+    sorted in one task. (With string columns in the row the buffer is
+    variable-width and Spark runs it as a sort-based aggregate, partial step
+    included; ``explain`` shows ``SortAggregate``.)
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
