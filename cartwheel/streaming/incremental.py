@@ -141,10 +141,13 @@ def stream_load(
     key: str,
     ts_col: str,
     loaded_at_base: dt.datetime,
+    max_files_per_trigger: int = 1000,
 ) -> None:
     """I5 stream form: process every file present in ``source_dir`` once
     (``availableNow``), each micro-batch landed, de-duplicated against the
-    target and appended. ``loaded_at`` = base + epoch days (replayable)."""
+    target and appended. ``loaded_at`` = base + epoch days (replayable).
+    ``availableNow`` honours ``maxFilesPerTrigger``, so a large backlog is
+    worked off in bounded micro-batches rather than one."""
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
         if df.isEmpty():
@@ -157,6 +160,7 @@ def stream_load(
 
     q = (
         spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(source_dir)
         .writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint)
