@@ -311,3 +311,15 @@ def test_session_first_values_fold_across_days_with_ties(spark):
     assert (s["customer_id"], s["device_type"]) == ("tie-x", "tablet")
     assert (s["event_count"], s["converted"], s["duration_seconds"]) == (4, 1, 7200)
     assert s["event_date"] == dt.date(2024, 3, 1)
+
+
+def test_build_session_keeps_running_session_settings(spark):
+    """Inside an application that already has a session (the cluster case),
+    the library's defaults are applied but the shuffle width and master stay."""
+    from cartwheel.session import build_session
+
+    before = (spark.conf.get("spark.sql.shuffle.partitions"), spark.sparkContext.master)
+    again = build_session()
+    assert again.sparkContext is spark.sparkContext
+    assert (again.conf.get("spark.sql.shuffle.partitions"), again.sparkContext.master) == before
+    assert again.conf.get("spark.sql.session.timeZone") == "UTC"
