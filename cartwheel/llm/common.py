@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,29 @@ from cartwheel.session import scratch_path
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this library's modules, once per application, so
+    Python stages run wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    target = os.path.join(tempfile.mkdtemp(prefix="ship-"), "cartwheel.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
 def read_documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["simhash", "exact_dedup", "token_files", "packing"]
+MODULES = ["lang_id", "packing", "token_files", "toxicity", "exact_dedup", "simhash"]
 
 
 def _modules():
