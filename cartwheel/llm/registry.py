@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["lang_id", "packing", "token_files", "line_dedup", "toxicity", "exact_dedup", "simhash"]
+MODULES = [
+    "lang_id", "packing", "token_files", "decontaminate", "line_dedup", "toxicity", "exact_dedup", "simhash", "pii",
+]
 
 
 def _modules():
