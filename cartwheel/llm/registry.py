@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = [
-    "lang_id", "packing", "token_files", "decontaminate", "line_dedup", "toxicity", "exact_dedup", "simhash", "pii",
+    "suffix_dedup", "lang_id", "packing", "token_files", "decontaminate", "line_dedup", "toxicity", "exact_dedup", "simhash", "pii",
 ]
 
 
