@@ -36,8 +36,8 @@ from cartwheel.llm.tokens import Encoder
 from cartwheel.session import scratch_path
 
 MAGIC = b"PFORIDS1"
-BLOCK = 128
-FRAME = BLOCK * 8192
+BLOCK = 512
+FRAME = BLOCK * 512
 PERCENTILE = 90
 END_ID = 2
 _TAIL = struct.Struct("<QQIQ8s")
@@ -64,20 +64,19 @@ def encode_blocks(ids: np.ndarray, percentile: float = PERCENTILE, block: int =
     out: list[bytes] = [b""] * nb
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        low = diff[rows] & np.uint64((1 << int(w)) - 1)
-        bits = ((low[:, :, None] >> np.arange(int(w), dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little") if w else None
+        low = (diff[rows] & np.uint64((1 << int(w)) - 1)).astype("<u4")
+        bits = np.unpackbits(low.view(np.uint8).reshape(len(rows), block, 4), axis=2, bitorder="little", count=int(w))
+        packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
         over = need[rows] > w
-        for i, r in enumerate(rows.tolist()):
-            at = np.flatnonzero(over[i])
-            out[r] = b"".join(
-                (
-                    _HEAD.pack(int(least[r]), int(w), len(at)),
-                    packed[i].tobytes() if packed is not None else b"",
-                    at.astype("<u2").tobytes(),
-                    (diff[r, at] >> np.uint64(w)).astype("<u4").tobytes(),
-                )
-            )
+        which, at = np.nonzero(over)
+        high = (diff[rows[which], at] >> np.uint64(w)).astype("<u4")
+        at = at.astype("<u2")
+        ends = np.cumsum(over.sum(axis=1))
+        start = 0
+        for i, (r, end) in enumerate(zip(rows.tolist(), ends.tolist())):
+            head = _HEAD.pack(int(least[r]), int(w), end - start)
+            out[r] = head + packed[i].tobytes() + at[start:end].tobytes() + high[start:end].tobytes()
+            start = end
     return out
 
 
@@ -94,10 +93,12 @@ def decode_blocks(data: bytes, starts: np.ndarray, block: int = BLOCK) -> np.nda
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
         size = -(-block * int(w) // 8)
-        bits = np.unpackbits(raw[body[rows][:, None] + np.arange(size)], axis=1, bitorder="little")[:, : block * int(w)]
-        out[rows] = bits.reshape(len(rows), block, int(w)) @ (np.uint64(1) << np.arange(int(w), dtype=np.uint64))
+        bits = np.unpackbits(raw[body[rows][:, None] + np.arange(size)], axis=1, bitorder="little", count=block * int(w))
+        whole = np.zeros((len(rows), block, 32), np.uint8)
+        whole[:, :, : int(w)] = bits.reshape(len(rows), block, int(w))
+        out[rows] = np.packbits(whole, axis=2, bitorder="little").view("<u4")[:, :, 0]
     for r in np.flatnonzero(n_over):
-        p = int(body[r]) - 0 + -(-block * int(width[r]) // 8)
+        p = int(body[r]) + -(-block * int(width[r]) // 8)
         k = int(n_over[r])
         place = np.frombuffer(data, "<u2", k, p)
         high = np.frombuffer(data, "<u4", k, p + 2 * k).astype(np.uint64)
