@@ -47,6 +47,11 @@ def text_of(col: str | Column = "text") -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so helper columns beside it clash with none."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below ``spark.checkpoint.dir`` and read back.
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import read_documents, saved, text_of
+from cartwheel.llm.common import read_documents, saved, text_of, whole_row
 
 WORDS = 5
 COVERAGE = 0.5
@@ -59,10 +59,6 @@ def templates(text: Column) -> tuple[Column, Column]:
     return _tokens(canon), _tokens(spaced)
 
 
-def _row_key(text: Column) -> Column:
-    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("bench"), text).alias("b"))
-
-
 def _starts(tokens: Column, words: int) -> Column:
     """Places 0.. of the windows; texts shorter than a window have one window, empty ones none."""
     last = F.greatest(F.size(tokens) - words, F.lit(0))
@@ -93,16 +89,16 @@ def benchmark_windows(benchmark: DataFrame, words: int = WORDS, text: str = "tex
 
 
 def _met(docs: DataFrame, hashes: DataFrame, words: int, text: str) -> DataFrame:
-    """(key, places): texts with a window among ``hashes`` and where. The text
+    """(a, b, places): texts with a window among ``hashes`` and where. The text
     itself does not move; if ``hashes`` is small by count it is broadcast,
     otherwise both sides are shuffled on the hash."""
     rows = docs.select(text_of(text).alias("t"))
     canon, _ = templates(F.col("t"))
-    rows = rows.select(_row_key(F.col("t")).alias("key"), canon.alias("c"))
-    each = rows.select("key", F.posexplode(_window_hashes(F.col("c"), words)).alias("pos", "h"))
+    rows = rows.select(F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"), canon.alias("c"))
+    each = rows.select("a", "b", F.posexplode(_window_hashes(F.col("c"), words)).alias("pos", "h"))
     hit = each.join(F.broadcast(hashes) if hashes.count() <= BROADCAST_WINDOWS else hashes, "h")
     # equal texts share a key; a place counts once
-    places = hit.select("key.a", "key.b", "pos").distinct()
+    places = hit.select("a", "b", "pos").distinct()
     return saved(places.groupBy("a", "b").agg(F.collect_list("pos").alias("places")), "bench-met")
 
 
@@ -184,9 +180,9 @@ def drop_contaminated(
 ) -> DataFrame:
     """``docs`` without the documents that an item contaminates; all columns kept."""
     found = contaminated(docs, benchmark, words, coverage, text).select("a", "b").distinct()
-    keyed = docs.withColumn("_a", F.xxhash64(text_of(text))).withColumn("_b", F.xxhash64(F.lit("bench"), text_of(text)))
-    clean = keyed.join(found, (F.col("_a") == F.col("a")) & (F.col("_b") == F.col("b")), "left_anti")
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+    t = text_of(text)
+    keyed = docs.select(whole_row(docs), F.xxhash64(t).alias("a"), F.xxhash64(F.lit("bench"), t).alias("b"))
+    return keyed.join(found, ["a", "b"], "left_anti").select("row.*")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

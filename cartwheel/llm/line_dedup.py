@@ -25,18 +25,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import read_documents, saved, text_of
+from cartwheel.llm.common import read_documents, saved, text_of, whole_row
 from cartwheel.llm.order import running_start
 
 MIN_WORDS = 5
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _row_key(doc_id: str, text: Column) -> list[Column]:
+def _row_key(doc_id: Column, text: Column) -> list[Column]:
     """Two 64-bit hashes of (doc_id, text); rows that agree are repeated rows."""
     return [
-        F.xxhash64(F.col(doc_id), text).alias("_k1"),
-        F.xxhash64(F.lit("line"), text, F.col(doc_id)).alias("_k2"),
+        F.xxhash64(doc_id, text).alias("_k1"),
+        F.xxhash64(F.lit("line"), text, doc_id).alias("_k2"),
     ]
 
 
@@ -50,7 +50,7 @@ def line_table(docs: DataFrame, text: str = "text") -> DataFrame:
     the words of the row before and after the line, id the line's digest."""
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
-        *_row_key("doc_id", text_of(text)),
+        *_row_key(F.col("doc_id").cast("bigint"), text_of(text)),
         F.transform(
             _lines(text_of(text)),
             lambda x: F.struct(F.unhex(F.md5(x)).alias("id"), F.regexp_count(x, F.lit(_WORD)).alias("w")),
@@ -152,19 +152,20 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text")
     extra = ["n_lines", "n_removed", "n_runs"]
     gone = removed_lines(docs, min_words, text)
     kept = docs.drop(*extra)
-    keyed = kept.withColumn("_id", F.col("doc_id").cast("bigint"))
-    keyed = keyed.select("*", *_row_key("_id", text_of(text))).drop("_id")
+    body = text_of(F.col("row").getField(text))
+    id_of = F.col("row").getField("doc_id").cast("bigint")
+    keyed = kept.select(whole_row(kept)).select("row", *_row_key(id_of, body))
     # repeated rows are alike, so any numbering of them will do
     copy = F.row_number().over(Window.partitionBy("_k1", "_k2").orderBy("_k1")).cast("bigint")
     joined = keyed.withColumn("_copy", copy).join(gone, ["_k1", "_k2", "_copy"], "left")
-    lines = _lines(text_of(text))
+    lines = _lines(body)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    cleaned = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(
+    cleaned = F.when(F.col("_gone").isNull(), F.col("row").getField(text)).otherwise(
         F.array_join(F.transform(left, lambda p: F.get(lines, p)), "\n")
     )
     starts = F.filter("_gone", lambda p, i: (i == 0) | (F.get("_gone", i - 1) != p - 1))
     return joined.select(
-        *[cleaned.alias(c) if c == text else F.col(f"`{c}`") for c in kept.columns],
+        *[(cleaned if c == text else F.col("row").getField(c)).alias(c) for c in kept.columns],
         F.size(lines).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_removed"),
         F.when(F.col("_gone").isNull(), 0).otherwise(F.size(starts)).cast("bigint").alias("n_runs"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import graph
-from cartwheel.llm.common import read_documents, saved, text_of
+from cartwheel.llm.common import read_documents, saved, text_of, whole_row
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -197,11 +197,7 @@ def near_duplicates(
     """
     fps = saved(fingerprints(docs, n, text), "simhash-fp")
     least = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    comp = saved(graph.components(links(least.select("fp"), max_bits, group)), "simhash-components")
-    # fingerprints without a link are their own component
-    of = least.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp")
-    )
+    of = least.join(_components(least.select("fp"), max_bits, group), "fp")
     names = saved(of.groupBy("component").agg(F.min("least").alias("component_id")), "simhash-names")
     named = saved(of.join(names, "component").select("fp", "component_id"), "simhash-named")
     return fps.join(named, "fp").select(
@@ -209,6 +205,38 @@ def near_duplicates(
     )
 
 
+def _components(distinct: DataFrame, max_bits: int, group: int) -> DataFrame:
+    """(fp, component) of every fingerprint; one without a link is its own component."""
+    comp = saved(graph.components(links(distinct, max_bits, group)), "simhash-components")
+    of = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
+    return saved(of.select("fp", F.coalesce("component", "fp").alias("component")), "simhash-component-of")
+
+
+def keep_one(
+    docs: DataFrame, n: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, group: int = GROUP, text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that stay when each group of near-duplicates keeps
+    one: that with the smallest doc_id (null last), then the smallest hash of
+    its text. Of equal rows (doc_id and text) any one stays."""
+    body = text_of(text)
+    key = [F.xxhash64(body).alias("_r"), F.xxhash64(F.col("doc_id").cast("bigint"), body).alias("_q")]
+
+    def run(batches):
+        for pdf in batches:
+            pdf["fp"] = np.array([fingerprint(t, n) for t in pdf["text"]], np.uint64).view(np.int64)
+            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
+            yield pdf[["doc_id", "_r", "_q", "fp"]]
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *key, body.alias("text"))
+    fps = saved(rows.mapInPandas(run, "doc_id bigint, _r bigint, _q bigint, fp bigint"), "simhash-rows")
+    of = _components(fps.select("fp").distinct(), max_bits, group)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_r", "_q"))
+    per_fp = saved(fps.groupBy("fp").agg(best.alias("best")), "simhash-best-of-fp")
+    stays = per_fp.join(of, "fp").groupBy("component").agg(F.min("best").alias("best")).select("best._r", "best._q")
+    kept = docs.select(whole_row(docs), *key).join(saved(stays, "simhash-stays"), ["_r", "_q"], "left_semi")
+    return kept.dropDuplicates(["_r", "_q"]).select("row.*")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_documents(spark, sf_dir))
 
