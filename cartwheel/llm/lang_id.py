@@ -173,13 +173,16 @@ def _expected(vocab: Vocabulary, group: list[str], lang: np.ndarray, n_of: np.nd
             beta[:, n] = 1
             z = np.maximum(alpha[:, n], 1e-300)
             share = n_of[at] / z
+            flat, weight = [], []
             for j in range(n, 0, -1):  # beta at j is complete when the pieces that end there are taken
                 beta[:, j - 1] += beta[:, j] * (UNSEEN * SCALE)
                 for i, size, rows, ids in found.get(j, ()):
                     step = prob(rows, ids)[:, 0] * SCALE**size * beta[rows, j]
                     beta[rows, i] += step
-                    flat = ids.astype(np.int64) * model.shape[1] + own[rows]
-                    total += np.bincount(flat, alpha[rows, i] * step * share[rows], model.size).reshape(model.shape)
+                    flat.append(ids.astype(np.int64) * model.shape[1] + own[rows])
+                    weight.append(alpha[rows, i] * step * share[rows])
+            if flat:
+                total += np.bincount(np.concatenate(flat), np.concatenate(weight), model.size).reshape(model.shape)
     return total
 
 
@@ -206,6 +209,19 @@ def word_counts(train: DataFrame, langs: list[str]) -> DataFrame:
     return rows.groupBy("word", "lang").agg(F.sum("n").alias("n"))
 
 
+def _gathered(batches, rows: int = 100_000):
+    """Batches joined to about ``rows`` rows: the work per call is on whole columns."""
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= rows:
+            yield pd.concat(held)
+            held, n = [], 0
+    if held:
+        yield pd.concat(held)
+
+
 def fit(train: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> tuple[list[str], np.ndarray]:
     """Languages and their piece probabilities (pieces, languages), from all rows
     of ``train`` (text, lang) with a language."""
@@ -224,7 +240,7 @@ def fit(train: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> tuple[l
         def run(batches):
             now, v = shared.value, vocabulary(vocabulary_path)  # noqa: B023
             total = np.zeros(now.shape)
-            for pdf in batches:
+            for pdf in _gathered(batches):
                 total += _expected(v, pdf["word"].tolist(), pdf["lang"].to_numpy(), pdf["n"].to_numpy(float), now)
             piece, lang = np.nonzero(total)
             yield pd.DataFrame({"piece": piece, "lang": lang, "n": total[piece, lang]})
