@@ -2,30 +2,22 @@
 
 Plain Parquet tables cannot ``MERGE``; and a path must never be overwritten
 while it is being read. Each upsert therefore writes the merged table as a
-new version directory ``v=NNNNNN``; Spark's ``_SUCCESS`` marker is written
-last and makes the version visible. Readers take the newest committed
-version; a failed write leaves the previous version current. With a table
-format that supports it, ``MERGE INTO`` replaces this module.
+new version directory ``v=NNNNNN`` and marks it committed; readers take the
+newest committed version, so a failed write leaves the previous one current.
+Versions older than the last ``keep`` are removed after the commit, the
+staging copy too. With a table format that supports it, ``MERGE INTO``
+replaces this module.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import list_dir, path_exists
+from ..sinks.commit import commit, committed_children, remove
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    out = []
-    for name in list_dir(spark, root):
-        if name.startswith("v="):
-            try:
-                n = int(name[2:])
-            except ValueError:
-                continue
-            if path_exists(spark, f"{root}/{name}/_SUCCESS"):
-                out.append(n)
-    return sorted(out)
+    return sorted(int(n[2:]) for n in committed_children(spark, root, "v=") if n[2:].isdigit())
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
@@ -38,7 +30,14 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{root}/v={v:06d}")
 
 
-def upsert(spark: SparkSession, root: str, src: DataFrame, key: str | list[str]) -> DataFrame:
+def write_version(spark: SparkSession, root: str, df: DataFrame) -> DataFrame:
+    """``df`` as the next committed version (an uncommitted attempt of that number is replaced)."""
+    path = f"{root}/v={(current_version(spark, root) or 0) + 1:06d}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(commit(spark, path))
+
+
+def upsert(spark: SparkSession, root: str, src: DataFrame, key: str | list[str], keep: int = 2) -> DataFrame:
     """INSERT OR REPLACE semantics: rows of ``src`` replace target rows with the
     same key; other target rows stay. ``src`` must be unique on ``key``.
 
@@ -49,11 +48,12 @@ def upsert(spark: SparkSession, root: str, src: DataFrame, key: str | list[str])
     """
     keys = [key] if isinstance(key, str) else list(key)
     current = read_current(spark, root)
-    nxt = (current_version(spark, root) or 0) + 1
-    staged_path = f"{root}/_staging/v={nxt:06d}"
+    staged_path = f"{root}/_staging/{(current_version(spark, root) or 0) + 1:06d}"
     src.write.mode("overwrite").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
     merged = staged if current is None else current.join(staged.select(*keys), keys, "left_anti").unionByName(staged)
-    path = f"{root}/v={nxt:06d}"
-    merged.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    out = write_version(spark, root, merged)
+    remove(spark, staged_path)
+    for old in _versions(spark, root)[:-keep]:
+        remove(spark, f"{root}/v={old:06d}")
+    return out

@@ -67,8 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
     Uses the session's checkpoint directory (``spark.checkpoint.dir`` or one
-    set with ``setCheckpointDir``); only when none is configured a local
-    folder is created, which is meant for tests and single-machine runs.
+    set with ``setCheckpointDir``). Without one a local folder is created if
+    the master is local (tests, single-machine runs); on a cluster that is an
+    error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,6 +79,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that all executors share: "
+                "a folder of this machine would be lost with it"
+            )
         configured = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -3,46 +3,42 @@
 Used to cut lineage and to reuse an expensive derived table (for example the
 numbered order items) across the queries of one application. The table is
 written once per (application, key) and read back, so every later plan
-starts from a Parquet scan with pruning and pushdown.
+starts from a Parquet scan with pruning and pushdown. ``refresh`` rebuilds it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import path_exists, scratch_path
+from ..session import scratch_path
 
-_WRITTEN: dict[tuple[str, str], str] = {}
 _FRAMES: dict[tuple[str, str, int], DataFrame] = {}
+#: Seconds each table took to build, by key, for the benchmark.
+BUILD_SECONDS: dict[str, float] = {}
 
 
-def _key_path(spark: SparkSession, key: str) -> str:
-    app = spark.sparkContext.applicationId
-    digest = hashlib.sha1(f"{app}|{key}".encode()).hexdigest()[:16]
-    return scratch_path(spark, "tables", digest, unique=False)
+def materialized(
+    spark: SparkSession, key: str, build, fmt: str = "parquet", schema=None, refresh: bool = False
+) -> DataFrame:
+    """The table for ``key``: built and written the first time, or again with ``refresh``.
 
-
-def materialized(spark: SparkSession, key: str, build, fmt: str = "parquet", schema=None) -> DataFrame:
-    """Return the table for ``key``; ``build()`` runs and is written only the first time.
-
-    ``fmt`` is the file format (``parquet``, or ``json`` for raw landed
-    records); ``schema`` is applied when reading back a schema-less format.
+    Every build goes to a new path and is used only when its write has
+    returned, so a failed rebuild leaves the earlier table in use. ``fmt`` is
+    the file format (``parquet``, or ``json`` for raw landed records);
+    ``schema`` is applied when reading back a schema-less format.
     """
-    app = spark.sparkContext.applicationId
-    path = _WRITTEN.get((app, key))
-    frame_key = (app, key, id(spark))  # a frame belongs to one session
-    if path is not None and path_exists(spark, path + "/_SUCCESS") and frame_key in _FRAMES:
-        return _FRAMES[frame_key]
-    if path is None or not path_exists(spark, path + "/_SUCCESS"):
-        path = _key_path(spark, key)
-        if not path_exists(spark, path + "/_SUCCESS"):
-            build().write.mode("overwrite").format(fmt).save(path)
-        _WRITTEN[(app, key)] = path
-    reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    # the read-back frame is kept: a later call reuses its resolved schema
-    _FRAMES[frame_key] = reader.load(path)
+    frame_key = (spark.sparkContext.applicationId, key, id(spark))  # a frame belongs to one session
+    if refresh or frame_key not in _FRAMES:
+        digest = hashlib.sha1(key.encode()).hexdigest()[:16]
+        path = scratch_path(spark, "tables", digest)
+        began = time.time()
+        build().write.format(fmt).save(path)
+        BUILD_SECONDS[key] = round(time.time() - began, 3)
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        _FRAMES[frame_key] = reader.load(path)
     return _FRAMES[frame_key]

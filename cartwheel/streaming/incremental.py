@@ -3,36 +3,41 @@
 Batch form (``incremental_run``), per run:
 
 1. read the high-water mark from a one-row state table (default epoch, I1);
-2. extract source rows with ``ts > mark - lookback`` - the mark is a plain
-   literal, so the predicate reaches the Parquet scan (``PushedFilters``);
-3. stop if nothing was extracted (F24);
-4. land the batch unmodified under ``batch_id=<id>`` (K5, audit trail);
-5. keep the first row per key inside the batch (F9) and drop keys already in
-   the target (anti join, J10); append the rest with a load time (K7, F23);
-6. only then move the mark to the batch maximum (I2). A batch whose rows are
-   all present already also moves the mark, so it is not re-read forever (I8).
-
-Both layers (strict ``>`` and the key anti join) make a repeated run a no-op.
-``lookback`` re-reads a window below the mark so ties and late rows at the
-mark are not lost (I6); the anti join drops what was loaded before.
+2. extract the source rows to look at: all of them by default, because a late
+   or tied row below the mark must not be lost; with ``lookback`` only
+   ``ts > mark - lookback``, as a literal that reaches the Parquet scan
+   (``PushedFilters``) - a bound the caller must know to hold;
+3. land them unmodified under ``batch_id=<id>`` (K5, audit trail); a repeated
+   batch id replaces its own landing; stop if nothing was extracted (F24);
+4. keep the first row per key inside the batch (F9) and drop keys already in
+   the target (anti join, J10); write the rest with a load time as the
+   batch's own directory of the target (K7, F23) and commit it; a batch
+   whose rows are all present leaves no directory;
+5. only then move the mark to the batch maximum (I2), also when nothing was
+   new, so a bounded run does not re-read the same rows forever (I8).
+
+The target is the union of its committed batch directories; the commit marker
+is ours, not Spark's ``_SUCCESS``. The key anti join makes every replay a
+no-op, and a replayed batch replaces what it wrote before.
 
 Stream form (``stream_load``): a file source read with Structured Streaming,
-``trigger(availableNow=True)``, and ``foreachBatch`` doing land + anti join +
-append. The streaming checkpoint replaces the mark; a new checkpoint replays
-every file and the anti join keeps the target unchanged (I3).
+``trigger(availableNow=True)``, and ``foreachBatch`` doing the same with the
+epoch as batch id. The streaming checkpoint replaces the mark; a new
+checkpoint replays every file and the anti join keeps the target unchanged (I3).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import keep_first_by
-from ..operators.upsert import current_version
-from ..session import path_exists
+from ..operators.upsert import read_current, write_version
+from ..sinks.commit import commit, committed_children, remove
 
 DEFAULT_MARK = dt.datetime(1970, 1, 1)
 
@@ -45,18 +50,13 @@ class WatermarkState:
         self.root = root
 
     def read(self) -> dt.datetime:
-        v = current_version(self.spark, self.root)
-        if v is None:
-            return DEFAULT_MARK
-        row = self.spark.read.parquet(f"{self.root}/v={v:06d}").first()
+        state = read_current(self.spark, self.root)
+        row = state.first() if state is not None else None
         return row["watermark"] if row and row["watermark"] is not None else DEFAULT_MARK
 
     def write(self, mark: DataFrame) -> None:
         """``mark`` is a one-row frame with a ``watermark`` column (computed by Spark)."""
-        v = (current_version(self.spark, self.root) or 0) + 1
-        mark.select(F.col("watermark").cast("timestamp")).coalesce(1).write.mode("errorifexists").parquet(
-            f"{self.root}/v={v:06d}"
-        )
+        write_version(self.spark, self.root, mark.select(F.col("watermark").cast("timestamp")).coalesce(1))
 
     def reset(self) -> None:
         """The next run starts from the default mark (history is kept)."""
@@ -64,27 +64,35 @@ class WatermarkState:
 
 
 def extract_new(source: DataFrame, ts_col: str, since: dt.datetime, lookback: dt.timedelta | None = None) -> DataFrame:
-    """Rows strictly after the mark (minus the lookback), typed compare."""
-    bound = since - lookback if lookback else since
-    return source.where(F.col(ts_col) > F.lit(bound).cast("timestamp"))
+    """Rows strictly after the mark minus ``lookback`` (zero for a
+    strict mark); every row when there is no ``lookback``."""
+    if lookback is None:
+        return source
+    return source.where(F.col(ts_col) > F.lit(since - lookback).cast("timestamp"))
 
 
-def land(batch: DataFrame, landing_root: str, batch_id: str) -> DataFrame:
-    """K5: write the batch unmodified under its own partition and read it back."""
-    batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("batch_id").parquet(landing_root)
-    return batch.sparkSession.read.parquet(landing_root).where(F.col("batch_id") == batch_id).drop("batch_id")
+def land(spark: SparkSession, batch: DataFrame, landing_root: str, batch_id: str) -> tuple[DataFrame, int]:
+    """K5: write the batch unmodified under its own partition, replacing an
+    earlier landing of the same id; returns it read back and its row count
+    (taken from the write itself)."""
+    path = f"{landing_root}/batch_id={batch_id}"
+    obs = Observation()
+    batch.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(batch.schema).parquet(path), obs.get["rows"]
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, key: str, ts_col: str) -> DataFrame:
     """J10 + F9: first row per key within the batch, minus keys already loaded.
 
-    ``batch LEFT ANTI JOIN target`` could only build on the target side and
-    would shuffle the whole, ever-growing target every run. Instead the
-    target's key column is semi-joined to the batch's distinct keys (the
-    small side, which Spark broadcasts when its measured size allows), and
-    the batch is anti-joined to that small hit list.
+    Rows of one key are ordered by time and then by every other column, so
+    ties are settled by content. ``batch LEFT ANTI JOIN target`` could only
+    build on the target side and would shuffle the whole, ever-growing target
+    every run. Instead the target's key column is semi-joined to the batch's
+    distinct keys (the small side, which Spark broadcasts when its measured
+    size allows), and the batch is anti-joined to that small hit list.
     """
-    first = keep_first_by(batch, key, [ts_col, key])
+    rest = [c for c in batch.columns if c not in (ts_col, key)]
+    first = keep_first_by(batch, key, [ts_col, *rest])
     if target is None:
         return first
     # the same key set as ``first``'s, taken from the landed batch so the
@@ -94,8 +102,35 @@ def new_rows(batch: DataFrame, target: DataFrame | None, key: str, ts_col: str)
     return first.join(already, key, "left_anti")
 
 
-def _read_target(spark: SparkSession, target_root: str) -> DataFrame | None:
-    return spark.read.parquet(target_root) if path_exists(spark, f"{target_root}/_SUCCESS") else None
+def read_loaded(spark: SparkSession, target_root: str, without: str | None = None) -> DataFrame | None:
+    """The target: its committed batches, but not the one named ``without``."""
+    names = [n for n in committed_children(spark, target_root, "batch=") if n != f"batch={without}"]
+    return spark.read.parquet(*[f"{target_root}/{n}" for n in names]) if names else None
+
+
+def _load(
+    spark: SparkSession, landed: DataFrame, target_root: str, batch_id: str, key: str, ts_col: str, loaded_at: Column
+) -> int:
+    """The batch's new rows as its committed directory of the target; returns how many."""
+    path = f"{target_root}/batch={batch_id}"
+    fresh = new_rows(landed, read_loaded(spark, target_root, batch_id), key, ts_col)
+    obs = Observation()
+    # T5: rows sorted by event time inside each file keep Parquet min/max
+    # statistics tight, so later range scans on ts_col skip row groups
+    out = fresh.withColumn("loaded_at", loaded_at).observe(obs, F.count(F.lit(1)).alias("rows"))
+    out.sortWithinPartitions(ts_col).write.mode("overwrite").parquet(path)
+    if obs.get["rows"]:
+        commit(spark, path)
+    else:
+        remove(spark, path)  # everything was loaded before
+    return obs.get["rows"]
+
+
+def _as_column(at: dt.datetime | Column | None) -> Column:
+    """The load time, the current (UTC) time unless the caller says otherwise."""
+    if at is None:
+        return F.current_timestamp()
+    return at if isinstance(at, Column) else F.lit(at).cast("timestamp")
 
 
 def incremental_run(
@@ -106,29 +141,24 @@ def incremental_run(
     landing_root: str,
     key: str,
     ts_col: str,
-    loaded_at: dt.datetime | Column,
+    loaded_at: dt.datetime | Column | None = None,
     lookback: dt.timedelta | None = None,
     batch_id: str | None = None,
 ) -> dict:
-    """One incremental run; returns what it did (counts come from Spark jobs)."""
+    """One incremental run; returns what it did (counts come from the writes).
+
+    ``lookback=None`` considers every source row (nothing is ever lost); a
+    timedelta bounds the re-read, zero being a strict mark."""
     state = WatermarkState(spark, state_root)
     since = state.read()
-    batch = extract_new(source, ts_col, since, lookback)
-    if batch.isEmpty():
-        return {"since": since, "extracted": 0, "loaded": 0}
     batch_id = batch_id or uuid.uuid4().hex
-    landed = land(batch, landing_root, batch_id)
-    fresh = new_rows(landed, _read_target(spark, target_root), key, ts_col)
-    at = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp")
-    fresh = fresh.withColumn("loaded_at", at)
-    # the row count comes from the write itself (an Observation), not a second pass
-    obs = Observation(f"load_{batch_id}")
-    # T5: rows sorted by event time inside each file keep Parquet min/max
-    # statistics tight, so later range scans on ts_col skip row groups
-    observed = fresh.observe(obs, F.count(F.lit(1)).alias("rows")).sortWithinPartitions(ts_col)
-    observed.write.mode("append").parquet(target_root)
-    state.write(landed.agg(F.max(ts_col).alias("watermark")))
-    return {"since": since, "batch_id": batch_id, "loaded": obs.get.get("rows")}
+    landed, n = land(spark, extract_new(source, ts_col, since, lookback), landing_root, batch_id)
+    if not n:
+        remove(spark, f"{landing_root}/batch_id={batch_id}")
+        return {"since": since, "extracted": 0, "loaded": 0}
+    loaded = _load(spark, landed, target_root, batch_id, key, ts_col, _as_column(loaded_at))
+    state.write(landed.agg(F.greatest(F.max(ts_col), F.lit(since).cast("timestamp")).alias("watermark")))
+    return {"since": since, "batch_id": batch_id, "extracted": n, "loaded": loaded}
 
 
 def stream_load(
@@ -140,23 +170,26 @@ def stream_load(
     checkpoint: str,
     key: str,
     ts_col: str,
-    loaded_at_base: dt.datetime,
+    loaded_at: Callable[[int], dt.datetime | Column] | None = None,
     max_files_per_trigger: int = 1000,
 ) -> None:
     """I5 stream form: process every file present in ``source_dir`` once
     (``availableNow``), each micro-batch landed, de-duplicated against the
-    target and appended. ``loaded_at`` = base + epoch days (replayable).
-    ``availableNow`` honours ``maxFilesPerTrigger``, so a large backlog is
-    worked off in bounded micro-batches rather than one."""
+    target and committed. ``loaded_at`` maps the epoch to a load time; without
+    it the current time is used. ``availableNow`` honours
+    ``maxFilesPerTrigger``, so a large backlog is worked off in bounded
+    micro-batches rather than one. The landed batch is read back in the
+    caller's session, where adaptive execution is on (streaming turns it off
+    in its own)."""
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        if df.isEmpty():
-            return
         bid = f"epoch-{epoch_id:06d}"
-        landed = land(df, landing_root, bid)
-        fresh = new_rows(landed, _read_target(df.sparkSession, target_root), key, ts_col)
-        at = F.lit(loaded_at_base + dt.timedelta(days=epoch_id)).cast("timestamp")
-        fresh.withColumn("loaded_at", at).write.mode("append").parquet(target_root)
+        landed, n = land(spark, df, landing_root, bid)
+        if n:
+            at = _as_column(loaded_at(epoch_id) if loaded_at else None)
+            _load(spark, landed, target_root, bid, key, ts_col, at)
+        else:
+            remove(spark, f"{landing_root}/batch_id={bid}")
 
     q = (
         spark.readStream.schema(schema)
