@@ -28,11 +28,6 @@ def normalize_domain(c: Column, domain: list[str], default: str = "unknown") ->
     return F.when(low.isin(domain), low).otherwise(F.lit(default))
 
 
-def fill_constant(df: DataFrame, values: dict[str, object]) -> DataFrame:
-    """NULL -> constant per column."""
-    return df.na.fill(values)
-
-
 def strip_literal(c: Column, literal: str) -> Column:
     """Remove every occurrence of ``literal`` (no regex)."""
     return F.replace(c, F.lit(literal), F.lit(""))
@@ -72,31 +67,22 @@ def split_by_reason(df: DataFrame, reason_col: str = "reject_reason") -> tuple[D
     return df.where(F.col(reason_col).isNull()).drop(reason_col), df.where(F.col(reason_col).isNotNull())
 
 
-def member_of(df: DataFrame, catalog: DataFrame, key: str, catalog_key: str | None = None) -> DataFrame:
-    """Keep rows whose ``key`` is in the catalog (left semi join; a
-    duplicated catalog id cannot multiply rows, NULL keys are dropped).
-
-    No broadcast hint: the catalog grows with the data; AQE turns it into a
-    broadcast at run time only when its measured size is under the threshold.
-    """
-    ck = catalog_key or key
-    cat = catalog.select(F.col(ck).alias(key))
-    return df.join(cat, key, "left_semi")
+def shuffle_width(df: DataFrame) -> int:
+    """Reducers of the session: as many as NULL keys can be spread over."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-NULL_KEY_SPREAD = 64
-
-
-def spread_key_left(df: DataFrame, key: str, spread: int = NULL_KEY_SPREAD) -> list[Column]:
+def spread_key_left(df: DataFrame, key: str, spread: int | None = None) -> list[Column]:
     """Join key pair (``_cw_k``, ``_cw_s``) for the probing side of a LEFT join.
 
     NULL keys never match, but a hash shuffle would still send every one of
     them to the same reducer. Non-NULL rows get (key, 0); NULL rows get
     (0, 1 + a hash of the row mod ``spread``), which spreads them over
-    ``spread`` reducers and matches nothing on the other side (whose spread is
+    ``spread`` reducers (the session's shuffle width unless given) and matches nothing on the other side (whose spread is
     0). The hash is of the row's values, so a retried task routes every row
     as before.
     """
+    spread = spread or shuffle_width(df)
     dtype = df.schema[key].dataType
     is_null = F.col(key).isNull()
     # map columns cannot be hashed; every other column takes part
@@ -118,7 +104,7 @@ def spread_key_right(key: Column) -> list[Column]:
 
 def mark_membership(
     df: DataFrame, catalog: DataFrame, key: str, flag: str, catalog_key: str | None = None,
-    spread: int = NULL_KEY_SPREAD,
+    spread: int | None = None,
 ) -> DataFrame:
     """``df`` plus a boolean ``flag``: TRUE when ``key`` is in the catalog,
     NULL otherwise (NULL keys included). One left join to the de-duplicated
@@ -139,8 +125,3 @@ def null_or_member_of(df: DataFrame, catalog: DataFrame, key: str, catalog_key:
     pass (``mark_membership``, then a filter on the mark)."""
     marked = mark_membership(df, catalog, key, "_cw_in", catalog_key)
     return marked.where(F.col(key).isNull() | F.col("_cw_in")).drop("_cw_in")
-
-
-def add_constant(df: DataFrame, name: str, value) -> DataFrame:
-    """a load-time constant (one value per batch, e.g. ``loaded_at``)."""
-    return df.withColumn(name, value if isinstance(value, Column) else F.lit(value))

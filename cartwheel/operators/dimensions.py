@@ -3,63 +3,57 @@ merge (D9) and the as-of version join (J16)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cleaning import spread_key_left, spread_key_right
-from ..session import checkpoint_root
+from ..session import scratch_path
 from .numbering import dense_row_number
 
 UNKNOWN_MEMBER = -1
 
-# A calendar of a century is ~36,600 days; a larger "calendar" means a bad
-# date in the data, and the table is no longer hinted for broadcast.
-CALENDAR_BROADCAST_MAX_ROWS = 40_000
 
+def unique_or_fail(df: DataFrame, key: str, what: str) -> DataFrame:
+    """``df``, failing while it is read if two rows share a (non-NULL) ``key``.
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """A broadcast hint only after checking the row count (one count job;
-    cheap on a written table, whose Parquet footers hold the counts). Above
-    the bound the frame is returned as is, so the join stays a shuffled join
-    unless AQE measures it small enough at run time."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    The count is a window over the key, whose partitioning a join on that key
+    reuses, so a duplicated natural key stops the job instead of silently
+    multiplying facts."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    message = F.concat(F.lit(f"{what}: more than one row for {key}="), F.col(key).cast("string"))
+    guarded = F.when((n > 1) & F.col(key).isNotNull(), F.raise_error(message).cast(df.schema[key].dataType))
+    return df.withColumn(key, guarded.otherwise(F.col(key)))
+
+
+def resolve_key(found: Column, key: str, natural: str, policy: str) -> Column:
+    """The surrogate key a lookup found, or what ``policy`` says when it found none."""
+    if policy == "fail":
+        value = F.coalesce(F.col(natural).cast("string"), F.lit("NULL"))
+        message = F.concat(F.lit(f"no {key} for {natural}="), value)
+        return F.when(found.isNull(), F.raise_error(message).cast("bigint")).otherwise(found.cast("bigint"))
+    if policy == "unknown_member":
+        return F.coalesce(found.cast("bigint"), F.lit(UNKNOWN_MEMBER).cast("bigint"))
+    raise ValueError(policy)
 
 
 def lookup_key(
-    facts: DataFrame,
-    dim: DataFrame,
-    natural: str,
-    dim_natural: str,
-    key: str,
-    policy: str = "fail",
-    hint_broadcast: bool = False,
+    facts: DataFrame, dim: DataFrame, natural: str, dim_natural: str, key: str, policy: str = "fail"
 ) -> DataFrame:
     """Natural -> surrogate key by a join with the dimension.
 
     ``policy='fail'`` stops the job when a natural key has no dimension row
     (the check runs inside the plan with ``raise_error``, no extra pass);
-    ``'unknown_member'`` maps it to -1. ``hint_broadcast`` is for dimensions
-    whose size is fixed by construction (stores, promotions, calendar days);
-    others are left to AQE's measured-size decision.
+    ``'unknown_member'`` maps it to -1. A dimension with two rows for one
+    natural key fails. No size hint: adaptive execution broadcasts a dimension
+    it has measured as small; otherwise NULL natural keys (unknown members)
+    are spread over the reducers instead of all hashing to one.
     """
-    if hint_broadcast:
-        d = F.broadcast(dim.select(F.col(dim_natural).alias("_cw_nat"), F.col(key).alias("_cw_key")))
-        joined = facts.join(d, facts[natural] == d["_cw_nat"], "left").drop("_cw_nat")
-    else:
-        # a shuffled join: NULL natural keys (unknown members) are spread over
-        # reducers instead of all hashing to one
-        nat = F.col(dim_natural).cast(facts.schema[natural].dataType)
-        d = dim.where(nat.isNotNull()).select(*spread_key_right(nat), F.col(key).alias("_cw_key"))
-        keyed = facts.select("*", *spread_key_left(facts, natural))
-        joined = keyed.join(d, ["_cw_k", "_cw_s"], "left").drop("_cw_k", "_cw_s")
-    if policy == "fail":
-        message = F.concat(F.lit(f"no {key} for {natural}="), F.coalesce(F.col(natural).cast("string"), F.lit("NULL")))
-        resolved = F.when(F.col("_cw_key").isNull(), F.raise_error(message)).otherwise(F.col("_cw_key"))
-    elif policy == "unknown_member":
-        resolved = F.coalesce(F.col("_cw_key"), F.lit(UNKNOWN_MEMBER))
-    else:
-        raise ValueError(policy)
-    return joined.withColumn(key, resolved.cast("bigint")).drop("_cw_key")
+    nat = F.col(dim_natural).cast(facts.schema[natural].dataType)
+    d = dim.where(nat.isNotNull()).select(nat.alias("_cw_nat"), F.col(key).alias("_cw_key"))
+    d = unique_or_fail(d, "_cw_nat", f"dimension of {key}")
+    d = d.select(*spread_key_right(F.col("_cw_nat")), "_cw_key")
+    joined = facts.select("*", *spread_key_left(facts, natural)).join(d, ["_cw_k", "_cw_s"], "left").drop("_cw_k", "_cw_s")
+    return joined.withColumn(key, resolve_key(F.col("_cw_key"), key, natural, policy)).drop("_cw_key")
 
 
 def promotion_bucket(order_id: Column, rate_per_2_32: int = 644245094, n_promotions: int = 3) -> Column:
@@ -90,22 +84,29 @@ def scd2_merge(
     ones are closed (``valid_to = as_of``, ``is_current = 0``) and a new
     current version opens at ``as_of``; unseen keys get their first version;
     keys missing from the source stay as they are. Closed history is copied.
-    New surrogate keys continue after the current maximum (parallel numbering).
-    The compared rows are checkpointed once and read by every branch.
+
+    Tracked columns only decide whether a version opens. A new version takes
+    every column the source has from the source, and the others from the
+    version it closes (NULL for an unseen key). New surrogate keys continue
+    after the current maximum (parallel numbering). A source with two rows
+    for one natural key fails. The compared rows are written once and read by
+    every branch.
     """
-    cols = [natural, *tracked]
+    own = {key, "valid_from", "valid_to", "is_current"}
+    given = [c for c in dim.columns if c in source.columns and c not in own]
     hist = dim.where(F.col("is_current") == 0)
     cur = dim.where(F.col("is_current") == 1)
-    src = source.select(*[F.col(c).alias(f"_s_{c}") for c in cols])
+    src = unique_or_fail(source.select(*given), natural, "source").select(*[F.col(c).alias(f"_s_{c}") for c in given])
     j = cur.join(src, cur[natural] == src[f"_s_{natural}"], "full_outer")
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
     both = F.col(natural).isNotNull() & F.col(f"_s_{natural}").isNotNull()
     # the compared rows feed three branches, one of them (new keys) in its
-    # own job: a reliable checkpoint computes the full outer join once
-    checkpoint_root(dim.sparkSession)
-    j = j.withColumn("_changed", both & ~same).checkpoint(eager=True)
+    # own job: written once, so the full outer join runs once
+    path = scratch_path(dim.sparkSession, "scd2")
+    j.withColumn("_changed", both & ~same).write.parquet(path)
+    j = dim.sparkSession.read.parquet(path)
     dim_cols = dim.columns
     kept = j.where(F.col(natural).isNotNull() & ~F.col("_changed")).select(*dim_cols)
     closed = (
@@ -115,50 +116,63 @@ def scd2_merge(
         .select(*dim_cols)
     )
     opened = j.where(F.col("_changed") | F.col(natural).isNull()).select(
-        *[F.col(f"_s_{c}").alias(c) for c in cols]
+        *[F.col(f"_s_{c}").alias(c) if c in given else F.col(c) for c in dim_cols if c not in own]
     )
     max_key = dim.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    numbered = dense_row_number(opened, [natural], key, start=max_key + 1)
-    version_cols = {
-        "valid_from": as_of.cast("date"),
-        "valid_to": F.lit(None).cast("date"),
-        "is_current": F.lit(1),
-    }
-
-    def fresh_col(c: str) -> Column:
-        if c in cols or c == key:
-            return F.col(c)
-        if c in version_cols:
-            return version_cols[c].alias(c)
-        return F.lit(None).cast(dim.schema[c].dataType).alias(c)
-
-    fresh = numbered.select(*[fresh_col(c) for c in dim_cols])
-    out = hist.unionByName(kept).unionByName(closed).unionByName(fresh)
+    fresh = dense_row_number(opened, [natural], key, start=max_key + 1).withColumns(
+        {
+            "valid_from": as_of.cast("date"),
+            "valid_to": F.lit(None).cast("date"),
+            "is_current": F.lit(1),
+        }
+    )
+    out = hist.unionByName(kept).unionByName(closed).unionByName(fresh.select(*dim_cols))
     return out.withColumn("is_current", F.col("is_current").cast("int"))
 
 
 def asof_version(
-    facts: DataFrame, versions: DataFrame, natural: str, ts: str, open_first: bool = True
+    facts: DataFrame,
+    versions: DataFrame,
+    natural: str,
+    ts: str,
+    key: str,
+    policy: str = "unknown_member",
+    open_first: bool = True,
 ) -> DataFrame:
     """Attach the dimension version valid at the fact's time.
 
-    Equi-join on the natural key plus the range ``valid_from <= ts <
+    Left join on the natural key plus the range ``valid_from <= ts <
     valid_to`` (open end when NULL), so the join stays a hash/sort-merge join
-    with a residual filter. With ``open_first`` the earliest version of each
-    key also covers all earlier facts (no sale is left without a version).
+    with a residual filter and no fact is lost: one without a version (NULL or
+    unknown natural key) gets ``policy`` as in :func:`lookup_key`, -1 or a
+    failure. With ``open_first`` the earliest version of each key also covers
+    all earlier facts.
     """
-    v = versions
     if open_first:
         first = versions.groupBy(natural).agg(F.min("valid_from").alias("_first_from"))
         v = versions.join(first, natural).withColumn(
-            "_from", F.when(F.col("valid_from") == F.col("_first_from"), F.lit(None)).otherwise(F.col("valid_from"))
+            "_from", F.when(F.col("valid_from") != F.col("_first_from"), F.col("valid_from"))
         ).drop("_first_from")
     else:
         v = versions.withColumn("_from", F.col("valid_from"))
-    v = v.withColumnRenamed(natural, "_v_nat")
+    nat = F.col(natural).cast(facts.schema[natural].dataType)
+    v = v.where(nat.isNotNull()).select("*", *spread_key_right(nat)).drop(natural)
+    f = facts.select("*", *spread_key_left(facts, natural))
     cond = (
-        (facts[natural] == v["_v_nat"])
-        & (v["_from"].isNull() | (facts[ts] >= v["_from"]))
-        & (v["valid_to"].isNull() | (facts[ts] < v["valid_to"]))
+        (f["_cw_k"] == v["_cw_k"])
+        & (f["_cw_s"] == v["_cw_s"])
+        & (v["_from"].isNull() | (f[ts] >= v["_from"]))
+        & (v["valid_to"].isNull() | (f[ts] < v["valid_to"]))
     )
-    return facts.join(v, cond, "inner").drop("_v_nat", "_from")
+    joined = f.join(v, cond, "left").drop("_cw_k", "_cw_s", "_from")
+    return joined.withColumn(key, resolve_key(F.col(key), key, natural, policy))
+
+
+def attach_calendar(facts: DataFrame, calendar: DataFrame) -> DataFrame:
+    """The calendar's columns by ``date_key``; a day the calendar does not
+    cover fails instead of dropping its facts."""
+    others = [c for c in calendar.columns if c != "date_key"]
+    joined = facts.join(calendar.withColumn("_cw_day", F.lit(True)), "date_key", "left")
+    message = F.concat(F.lit("the calendar has no day "), F.coalesce(F.col("date_key").cast("string"), F.lit("NULL")))
+    checked = F.when(F.col("_cw_day").isNull(), F.raise_error(message).cast("bigint")).otherwise(F.col("date_key"))
+    return joined.select(checked.alias("date_key"), *[c for c in facts.columns if c != "date_key"], *others)

@@ -1,12 +1,12 @@
 """Parallel dense numbering 1..N.
 
 ``row_number()`` over an un-partitioned window moves every row into one task.
-Instead the rows are range-partitioned on the ordering key, sorted inside
-each partition and checkpointed (reliable checkpoint, so counting and
-numbering read identical partitions even after an executor loss). Each row
-then gets ``offset(partition) + position``; the offsets table has one row per
-partition, a size bound fixed by the partition count, so it is broadcast.
-The result equals the global ``row_number()`` over the same order.
+Instead the rows are range-partitioned on the ordering key and sorted inside
+each partition, and the result is written as Parquet with each row's
+partition and position (so counting and numbering read the same rows, also
+after an executor loss). Row number = rows of earlier partitions + position;
+the table of partition counts has one row per partition. The result equals
+the global ``row_number()`` over the same order.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 _LOW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
@@ -26,30 +26,29 @@ def dense_row_number(
     num_partitions: int | None = None,
     start: int | Column = 1,
 ) -> DataFrame:
-    """Add ``out_col`` = global row number by ``order_by`` (ascending), starting at ``start``."""
+    """Add ``out_col`` = global row number by ``order_by`` (ascending), starting at ``start``.
+
+    Without ``num_partitions`` the session's shuffle width is the upper bound
+    and adaptive execution merges small ranges by size.
+    """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    n = num_partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
-    tagged = ranged.withColumn("_cw_mid", F.monotonically_increasing_id())
-    tagged = tagged.withColumn("_cw_pid", F.shiftright("_cw_mid", _LOW_BITS))
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    mid = F.monotonically_increasing_id()
+    tagged = ranged.sortWithinPartitions(*cols).withColumn("_cw_mid", mid)
+    path = scratch_path(spark, "numbered")
+    tagged.write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("_cw_pid", F.shiftright("_cw_mid", _LOW_BITS))
+    before = Window.orderBy("_cw_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        tagged.groupBy("_cw_pid")
+        stored.groupBy("_cw_pid")
         .agg(F.count(F.lit(1)).alias("_cw_n"))
-        .withColumn(
-            "_cw_off",
-            F.coalesce(
-                F.sum("_cw_n").over(Window.orderBy("_cw_pid").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ),
-        )
-        .select("_cw_pid", "_cw_off")
+        .select("_cw_pid", F.coalesce(F.sum("_cw_n").over(before), F.lit(0)).alias("_cw_off"))
     )
     start_col = start if isinstance(start, Column) else F.lit(start)
     local_pos = F.col("_cw_mid") - F.shiftleft(F.col("_cw_pid"), _LOW_BITS)
     return (
-        tagged.join(F.broadcast(offsets), "_cw_pid")
+        stored.join(offsets, "_cw_pid")
         .withColumn(out_col, (F.col("_cw_off") + local_pos + start_col).cast("bigint"))
         .drop("_cw_mid", "_cw_pid", "_cw_off")
     )

@@ -66,52 +66,47 @@ class TableRules:
 def check_table(df: DataFrame, rules: TableRules, parents: dict[str, DataFrame]) -> DataFrame:
     """(table_name, rule, violations) rows for one table.
 
-    NOT NULL and CHECK rules share one scan; a CHECK that evaluates to NULL
-    passes, as in SQL. UNIQUE counts rows beyond the first per non-NULL key.
-    A foreign key counts non-NULL child keys missing from the parent (anti join).
+    The first unique key (the primary key) groups the rows once; the groups
+    carry the NOT NULL and CHECK counts, so those and that key's repeats come
+    from one scan and one shuffle whose map side reduces a hot key. A CHECK
+    that evaluates to NULL passes, as in SQL; UNIQUE counts rows beyond the
+    first per non-NULL key. A foreign key counts non-NULL child keys missing
+    from the parent: the child keys are counted first (one row per key and map
+    task), then anti-joined.
     """
-    parts: list[DataFrame] = []
-    scalar_rules: list[tuple[str, Column]] = [(f"not_null({c})", F.col(c).isNull()) for c in rules.not_null]
-    scalar_rules += [(f"check({name})", ~cond) for name, cond in rules.checks.items()]
-    if scalar_rules:
-        agg = df.agg(*[F.count_if(cond).alias(f"r{i}") for i, (_, cond) in enumerate(scalar_rules)])
-        stacked = agg.select(
-            F.explode(
-                F.array(
-                    *[
-                        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").cast("bigint").alias("violations"))
-                        for i, (name, _) in enumerate(scalar_rules)
-                    ]
-                )
-            ).alias("x")
-        )
-        parts.append(stacked.select(F.lit(rules.name).alias("table_name"), "x.rule", "x.violations"))
-    for key in rules.unique:
-        dup = (
-            df.na.drop(subset=key)
-            .groupBy(*key)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations"))
-        )
-        parts.append(dup.select(F.lit(rules.name).alias("table_name"), F.lit(f"unique({','.join(key)})").alias("rule"), "violations"))
+    counted = [(f"not_null({c})", F.col(c).isNull()) for c in rules.not_null]
+    counted += [(f"check({name})", ~cond) for name, cond in rules.checks.items()]
+    names = [name for name, _ in counted]
+    sums = [F.count_if(cond).alias(f"r{i}") for i, (_, cond) in enumerate(counted)]
+    if rules.unique:
+        key = rules.unique[0]
+        per_key = df.groupBy(*key).agg(*sums, F.count(F.lit(1)).alias("_n"))
+        whole = F.lit(True)
+        for c in key:
+            whole = whole & F.col(c).isNotNull()
+        repeats = F.sum(F.when(whole, F.col("_n") - 1).otherwise(0)).alias(f"r{len(names)}")
+        totals = per_key.agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(names))], repeats)
+        names.append(f"unique({','.join(key)})")
+    else:
+        totals = df.agg(*sums)
+    rule = [
+        F.struct(F.lit(name).alias("rule"), F.coalesce(F.col(f"r{i}"), F.lit(0)).cast("bigint").alias("violations"))
+        for i, name in enumerate(names)
+    ]
+    parts = [totals.select(F.explode(F.array(*rule)).alias("x")).select("x.rule", "x.violations")]
+    for key in rules.unique[1:]:
+        dup = df.na.drop(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        many = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations")
+        parts.append(dup.agg(many).select(F.lit(f"unique({','.join(key)})").alias("rule"), "violations"))
     for col, parent, pcol in rules.foreign_keys:
         pk = parents[parent].select(F.col(pcol).alias(col))
-        # child keys with their row counts first: the partial aggregate leaves
-        # one row per key per map task, so a key held by a third of the rows
-        # does not travel to one reducer; the anti join then sums the counts
         keyed = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-        missing = keyed.join(pk, col, "left_anti")
-        parts.append(
-            missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations")).select(
-                F.lit(rules.name).alias("table_name"),
-                F.lit(f"fk({col}->{parent}.{pcol})").alias("rule"),
-                "violations",
-            )
-        )
+        lost = keyed.join(pk, col, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
+        parts.append(lost.select(F.lit(f"fk({col}->{parent}.{pcol})").alias("rule"), "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.select(F.lit(rules.name).alias("table_name"), "rule", "violations")
 
 
 def apply_defaults(df: DataFrame, defaults: dict[str, Column | object]) -> DataFrame:

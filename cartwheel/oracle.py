@@ -18,8 +18,8 @@ _STATUS = (
     "WHEN o_orderstatus = 'P' THEN 'cancelled' END"
 )
 _REASON = (
-    "CASE {x} % 5 WHEN 0 THEN 'defective' WHEN 1 THEN 'wrong_item' WHEN 2 THEN 'not_as_described' "
-    "WHEN 3 THEN 'changed_mind' ELSE 'too_late' END"
+    "CASE {x} % 5 WHEN 0 THEN 'defective' WHEN 1 THEN 'wrong_item' WHEN 2 THEN 'no_longer_needed' "
+    "WHEN 3 THEN 'better_price_found' ELSE 'damaged_in_shipping' END"
 )
 
 _CHANNEL = "CASE o_orderkey % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile_app' ELSE 'marketplace' END"
@@ -115,7 +115,7 @@ UNION ALL SELECT * FROM raw_orders_base WHERE CAST(order_row_id AS BIGINT) % 50
         ["raw_orders_base"],
     ),
     "mkt_first": (
-        f"""SELECT o_orderkey // 150 + 1 AS page, o_orderkey AS seq,
+        f"""SELECT o_orderkey // 50 + 1 AS page, o_orderkey AS seq,
        'MKT-' || CAST(o_orderkey AS VARCHAR) AS marketplace_order_id,
        'buyer' || CAST(o_custkey AS VARCHAR) || '@marketplace-example.com' AS customer_email,
        CASE WHEN o_orderkey % 40 = 2 THEN 'SKU-99999999' WHEN o_orderkey % 61 = 2 THEN 'SKU-x'
@@ -126,7 +126,7 @@ UNION ALL SELECT * FROM raw_orders_base WHERE CAST(order_row_id AS BIGINT) % 50
        CASE WHEN o_orderkey % 43 = 2 THEN 'not-a-date'
             ELSE strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') END AS order_ts,
        CAST(CASE WHEN o_orderkey % 59 = 2 THEN 0.0 ELSE o_totalprice / 100 END AS DOUBLE) AS amount_usd
-  FROM orders WHERE {_CHANNEL} = 'marketplace'""",
+  FROM orders""",
         [],
     ),
     "mkt_records": (

@@ -11,12 +11,14 @@ ISO_TS = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 def write_csv(df: DataFrame, path: str) -> str:
     """K1: CSV with a header row, no index. Leading/trailing blanks are kept
     (they are data: ' completed' is not a valid status), NULL is written as an
-    empty field and the empty string as ``""``, so both survive a read back."""
+    empty field and the empty string as ``""``; our readers take both as NULL,
+    as the original's does. Timestamps are ISO text, the layout the typed reader expects."""
     (
         df.write.mode("overwrite")
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampFormat", ISO_TS)
         .csv(path)
     )
     return path

@@ -57,11 +57,6 @@ PAGE_SCHEMA = T.StructType(
 )
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API page envelopes, one JSON object per line (S10 input)."""
-    return read_json_typed(spark, path, PAGE_SCHEMA)
-
-
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """Envelopes to flat records; (page, pos) is the arrival order."""
     return pages.select("page", F.posexplode("results").alias("pos", "r")).select("page", "pos", "r.*")
@@ -89,3 +84,15 @@ def reconcile_pages(pages: DataFrame) -> DataFrame:
             & (F.col("final_pages") == 1)
         ).alias("complete"),
     )
+
+
+def missing_pages(pages: DataFrame) -> DataFrame:
+    """The page numbers from 1 to the last one seen that are not there,
+    by an anti join of the number sequence. The sequence is cut into runs of
+    1,000 numbers before it is expanded, so no task makes all of them."""
+    last = pages.agg(F.max("page").alias("last")).where(F.col("last").isNotNull())
+    runs = last.select("last", F.explode(F.sequence(F.lit(0), F.expr("last div 1000"))).alias("run"))
+    spread = runs.repartition("run")
+    low, high = F.col("run") * 1000 + 1, F.least(F.col("run") * 1000 + 1000, F.col("last"))
+    numbers = spread.where(low <= high).select(F.explode(F.sequence(low, high)).alias("page"))
+    return numbers.join(pages.select("page").distinct(), "page", "left_anti")

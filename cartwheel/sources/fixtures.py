@@ -13,7 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.numbering import dense_row_number
+from ..session import scratch_path
 from ..sinks.materialize import materialized
+from ..sinks.writers import write_csv
+from .files import read_csv_text
 from .tables import read_table
 
 # Fixed values of the domain (must match the oracle and the original pipeline):
@@ -21,7 +24,7 @@ from .tables import read_table
 # return reasons by id % 5, click devices by (user_id + event_id) % 4.
 CHANNELS = ["web", "mobile_app", "marketplace"]
 PAYMENT_METHODS = ["credit_card", "paypal", "bank_transfer", "gift_card"]
-RETURN_REASONS = ["defective", "wrong_item", "not_as_described", "changed_mind", "too_late"]
+RETURN_REASONS = ["defective", "wrong_item", "no_longer_needed", "better_price_found", "damaged_in_shipping"]
 DEVICES = ["desktop", "mobile", "tablet", None]
 CLICK_TYPE_MAP = {"signup": "page_view", "view": "view_product", "click": "add_to_cart", "purchase": "purchase"}
 BAD_CLICK_TS = "2026-13-45T99:99:99"
@@ -38,9 +41,8 @@ def _pick(index: Column, values: list) -> Column:
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    # nation has a fixed, tiny domain (25 rows): broadcast is size-safe.
     n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left").select(
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.lit("Customer").alias("first_name"),
         F.expr("substr(c_name, 10)").alias("last_name"),
@@ -104,13 +106,13 @@ def _numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_row_number(li, ITEM_ORDER, "order_item_id")
 
 
-def order_items_with_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_items_with_flag(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
     """order_items plus ``l_returnflag`` (needed to derive returns).
 
     The dense numbering is a range shuffle of lineitem, so the numbered table
     is written once per application to the checkpoint folder and re-read.
     """
-    numbered = materialized(spark, f"order_items|{sf_dir}", lambda: _numbered_lineitem(spark, sf_dir))
+    numbered = materialized(spark, f"order_items|{sf_dir}", lambda: _numbered_lineitem(spark, sf_dir), refresh=refresh)
     # integer cents divided by quantity, then back to a 2-decimal price
     per_unit = F.expr("cast(round(l_extendedprice * 100) as bigint) div cast(l_quantity as bigint)")
     return numbered.select(
@@ -141,7 +143,12 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+def returns(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
+    """The returns table, written once per application and read back."""
+    return materialized(spark, f"returns|{sf_dir}", lambda: _returns_rows(spark, sf_dir), refresh=refresh)
+
+
+def _returns_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every item the source flags as returned (``l_returnflag = 'R'``) of an
     order that was not cancelled.
 
@@ -214,20 +221,19 @@ def _raw_orders_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(rows.where(F.col("order_row_id").cast("bigint") % 50 == 0))
 
 
-MARKETPLACE_PAGE_SPAN = 150  # order ids per page; a third are marketplace orders, so ~50 records a page
+MARKETPLACE_PAGE_SPAN = 50  # order ids per page
 
 
 def marketplace_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat marketplace API records with their arrival position (page, seq).
 
-    Marketplace-channel orders; every 40th SKU unknown, some SKU text without
+    Every order is a record; every 40th SKU unknown, some SKU text without
     the prefix or not a number, some bad timestamps, zero quantities and zero
     amounts. Orders with id % 29 = 2 are sent again on the next page with a
     different amount (the first arrival must win).
     """
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
     k = F.col("o_orderkey")
-    o = o.where(channel_of(k) == "marketplace")
     sku = (
         F.when(k % 40 == 2, F.lit("SKU-99999999"))
         .when(k % 61 == 2, F.lit("SKU-x"))
@@ -271,7 +277,26 @@ def marketplace_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(resent)
 
 
+CLICK_COLUMNS = ["event_id", "session_id", "customer_id", "event_type", "product_id", "event_timestamp", "device_type"]
+
+
+def click_csv(spark: SparkSession, sf_dir: str, refresh: bool = False) -> str:
+    """The raw click file: a header CSV, written once per application; its folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if refresh or key not in _CLICK_FILES:
+        _CLICK_FILES[key] = write_csv(_raw_clicks(spark, sf_dir), scratch_path(spark, "raw_clicks_csv"))
+    return _CLICK_FILES[key]
+
+
+_CLICK_FILES: dict[tuple[str, str], str] = {}
+
+
 def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The click file, every column text."""
+    return read_csv_text(spark, click_csv(spark, sf_dir), CLICK_COLUMNS)
+
+
+def _raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw all-text click events (A7) from ``events``.
 
     signup/view/click/purchase map to page_view/view_product/add_to_cart/
