@@ -235,6 +235,12 @@ def click_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths["sessions"])
 
 
+def click_daily_summary_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: run the job, read the unpartitioned daily summary back."""
+    paths = run_job(spark, sf_dir)
+    return spark.read.parquet(paths["daily_summary"])
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 register(
@@ -307,6 +313,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS rows_before, CAST(COUNT(*) FILTER (WHERE r IS
 FROM f""",
     "click_partitioned_roundtrip": _SESSIONS_SQL,
 }
+SQL["click_daily_summary_roundtrip"] = SQL["click_daily_funnel"]
 
 QUERIES = {
     "click_clean": click_clean,
@@ -315,5 +322,6 @@ QUERIES = {
     "click_product_daily": click_product_daily,
     "click_clean_summary": click_clean_summary,
     "click_partitioned_roundtrip": click_partitioned_roundtrip,
+    "click_daily_summary_roundtrip": click_daily_summary_roundtrip,
 }
 ORACLE = {name: with_fixtures(sql) for name, sql in SQL.items()}

@@ -32,8 +32,8 @@ CLEAN_COLUMNS = ["source_order_id", "customer_email", "product_id", "quantity",
 
 
 def build_pages(records: DataFrame) -> DataFrame:
-    """Group flat records into API envelopes. A page holds a bounded number of
-    records (the page size), so collecting one page's records is bounded."""
+    """Group flat records into API envelopes. A page is a span of order keys, so
+    it holds as many records as the span has, and those sent again."""
     fields = [c for c in records.columns if c not in ("page", "seq")]
     total = records.agg(F.count(F.lit(1))).scalar()
     last_page = records.agg(F.max("page")).scalar()
@@ -68,8 +68,25 @@ def page_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interrupted_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The envelopes of a fetch that broke off and was resumed too far on: it
+    got the first half of the pages, and then those from the 60 % mark."""
+    pages = landed_pages(spark, sf_dir)
+    last = pages.agg(F.max("page")).scalar()
+    return pages.where((F.col("page") * 2 <= last) | (F.col("page") * 5 >= last * 3))
+
+
 def page_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.reconcile_pages(landed_pages(spark, sf_dir))
+    """Both fetches against what the API announced: the whole one agrees,
+    the interrupted one lacks pages and records."""
+    whole = files.reconcile_pages(landed_pages(spark, sf_dir)).withColumn("fetch", F.lit("whole"))
+    broken = files.reconcile_pages(interrupted_fetch(spark, sf_dir)).withColumn("fetch", F.lit("interrupted"))
+    return whole.unionByName(broken)
+
+
+def page_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages that the interrupted fetch lacks, one row each."""
+    return files.missing_pages(interrupted_fetch(spark, sf_dir)).orderBy("page")
 
 
 def flag_records(flat: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -103,7 +120,7 @@ def flag_records(flat: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def clean_frame(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.col("reject_reason").isNull()).select(
+    return cl.split_by_reason(flagged)[0].select(
         F.col("marketplace_order_id").alias("source_order_id"),
         "customer_email",
         F.col("_pid").alias("product_id"),
@@ -125,17 +142,16 @@ def clean_marketplace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marketplace_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = _flagged(spark, sf_dir)
+    _, rejected = cl.split_by_reason(_flagged(spark, sf_dir))
     return (
-        flagged.where(F.col("reject_reason").isNotNull())
-        .groupBy("reject_reason")
+        rejected.groupBy("reject_reason")
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.desc("n"), "reject_reason")
     )
 
 
 def marketplace_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flagged(spark, sf_dir).where(F.col("reject_reason").isNotNull()).select(
+    return cl.split_by_reason(_flagged(spark, sf_dir))[1].select(
         "page", "pos", "marketplace_order_id", "product_sku", "quantity", "order_ts", "amount_usd", "reject_reason"
     )
 
@@ -199,11 +215,18 @@ register(
 SQL = {
     "page_flatten": "SELECT * FROM mkt_flat",
     "page_reconcile": """
-SELECT CAST(COUNT(*) AS BIGINT) AS records_fetched, CAST(COUNT(*) AS BIGINT) AS total_records,
-       CAST(MAX(page) AS BIGINT) AS last_page, CAST(COUNT(DISTINCT page) AS BIGINT) AS pages_seen,
-       CAST(1 AS BIGINT) AS final_pages, CAST(MAX(page) - COUNT(DISTINCT page) AS BIGINT) AS missing_pages,
-       MAX(page) = COUNT(DISTINCT page) AS complete
-FROM mkt_flat""",
+WITH z AS (SELECT MAX(page) AS z, COUNT(*) AS announced FROM mkt_records),
+got AS (SELECT 'whole' AS "fetch", page FROM mkt_records
+        UNION ALL SELECT 'interrupted', page FROM mkt_records, z WHERE page <= z / 2.0 OR page >= z * 0.6)
+SELECT "fetch", COUNT(*) AS records_fetched, CAST(announced AS BIGINT) AS total_records, MAX(page) AS last_page,
+       COUNT(DISTINCT page) AS pages_seen, COUNT(DISTINCT page) FILTER (WHERE page = z) AS final_pages,
+       MAX(page) - COUNT(DISTINCT page) AS missing_pages,
+       MAX(page) = COUNT(DISTINCT page) AND COUNT(*) = announced AND bool_or(page = z) AS complete
+FROM got, z GROUP BY "fetch", announced, z""",
+    "page_gaps": """
+WITH z AS (SELECT MAX(page) AS z FROM mkt_records)
+SELECT CAST(n AS BIGINT) AS page FROM z, generate_series(1, (SELECT MAX(page) FROM mkt_records)) s(n)
+WHERE n > z / 2.0 AND n < z * 0.6 ORDER BY n""",
     "clean_marketplace": _clean_sql(),
     "marketplace_reject_counts": f"""
 SELECT reject_reason, CAST(COUNT(*) AS BIGINT) AS n FROM ({_flagged_sql()})
@@ -223,6 +246,7 @@ SELECT *, TIMESTAMP '{RUN2_AT}' AS loaded_at FROM run2""",
 QUERIES = {
     "page_flatten": page_flatten,
     "page_reconcile": page_reconcile,
+    "page_gaps": page_gaps,
     "clean_marketplace": clean_marketplace,
     "marketplace_reject_counts": marketplace_reject_counts,
     "marketplace_quarantine": marketplace_quarantine,

@@ -9,7 +9,7 @@ NULL channel to 'unknown'; ids cast strictly (a bad id fails the job).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_first_format
@@ -90,26 +90,46 @@ def profile_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.value_counts(fx.raw_orders_export(spark, sf_dir), "status")
 
 
-def format_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the clean orders as CSV, JSON lines and Parquet, read
-    each back (S1, S6, S7) and report rows, files and bytes per format.
-    Sizes come from a ``binaryFile`` listing without reading file content.
-    The cleaning (a de-duplicating shuffle) runs once: Parquet is written
-    first and the text formats are written from that stored table."""
+def write_formats(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """K1-K3: the clean orders as CSV, JSON lines and Parquet; the root folder
+    and each format read back (S3, S6, S7). The cleaning (a de-duplicating
+    shuffle) runs once: Parquet is written first and the text formats are
+    written from that stored table."""
     clean = clean_orders(spark, sf_dir)
     root = scratch_path(spark, "formats")
     paths = writers.write_three_formats(clean, root)
-    back = {
+    return root, {
         "csv": files.read_csv_typed(spark, paths["csv"], clean.schema),
         "json": files.read_json_typed(spark, paths["json"], clean.schema),
         "parquet": spark.read.parquet(paths["parquet"]),
     }
-    sizes = writers.file_sizes(spark, root)
-    counts = None
+
+
+def format_size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and values of the clean orders as each format gives them back,
+    and whether every row equals one of the Parquet table (compared by a hash
+    of all columns, summed in decimals). Bytes depend on the machine and are
+    in :func:`format_bytes`."""
+    _, back = write_formats(spark, sf_dir)
+    out = None
     for fmt, df in back.items():
-        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(fmt).alias("format"), "rows")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts.join(sizes, "format", "left").orderBy("format")
+        one = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("channel").alias("channels"),
+            F.sum("quantity").cast("bigint").alias("quantity"),
+            F.count_distinct("order_date").alias("days"),
+            F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("_hash"),
+        ).withColumn("format", F.lit(fmt))
+        out = one if out is None else out.unionByName(one)
+    whole = Window.partitionBy(F.lit(1))  # three rows
+    same = F.col("_hash") == F.max(F.when(F.col("format") == "parquet", F.col("_hash"))).over(whole)
+    return out.withColumn("same_as_parquet", same).drop("_hash").orderBy("format")
+
+
+def format_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files and bytes per format, from a ``binaryFile`` listing that reads no content."""
+    root, _ = write_formats(spark, sf_dir)
+    return writers.file_sizes(spark, root).orderBy("format")
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -161,6 +181,10 @@ SQL = {
     "clean_orders": _CLEAN_SQL,
     "clean_orders_csv": _CLEAN_SQL,
     "clean_orders_summary": _SUMMARY_SQL,
+    "format_size_report": f"""
+SELECT f.format, COUNT(*) AS rows, COUNT(channel) AS channels, CAST(SUM(quantity) AS BIGINT) AS quantity,
+       COUNT(DISTINCT order_date) AS days, TRUE AS same_as_parquet
+FROM ({_CLEAN_SQL}), (VALUES ('csv'), ('json'), ('parquet')) f(format) GROUP BY f.format ORDER BY f.format""",
     "profile_shape": "SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(7 AS BIGINT) AS n_columns FROM raw_orders_export",
     "profile_columns": _PROFILE_COLUMNS_SQL,
     "profile_duplicates": """

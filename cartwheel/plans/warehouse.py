@@ -2,31 +2,22 @@
 
 ``build`` derives the five dimensions and two facts from the OLTP tables and
 writes each once per application as a Parquet table in the checkpoint
-folder (full refresh, K10); every star question then starts from Parquet
-scans. Dimension sizes: store and promotion are constants and the calendar
-is bounded by the date range (its row count is checked before the
-broadcast hint), so those are broadcast; customer and product
-grow with the data and are left to AQE's runtime size check. The star
+folder (``refresh=True`` rebuilds them all, K10); every star question then
+starts from Parquet scans. No dimension carries a broadcast hint: adaptive
+execution measures each and broadcasts the small ones. The star
 questions aggregate the fact on its foreign keys *before* attaching the
 dimension attributes, so the joins see one row per key, not per sale.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import date_key, month_bucket
 from ..functions.numeric import money, pct
-from ..operators.dimensions import (
-    CALENDAR_BROADCAST_MAX_ROWS,
-    asof_version,
-    broadcast_if_small,
-    lookup_key,
-    promotion_bucket,
-    scd2_merge,
-)
+from ..operators.dimensions import asof_version, attach_calendar, lookup_key, promotion_bucket, scd2_merge
 from ..operators.numbering import dense_row_number
 from ..oracle import register, with_fixtures
 from ..sinks.materialize import materialized
@@ -64,8 +55,13 @@ def dim_promotion_frame(spark: SparkSession) -> DataFrame:
 
 def dim_date_frame(dates: DataFrame) -> DataFrame:
     """One row per day between the first and last date in ``dates`` (column ``d``)."""
-    bounds = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("full_date"))
+    bounds = dates.agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where(F.col("lo").isNotNull())
+    # years first, spread over the tasks, then their days: a bad date far off
+    # makes a long calendar but no task makes all of it
+    years = bounds.select("lo", "hi", F.explode(F.sequence(F.year("lo"), F.year("hi"))).alias("_y")).repartition("_y")
+    first = F.greatest("lo", F.make_date("_y", F.lit(1), F.lit(1)))
+    last = F.least("hi", F.make_date("_y", F.lit(12), F.lit(31)))
+    days = years.select(F.explode(F.sequence(first, last, F.expr("INTERVAL 1 DAY"))).alias("full_date"))
     return days.select(
         date_key("full_date").alias("date_key"),
         "full_date",
@@ -117,7 +113,7 @@ def fact_sales_frame(
     current = dim_customer.where(F.col("is_current") == 1)
     o = orders.select("order_id", "customer_id", "order_date", "status", "channel")
     o = lookup_key(o, current, "customer_id", "customer_id", "customer_key", policy)
-    o = lookup_key(o, dim_store, "channel", "channel_code", "store_key", policy, hint_broadcast=True)
+    o = lookup_key(o, dim_store, "channel", "channel_code", "store_key", policy)
     p = products.select("product_id", "unit_cost")
     f = items.join(o, "order_id").join(p, "product_id")
     ext = F.col("quantity") * F.col("unit_price")
@@ -163,17 +159,21 @@ def fact_returns_frame(
 TABLES = ["dim_date", "dim_customer", "dim_product", "dim_store", "dim_promotion", "fact_sales", "fact_returns"]
 
 
-def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All warehouse tables, each written once (full refresh) and read back."""
+def build(spark: SparkSession, sf_dir: str, refresh: bool = False) -> dict[str, DataFrame]:
+    """All warehouse tables, each written once per application and read back;
+    ``refresh`` rebuilds every table from the sources as they are now."""
     # source frames are made inside the builders: once the tables exist, a
     # call only looks them up
     orders = lambda: fx.orders(spark, sf_dir)
+    if refresh:
+        fx.order_items_with_flag(spark, sf_dir, refresh=True)
+        fx.returns(spark, sf_dir, refresh=True)
     items = lambda: fx.order_items(spark, sf_dir)
     returns = lambda: fx.returns(spark, sf_dir)
     t: dict[str, DataFrame] = {}
 
     def keep(name, build_fn):
-        t[name] = materialized(spark, f"warehouse|{name}|{sf_dir}", build_fn)
+        t[name] = materialized(spark, f"warehouse|{name}|{sf_dir}", build_fn, refresh=refresh)
 
     keep("dim_store", lambda: dim_store_frame(spark))
     keep("dim_promotion", lambda: dim_promotion_frame(spark))
@@ -259,7 +259,7 @@ def star_category_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = build(spark, sf_dir)
     per_key = _sales(t).groupBy("product_key", "store_key").agg(F.sum("extended_price").alias("rev"))
     joined = per_key.join(t["dim_product"].select("product_key", "category"), "product_key").join(
-        F.broadcast(t["dim_store"].select("store_key", "channel_name")), "store_key"
+        t["dim_store"].select("store_key", "channel_name"), "store_key"
     )
     return (
         joined.groupBy("category", "channel_name")
@@ -274,10 +274,10 @@ def star_margin_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_key = _sales(t).groupBy("date_key", "store_key").agg(
         F.sum("extended_price").alias("rev"), F.sum("gross_margin").alias("mar")
     )
-    d = broadcast_if_small(t["dim_date"].select("date_key", "year", "month"), CALENDAR_BROADCAST_MAX_ROWS)
-    s = F.broadcast(t["dim_store"].select("store_key", "channel_name"))
+    d = t["dim_date"].select("date_key", "year", "month")
+    s = t["dim_store"].select("store_key", "channel_name")
     return (
-        per_key.join(d, "date_key")
+        attach_calendar(per_key, d)
         .join(s, "store_key")
         .groupBy("year", "month", "channel_name")
         .agg(money(F.sum("rev")).alias("revenue"), money(F.sum("mar")).alias("gross_margin"))
@@ -297,7 +297,7 @@ def star_margin_by_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("rev").alias("rev"),
         F.sum("mar").alias("mar"),
     )
-    p = F.broadcast(t["dim_promotion"].select("promotion_key", "promotion_code", "promotion_name"))
+    p = t["dim_promotion"].select("promotion_key", "promotion_code", "promotion_name")
     return per_promo.join(p, "promotion_key").select(
         "promotion_code",
         "promotion_name",
@@ -359,13 +359,11 @@ def star_questions_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The monthly revenue question split by channel and promotion."""
     t = build(spark, sf_dir)
     per_key = _sales(t).groupBy("date_key", "store_key", "promotion_key").agg(F.sum("extended_price").alias("rev"))
-    d = broadcast_if_small(
-        t["dim_date"].select("date_key", month_bucket("full_date").alias("month")), CALENDAR_BROADCAST_MAX_ROWS
-    )
-    s = F.broadcast(t["dim_store"].select("store_key", "channel_name"))
-    p = F.broadcast(t["dim_promotion"].select("promotion_key", "promotion_code"))
+    d = t["dim_date"].select("date_key", month_bucket("full_date").alias("month"))
+    s = t["dim_store"].select("store_key", "channel_name")
+    p = t["dim_promotion"].select("promotion_key", "promotion_code")
     return (
-        per_key.join(d, "date_key")
+        attach_calendar(per_key, d)
         .join(s, "store_key")
         .join(p, "promotion_key")
         .groupBy("month", "channel_name", "promotion_code")
@@ -374,13 +372,173 @@ def star_questions_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def star_margin_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue, margin and margin share by category."""
+    t = build(spark, sf_dir)
+    per_product = _sales(t).groupBy("product_key").agg(
+        F.sum("extended_price").alias("rev"), F.sum("gross_margin").alias("mar")
+    )
+    return (
+        per_product.join(t["dim_product"].select("product_key", "category"), "product_key")
+        .groupBy("category")
+        .agg(F.sum("rev").alias("rev"), F.sum("mar").alias("mar"))
+        .select(
+            "category",
+            money(F.col("rev")).alias("revenue"),
+            money(F.col("mar")).alias("gross_margin"),
+            pct(F.col("mar"), F.col("rev")).alias("margin_pct"),
+        )
+        .orderBy("category")
+    )
+
+
+def _sold_and_returned(t: dict[str, DataFrame], by: list[str]) -> DataFrame:
+    """Units sold (all items) and units and events returned per ``by`` (columns
+    of the sale); returns take the attributes of the item they return."""
+    item = t["fact_sales"].select("order_item_id", "quantity", *by)
+    returned = t["fact_returns"].groupBy("order_item_id").agg(
+        F.count(F.lit(1)).alias("events"), F.sum("returned_quantity").alias("units")
+    )
+    zero = F.lit(0)
+    return (
+        item.join(returned, "order_item_id", "left")
+        .groupBy(*by)
+        .agg(
+            F.sum("quantity").cast("bigint").alias("units_sold"),
+            F.sum(F.coalesce("events", zero)).cast("bigint").alias("returns"),
+            F.sum(F.coalesce("units", zero)).cast("bigint").alias("returned_units"),
+        )
+    )
+
+
+def star_return_rate_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Return rate of every product that was sold."""
+    t = build(spark, sf_dir)
+    rates = _sold_and_returned(t, ["product_key"]).withColumn(
+        "return_rate_pct", pct(F.col("returned_units"), F.col("units_sold"))
+    )
+    return rates.join(t["dim_product"].select("product_key", "product_name"), "product_key").orderBy("product_key")
+
+
+def _named(df: DataFrame, t: dict[str, DataFrame]) -> DataFrame:
+    """Channel name and promotion code in place of the keys."""
+    s = t["dim_store"].select("store_key", "channel_name")
+    p = t["dim_promotion"].select("promotion_key", "promotion_code")
+    return df.join(s, "store_key").join(p, "promotion_key").drop("store_key", "promotion_key")
+
+
+def star_return_rate_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The return question by channel and promotion."""
+    t = build(spark, sf_dir)
+    rates = _named(_sold_and_returned(t, ["store_key", "promotion_key"]), t)
+    return rates.withColumn("return_rate_pct", pct(F.col("returned_units"), F.col("units_sold"))).orderBy(
+        "channel_name", "promotion_code"
+    )
+
+
+def star_top_customers_by_channel(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    """The k customers of highest revenue in every channel (ties by key).
+
+    The rank is taken on one row per customer and channel; names join k rows
+    per channel only. Spark keeps just the first k of each channel in the map
+    tasks (a group limit below the window), so a channel holding most
+    customers does not travel to one task."""
+    t = build(spark, sf_dir)
+    per = _sales(t).groupBy("store_key", "customer_key").agg(F.sum("extended_price").alias("rev"))
+    w = Window.partitionBy("store_key").orderBy(F.desc("rev"), "customer_key")
+    top = per.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+    c = t["dim_customer"].select("customer_key", "customer_id")
+    s = t["dim_store"].select("store_key", "channel_name")
+    return (
+        top.join(c, "customer_key")
+        .join(s, "store_key")
+        .select("channel_name", F.col("place").cast("bigint").alias("place"), "customer_id", money(F.col("rev")).alias("revenue"))
+        .orderBy("channel_name", "place")
+    )
+
+
+def star_declining_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per channel and category, every month's revenue against the month
+    with sales before it, where it fell."""
+    t = build(spark, sf_dir)
+    per = _sales(t).groupBy("store_key", "product_key", "date_key").agg(F.sum("extended_price").alias("rev"))
+    month = t["dim_date"].select("date_key", month_bucket("full_date").alias("month"))
+    monthly = (
+        attach_calendar(per, month)
+        .join(t["dim_product"].select("product_key", "category"), "product_key")
+        .groupBy("store_key", "category", "month")
+        .agg(F.sum("rev").alias("rev"))
+    )
+    w = Window.partitionBy("store_key", "category").orderBy("month")
+    prior = monthly.withColumn("prior_month", F.lag("month").over(w)).withColumn("prior_rev", F.lag("rev").over(w))
+    fell = prior.where(F.col("rev") < F.col("prior_rev"))
+    return (
+        fell.join(t["dim_store"].select("store_key", "channel_name"), "store_key")
+        .select(
+            "channel_name",
+            "category",
+            "prior_month",
+            "month",
+            money(F.col("prior_rev")).alias("prior_revenue"),
+            money(F.col("rev")).alias("revenue"),
+            pct(F.col("rev") - F.col("prior_rev"), F.col("prior_rev"), 1).alias("pct_change"),
+        )
+        .orderBy("channel_name", "category", "month")
+    )
+
+
+def star_repeat_share_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of a channel and promotion's revenue that comes from
+    customers with two or more orders (over all channels)."""
+    t = build(spark, sf_dir)
+    per_order = _sales(t).groupBy("customer_key", "order_id", "store_key", "promotion_key").agg(
+        F.sum("extended_price").alias("rev")
+    )
+    many = per_order.groupBy("customer_key").agg((F.countDistinct("order_id") >= 2).alias("repeat"))
+    per = per_order.groupBy("customer_key", "store_key", "promotion_key").agg(F.sum("rev").alias("rev"))
+    share = per.join(many, "customer_key").groupBy("store_key", "promotion_key").agg(
+        F.sum("rev").alias("rev"), F.sum(F.when(F.col("repeat"), F.col("rev")).otherwise(0)).alias("rep")
+    )
+    return (
+        _named(share, t)
+        .select(
+            "channel_name",
+            "promotion_code",
+            money(F.col("rev")).alias("revenue"),
+            pct(F.col("rep"), F.col("rev")).alias("repeat_share_pct"),
+        )
+        .orderBy("channel_name", "promotion_code")
+    )
+
+
+def star_inactive_by_channel(spark: SparkSession, sf_dir: str, days: int = 90) -> DataFrame:
+    """Per channel, its customers and those whose last sale there is more
+    than ``days`` days before the last sale of all."""
+    t = build(spark, sf_dir)
+    per = _sales(t).groupBy("store_key", "customer_key").agg(F.max("date_key").alias("date_key"))
+    last = attach_calendar(per, t["dim_date"].select("date_key", "full_date"))
+    horizon = attach_calendar(
+        _sales(t).agg(F.max("date_key").alias("date_key")), t["dim_date"].select("date_key", "full_date")
+    ).select("full_date").scalar()
+    idle = F.date_diff(horizon, F.col("full_date"))
+    counts = last.groupBy("store_key").agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(idle > days).alias("inactive"),
+        F.max(idle).cast("bigint").alias("longest_days"),
+    )
+    return (
+        counts.join(t["dim_store"].select("store_key", "channel_name"), "store_key")
+        .select("channel_name", "customers", "inactive", "longest_days")
+        .orderBy("channel_name")
+    )
+
+
 # ----------------------------------------------------- type 2 and as-of join
 
 SCD_AS_OF = "1998-01-01"
 # The first load sees the customers who had signed up before this day; the
 # ones who signed up later arrive as new keys in the second snapshot.
 SCD_FIRST_LOAD = "1994-12-01"
-SCD_COLUMNS = ["customer_key", "customer_id", "email", "country", "city", "valid_from", "valid_to", "is_current"]
 
 
 def _customer_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -389,12 +547,15 @@ def _customer_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
     k = F.col("customer_id")
     snap2 = c.select(
         "customer_id",
+        "first_name",
+        "last_name",
         F.when(k % 25 == 0, F.concat(F.lit("new."), F.col("email"))).otherwise(F.col("email")).alias("email"),
         "country",
         F.when(k % 17 == 0, F.lit(None).cast("string"))
         .when(k % 10 == 0, F.concat(F.col("city"), F.lit("-moved")))
         .otherwise(F.col("city"))
         .alias("city"),
+        "signup_date",
     )
     return snap1, snap2
 
@@ -405,19 +566,19 @@ def scd2_merge_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def merged() -> DataFrame:
         snap1, snap2 = _customer_snapshots(spark, sf_dir)
-        v1 = dim_customer_frame(snap1).select(*SCD_COLUMNS)
         return scd2_merge(
-            v1, snap2, "customer_id", ["email", "country", "city"], F.lit(SCD_AS_OF).cast("date"), "customer_key"
+            dim_customer_frame(snap1), snap2, "customer_id", ["email", "country", "city"], F.lit(SCD_AS_OF).cast("date"), "customer_key"
         )
 
     return materialized(spark, f"scd2|{sf_dir}", merged)
 
 
 def asof_customer_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order with the customer version valid at its order date."""
+    """Each order with the customer version valid at its order date; an
+    order without a known customer keeps its row and gets version -1."""
     versions = scd2_merge_query(spark, sf_dir)
     o = fx.orders(spark, sf_dir).select("order_id", "customer_id", "order_date")
-    return asof_version(o, versions, "customer_id", "order_date").select(
+    return asof_version(o, versions, "customer_id", "order_date", "customer_key").select(
         "order_id", "customer_id", "order_date", "customer_key", "city"
     )
 
@@ -569,37 +730,88 @@ GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
 register(
     "wh_scd2",
     f"""WITH snap1 AS (SELECT * FROM customers WHERE signup_date < DATE '{SCD_FIRST_LOAD}'),
-dim1 AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key, customer_id, email, country, city,
-                signup_date AS valid_from, CAST(NULL AS DATE) AS valid_to, 1 AS is_current FROM snap1),
-snap2 AS (SELECT customer_id,
+dim1 AS (SELECT ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key, *, signup_date AS valid_from FROM snap1),
+snap2 AS (SELECT customer_id, first_name, last_name,
                  CASE WHEN customer_id % 25 = 0 THEN 'new.' || email ELSE email END AS email, country,
                  CASE WHEN customer_id % 17 = 0 THEN NULL WHEN customer_id % 10 = 0 THEN city || '-moved'
-                      ELSE city END AS city
+                      ELSE city END AS city, signup_date
           FROM customers),
-cmp AS (SELECT d.*, s.customer_id AS s_id, s.email AS s_email, s.country AS s_country, s.city AS s_city,
-               (d.customer_id IS NOT NULL AND s.customer_id IS NOT NULL
-                AND (d.email IS DISTINCT FROM s.email OR d.country IS DISTINCT FROM s.country
-                     OR d.city IS DISTINCT FROM s.city)) AS changed
-        FROM dim1 d FULL OUTER JOIN snap2 s ON d.customer_id = s.customer_id),
-opened AS (SELECT s_id AS customer_id, s_email AS email, s_country AS country, s_city AS city
-           FROM cmp WHERE changed OR customer_id IS NULL)
-SELECT customer_key, customer_id, email, country, city, valid_from, valid_to, is_current
-FROM cmp WHERE customer_id IS NOT NULL AND NOT changed
-UNION ALL
-SELECT customer_key, customer_id, email, country, city, valid_from, DATE '{SCD_AS_OF}', 0 FROM cmp WHERE changed
+moved AS (SELECT d.customer_id FROM dim1 d JOIN snap2 s USING (customer_id)
+          WHERE (d.email, d.country, d.city) IS DISTINCT FROM (s.email, s.country, s.city)),
+opened AS (SELECT * FROM snap2 WHERE customer_id IN (SELECT customer_id FROM moved)
+                                  OR customer_id NOT IN (SELECT customer_id FROM dim1))
+SELECT customer_key, customer_id, first_name, last_name, email, country, city, signup_date, valid_from,
+       CASE WHEN m.id IS NOT NULL THEN DATE '{SCD_AS_OF}' END AS valid_to,
+       CASE WHEN m.id IS NOT NULL THEN 0 ELSE 1 END AS is_current
+FROM dim1 LEFT JOIN (SELECT customer_id AS id FROM moved) m ON m.id = customer_id
 UNION ALL
-SELECT (SELECT MAX(customer_key) FROM dim1) + ROW_NUMBER() OVER (ORDER BY customer_id), customer_id, email, country,
-       city, DATE '{SCD_AS_OF}', CAST(NULL AS DATE), 1 FROM opened""",
+SELECT (SELECT MAX(customer_key) FROM dim1) + ROW_NUMBER() OVER (ORDER BY customer_id), customer_id, first_name,
+       last_name, email, country, city, signup_date, DATE '{SCD_AS_OF}', CAST(NULL AS DATE), 1 FROM opened""",
     ["customers"],
 )
 SQL["scd2_merge"] = "SELECT * FROM wh_scd2"
 SQL["asof_customer_version"] = """
 WITH v AS (SELECT *, MIN(valid_from) OVER (PARTITION BY customer_id) AS first_from FROM wh_scd2)
-SELECT o.order_id, o.customer_id, o.order_date, v.customer_key, v.city
-FROM sales_orders o JOIN v ON v.customer_id = o.customer_id
+SELECT o.order_id, o.customer_id, o.order_date, COALESCE(v.customer_key, -1) AS customer_key, v.city
+FROM sales_orders o LEFT JOIN v ON v.customer_id = o.customer_id
  AND (v.valid_from = v.first_from OR o.order_date >= v.valid_from)
  AND (v.valid_to IS NULL OR o.order_date < v.valid_to)"""
 
+_SOLD = """sold AS (SELECT f.*, COALESCE(r.events, 0) AS events, COALESCE(r.units, 0) AS units
+  FROM wh_fact_sales f LEFT JOIN (SELECT order_item_id, COUNT(*) AS events, SUM(returned_quantity) AS units
+                                  FROM wh_fact_returns GROUP BY order_item_id) r USING (order_item_id))"""
+_RATES = """CAST(SUM(quantity) AS BIGINT) AS units_sold, CAST(SUM(events) AS BIGINT) AS returns,
+       CAST(SUM(units) AS BIGINT) AS returned_units,
+       ROUND(100.0 * CAST(SUM(units) AS DOUBLE) / CAST(SUM(quantity) AS DOUBLE), 2) AS return_rate_pct"""
+_LIVE = "wh_fact_sales f JOIN wh_dim_store s USING (store_key) JOIN wh_dim_promotion pm USING (promotion_key)"
+
+SQL["star_margin_by_category"] = """
+SELECT category, CAST(ROUND(SUM(extended_price), 2) AS DOUBLE) AS revenue,
+       CAST(ROUND(SUM(gross_margin), 2) AS DOUBLE) AS gross_margin,
+       ROUND(100.0 * CAST(SUM(gross_margin) AS DOUBLE) / CAST(SUM(extended_price) AS DOUBLE), 2) AS margin_pct
+FROM wh_fact_sales JOIN wh_dim_product USING (product_key) WHERE order_status <> 'cancelled'
+GROUP BY category ORDER BY category"""
+SQL["star_return_rate_by_product"] = f"""
+WITH {_SOLD}
+SELECT product_key, product_name, {_RATES} FROM sold JOIN wh_dim_product USING (product_key)
+GROUP BY product_key, product_name ORDER BY product_key"""
+SQL["star_return_rate_by_channel"] = f"""
+WITH {_SOLD}
+SELECT channel_name, promotion_code, {_RATES}
+FROM sold JOIN wh_dim_store USING (store_key) JOIN wh_dim_promotion USING (promotion_key)
+GROUP BY ALL ORDER BY channel_name, promotion_code"""
+SQL["star_top_customers_by_channel"] = """
+SELECT channel_name, place, customer_id, CAST(ROUND(rev, 2) AS DOUBLE) AS revenue
+FROM (SELECT store_key, customer_key, SUM(extended_price) AS rev,
+             ROW_NUMBER() OVER (PARTITION BY store_key ORDER BY SUM(extended_price) DESC, customer_key) AS place
+      FROM wh_fact_sales WHERE order_status <> 'cancelled' GROUP BY store_key, customer_key)
+JOIN wh_dim_store USING (store_key) JOIN wh_dim_customer USING (customer_key)
+WHERE place <= 10 ORDER BY channel_name, place"""
+SQL["star_declining_by_channel"] = """
+WITH mon AS (SELECT channel_name, category, strftime(full_date, '%Y-%m') AS month, SUM(extended_price) AS rev
+  FROM wh_fact_sales JOIN wh_dim_store USING (store_key) JOIN wh_dim_product USING (product_key)
+  JOIN wh_dim_date USING (date_key) WHERE order_status <> 'cancelled' GROUP BY ALL)
+SELECT channel_name, category, prior_month, month, CAST(ROUND(prior, 2) AS DOUBLE) AS prior_revenue,
+       CAST(ROUND(rev, 2) AS DOUBLE) AS revenue,
+       ROUND(100.0 * CAST(rev - prior AS DOUBLE) / CAST(prior AS DOUBLE), 1) AS pct_change
+FROM (SELECT *, lag(rev) OVER w AS prior, lag(month) OVER w AS prior_month FROM mon
+      WINDOW w AS (PARTITION BY channel_name, category ORDER BY month))
+WHERE rev < prior ORDER BY channel_name, category, month"""
+SQL["star_repeat_share_by_channel"] = f"""
+WITH often AS (SELECT customer_key, COUNT(DISTINCT order_id) >= 2 AS again FROM wh_fact_sales
+               WHERE order_status <> 'cancelled' GROUP BY customer_key)
+SELECT channel_name, promotion_code, CAST(ROUND(SUM(extended_price), 2) AS DOUBLE) AS revenue,
+       ROUND(100.0 * CAST(COALESCE(SUM(extended_price) FILTER (WHERE again), 0) AS DOUBLE)
+             / CAST(SUM(extended_price) AS DOUBLE), 2) AS repeat_share_pct
+FROM {_LIVE} JOIN often USING (customer_key) WHERE order_status <> 'cancelled'
+GROUP BY channel_name, promotion_code ORDER BY channel_name, promotion_code"""
+SQL["star_inactive_by_channel"] = """
+WITH x AS (SELECT channel_name, customer_key, MAX(full_date) AS d FROM wh_fact_sales JOIN wh_dim_store USING (store_key)
+           JOIN wh_dim_date USING (date_key) WHERE order_status <> 'cancelled' GROUP BY ALL)
+SELECT channel_name, COUNT(*) AS customers, COUNT(*) FILTER (WHERE h - d > 90) AS inactive,
+       CAST(MAX(h - d) AS BIGINT) AS longest_days
+FROM x, (SELECT MAX(d) AS h FROM x) GROUP BY channel_name ORDER BY channel_name"""
+
 QUERIES = {name: _table_query(name) for name in TABLES}
 QUERIES.update(
     {
@@ -612,6 +824,13 @@ QUERIES.update(
         "star_clv": star_clv,
         "star_return_by_reason": star_return_by_reason,
         "star_questions_by_channel": star_questions_by_channel,
+        "star_margin_by_category": star_margin_by_category,
+        "star_return_rate_by_product": star_return_rate_by_product,
+        "star_return_rate_by_channel": star_return_rate_by_channel,
+        "star_top_customers_by_channel": star_top_customers_by_channel,
+        "star_declining_by_channel": star_declining_by_channel,
+        "star_repeat_share_by_channel": star_repeat_share_by_channel,
+        "star_inactive_by_channel": star_inactive_by_channel,
         "scd2_merge": scd2_merge_query,
         "asof_customer_version": asof_customer_version,
     }

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 PLAN_MODULES = [
+    "cartwheel.plans.ingest",
     "cartwheel.plans.analytics",
     "cartwheel.plans.orders_export",
     "cartwheel.plans.constraints",
