@@ -150,7 +150,7 @@ def test_declining_uses_previous_month_with_sales(spark):
 def test_key_lookup_policies(spark):
     store = spark.createDataFrame([("web", 1)], "channel_code string, store_key bigint")
     facts = spark.createDataFrame([(1, "web"), (2, "phone")], "order_id bigint, channel string")
-    unknown = lookup_key(facts, store, "channel", "channel_code", "store_key", "unknown_member", hint_broadcast=True)
+    unknown = lookup_key(facts, store, "channel", "channel_code", "store_key", "unknown_member")
     assert sorted((r["order_id"], r["store_key"]) for r in unknown.collect()) == [(1, 1), (2, -1)]
     with pytest.raises(Exception, match="no store_key"):
         lookup_key(facts, store, "channel", "channel_code", "store_key", "fail").collect()
@@ -189,11 +189,34 @@ def test_scd2_cases(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, out.collect()))
     # as-of: a sale before the change sees the old city, after it the new one
     sales = spark.createDataFrame(
-        [(10, 2, dt.datetime(2019, 1, 1)), (11, 2, dt.datetime(2024, 7, 1)), (12, 4, dt.datetime(2000, 1, 1))],
+        [(10, 2, dt.datetime(2019, 1, 1)), (11, 2, dt.datetime(2024, 7, 1)), (12, 4, dt.datetime(2000, 1, 1)),
+         (13, None, dt.datetime(2024, 7, 1)), (14, 99, dt.datetime(2024, 7, 1))],
         "order_id bigint, customer_id bigint, order_date timestamp",
     )
-    got = {r["order_id"]: r["city"] for r in asof_version(sales, out, "customer_id", "order_date").collect()}
-    assert got == {10: "Paris", 11: "Lyon", 12: "Madrid"}
+    found = asof_version(sales, out, "customer_id", "order_date", "customer_key")
+    got = {r["order_id"]: (r["city"], r["customer_key"] == -1) for r in found.collect()}
+    # facts without a known customer keep their row
+    assert got == {10: ("Paris", False), 11: ("Lyon", False), 12: ("Madrid", False), 13: (None, True), 14: (None, True)}
+    with pytest.raises(Exception, match="no customer_key for customer_id="):
+        asof_version(sales, out, "customer_id", "order_date", "customer_key", "fail").collect()
+
+
+def test_scd2_carries_untracked_columns(spark):
+    """A changed customer keeps the name, from the source if it has one and else from the closed version."""
+    dim = spark.createDataFrame(
+        [(1, 1, "Ann", "gold", "Berlin", dt.date(2020, 1, 1), None, 1), (2, 2, "Bob", "iron", "Paris", dt.date(2020, 1, 1), None, 1)],
+        "customer_key bigint, customer_id bigint, name string, tier string, city string, valid_from date, valid_to date, "
+        "is_current int",
+    )
+    src = spark.createDataFrame([(1, "Anna", "Bonn"), (2, "Bobby", "Paris"), (3, "Cy", "Rome")], "customer_id bigint, name string, city string")
+    out = scd2_merge(dim, src, "customer_id", ["city"], F.lit("2024-06-01").cast("date"), "customer_key")
+    got = sorted((r["customer_id"], r["is_current"], r["name"], r["tier"], r["city"]) for r in out.collect())
+    assert got == [
+        (1, 0, "Ann", "gold", "Berlin"), (1, 1, "Anna", "gold", "Bonn"), (2, 1, "Bob", "iron", "Paris"), (3, 1, "Cy", None, "Rome"),
+    ]
+    twice = src.unionByName(src.where("customer_id = 1"))
+    with pytest.raises(Exception, match="more than one row"):
+        scd2_merge(dim, twice, "customer_id", ["city"], F.lit("2024-06-01").cast("date"), "customer_key").collect()
 
 
 def test_keep_first_by_hot_key(spark):
@@ -278,22 +301,117 @@ def test_partitioned_write_dynamic_rerun_of_one_day(spark):
     assert [(r["event_date"].day, r["n"]) for r in spark.read.parquet(path).collect()] == [(2, 20)]
 
 
-def test_broadcast_hint_only_under_checked_bound(spark):
-    from cartwheel.operators.dimensions import broadcast_if_small
+def test_calendar_must_cover_every_fact(spark):
+    from cartwheel.operators.dimensions import attach_calendar
+    from cartwheel.plans.warehouse import dim_date_frame
+
+    dates = spark.createDataFrame([(dt.date(1998, 12, 30),), (dt.date(2001, 1, 2),), (None,)], "d date")
+    cal = dim_date_frame(dates)
+    days = [r["full_date"] for r in cal.orderBy("date_key").collect()]
+    assert days == [dt.date(1998, 12, 30) + dt.timedelta(days=i) for i in range(735)]
+    facts = spark.createDataFrame([(19990101, 5), (20010102, 6)], "date_key bigint, n int")
+    got = attach_calendar(facts, cal.select("date_key", "year")).collect()
+    assert sorted((r["date_key"], r["n"], r["year"]) for r in got) == [(19990101, 5, 1999), (20010102, 6, 2001)]
+    with pytest.raises(Exception, match="the calendar has no day 20010103"):
+        attach_calendar(spark.createDataFrame([(20010103, 1)], "date_key bigint, n int"), cal).collect()
+    assert dim_date_frame(dates.limit(0)).collect() == []
+
+
+def test_duplicate_natural_keys_fail(spark):
+    facts = spark.createDataFrame([(1, 10)], "order_id bigint, customer_id bigint")
+    dim = spark.createDataFrame([(10, 1), (10, 2), (None, 3), (None, 4)], "customer_id bigint, customer_key bigint")
+    with pytest.raises(Exception, match="more than one row"):
+        lookup_key(facts, dim, "customer_id", "customer_id", "customer_key").collect()
 
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        facts = spark.range(1000).withColumnRenamed("id", "k")
-        dim = spark.range(50).withColumnRenamed("id", "k")
 
-        def plan(d):
-            return facts.join(d, "k")._jdf.queryExecution().executedPlan().toString()
+def test_missing_pages_are_listed(spark):
+    pages = spark.createDataFrame([(1,), (2,), (2500,), (2,)], "page bigint")
+    got = sorted(r["page"] for r in files.missing_pages(pages).collect())
+    assert got == list(range(3, 2500))
+    assert files.missing_pages(pages.limit(0)).collect() == []
 
-        assert "BroadcastHashJoin" in plan(broadcast_if_small(dim, 100))
-        assert "BroadcastHashJoin" not in plan(broadcast_if_small(dim, 10))
+
+def test_materialized_refresh(spark):
+    from cartwheel.sinks.materialize import materialized
+
+    def table(n, refresh=False):
+        return materialized(spark, "test-refresh", lambda: spark.range(n), refresh=refresh).count()
+
+    assert (table(3), table(5), table(5, refresh=True), table(7)) == (3, 3, 5, 5)
+
+
+def test_upsert_commits_without_spark_markers(spark):
+    """With Spark's success marker off, versions are still found, and old ones and staging copies go."""
+    from cartwheel.operators import upsert as up
+    from cartwheel.session import list_dir, scratch_path
+
+    key = "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(key.removeprefix("spark.hadoop."), "false")
+    try:
+        root = scratch_path(spark, "test-upsert")
+        for day in range(4):
+            batch = spark.createDataFrame([(1, day), (10 + day, day)], "k bigint, day int")
+            up.upsert(spark, root, batch, "k")
+        got = sorted(map(tuple, up.read_current(spark, root).collect()))
+        assert got == [(1, 3), (10, 0), (11, 1), (12, 2), (13, 3)]
+        assert [n for n in sorted(list_dir(spark, root)) if n.startswith("v=")] == ["v=000003", "v=000004"]
+        assert list_dir(spark, f"{root}/_staging") == []
+        # a write that never committed does not count
+        spark.range(1).write.parquet(f"{root}/v=000009")
+        assert up.current_version(spark, root) == 4
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        conf.unset(key.removeprefix("spark.hadoop."))
+
+
+def test_constraint_rules_in_one_pass(spark):
+    from cartwheel.operators.quality import TableRules, check_table
+
+    rows = [(1, "a", 5), (1, "a", None), (None, "b", -1), (2, None, 3), (None, "b", 9)]
+    df = spark.createDataFrame(rows, "id bigint, name string, n int")
+    rules = TableRules(
+        "t", ["id", "name"], [["id"], ["name"]], {"positive": F.col("n") > 0}, [("n", "p", "x"), ("id", "p", "x")]
+    )
+    parent = spark.createDataFrame([(5,), (1,)], "x int")
+    got = {r["rule"]: r["violations"] for r in check_table(df, rules, {"p": parent}).collect()}
+    assert got == {
+        "not_null(id)": 2, "not_null(name)": 1, "check(positive)": 1, "unique(id)": 1, "unique(name)": 2,
+        "fk(n->p.x)": 3, "fk(id->p.x)": 1,
+    }
+    empty = {r["violations"] for r in check_table(df.limit(0), rules, {"p": parent}).collect()}
+    assert empty == {0}
+
+
+def test_no_scratch_folder_of_one_machine_on_a_cluster(monkeypatch):
+    from cartwheel import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session())
+
+
+def test_csv_keeps_timestamps_blanks_and_nulls(spark):
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.writers import write_csv
+
+    rows = [(1, dt.datetime(2024, 5, 6, 7, 8, 9), " x"), (2, None, None), (3, dt.datetime(1999, 1, 1), "")]
+    df = spark.createDataFrame(rows, "k bigint, ts timestamp, s string")
+    path = write_csv(df, scratch_path(spark, "test-csv"))
+    got = sorted(map(tuple, files.read_csv_typed(spark, path, df.schema).collect()))
+    # an empty string comes back as NULL, blanks stay
+    assert got == [*rows[:2], (3, dt.datetime(1999, 1, 1), None)]
 
 
 def test_session_first_values_fold_across_days_with_ties(spark):
