@@ -26,6 +26,8 @@ COVERAGE = 0.5
 LITERALS = 3
 #: Distinct benchmark windows (8 bytes each) up to which their hashes are broadcast.
 BROADCAST_WINDOWS = 1_000_000
+#: Keys of texts (16 bytes each) up to which they are broadcast to pick those texts.
+BROADCAST_KEYS = 1_000_000
 
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 #: Units of measure, recognised behind a number.
@@ -88,18 +90,20 @@ def benchmark_windows(benchmark: DataFrame, words: int = WORDS, text: str = "tex
     return cut.withColumn("n_windows", F.count("*").over(Window.partitionBy("item_id"))).withColumn("h", F.xxhash64("canon"))
 
 
-def _met(docs: DataFrame, hashes: DataFrame, words: int, text: str) -> DataFrame:
-    """(a, b, places): texts with a window among ``hashes`` and where. The text
-    itself does not move; if ``hashes`` is small by count it is broadcast,
-    otherwise both sides are shuffled on the hash."""
+def _limited(small: DataFrame, most: int) -> DataFrame:
+    """``small`` marked for broadcast if it has at most ``most`` rows; joined by shuffle otherwise."""
+    return F.broadcast(small) if small.count() <= most else small
+
+
+def _hits(docs: DataFrame, hashes: DataFrame, words: int, text: str) -> DataFrame:
+    """(a, b, pos, h): texts (by key) and places with a window among ``hashes``; the texts do not move."""
     rows = docs.select(text_of(text).alias("t"))
     canon, _ = templates(F.col("t"))
     rows = rows.select(F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"), canon.alias("c"))
     each = rows.select("a", "b", F.posexplode(_window_hashes(F.col("c"), words)).alias("pos", "h"))
-    hit = each.join(F.broadcast(hashes) if hashes.count() <= BROADCAST_WINDOWS else hashes, "h")
     # equal texts share a key; a place counts once
-    places = hit.select("a", "b", "pos").distinct()
-    return saved(places.groupBy("a", "b").agg(F.collect_list("pos").alias("places")), "bench-met")
+    hit = each.join(_limited(hashes, BROADCAST_WINDOWS), "h").select("a", "b", "pos", "h").distinct()
+    return saved(hit, "bench-hits")
 
 
 def contaminated(
@@ -107,12 +111,18 @@ def contaminated(
 ) -> DataFrame:
     """(a, b, item_id, n_windows, n_matched, coverage): texts (by key) and the items that contaminate them."""
     items = saved(benchmark_windows(benchmark, words), "bench-windows")
-    met = _met(docs, saved(items.select("h").distinct(), "bench-hashes"), words, text)
+    hits = _hits(docs, saved(items.select("h").distinct(), "bench-hashes"), words, text)
+    # texts whose hashes alone could reach the coverage for some item
+    met = hits.join(items.select("h", "item_id", "n_windows", "ipos"), "h").groupBy("a", "b", "item_id", "n_windows")
+    near = met.agg(F.count_distinct("ipos").alias("n")).filter(F.col("n") >= coverage * F.col("n_windows"))
+    near = saved(near.select("a", "b").distinct(), "bench-near")
+    places = hits.join(near, ["a", "b"]).groupBy("a", "b").agg(F.collect_list("pos").alias("places"))
     rows = docs.select(text_of(text).alias("t"))
     keyed = rows.select("t", F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"))
     canon, orig = templates(F.col("t"))
     # equal texts give equal rows: one of them is enough
-    own = keyed.join(met, ["a", "b"]).dropDuplicates(["a", "b"])
+    own = keyed.join(_limited(near, BROADCAST_KEYS), ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
+    own = own.join(places, ["a", "b"])
     own = own.select("a", "b", "places", canon.alias("c"), orig.alias("o")).filter(F.size("c") == F.size("o"))
     at = own.select(
         "a",
@@ -179,10 +189,10 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, words: int = WORDS, coverage: float = COVERAGE, text: str = "text"
 ) -> DataFrame:
     """``docs`` without the documents that an item contaminates; all columns kept."""
-    found = contaminated(docs, benchmark, words, coverage, text).select("a", "b").distinct()
+    found = saved(contaminated(docs, benchmark, words, coverage, text).select("a", "b").distinct(), "bench-drop")
     t = text_of(text)
     keyed = docs.select(whole_row(docs), F.xxhash64(t).alias("a"), F.xxhash64(F.lit("bench"), t).alias("b"))
-    return keyed.join(found, ["a", "b"], "left_anti").select("row.*")
+    return keyed.join(_limited(found, BROADCAST_KEYS), ["a", "b"], "left_anti").select("row.*")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
