@@ -69,7 +69,8 @@ def line_table(docs: DataFrame, text: str = "text") -> DataFrame:
     # the key columns of `placed` equal those of `same`; a null doc_id is inside the hashes
     full = placed.drop("doc_id", "n").join(same.select("_k1", "_k2", "lines"), ["_k1", "_k2"])
     out = full.select("_k1", "_k2", "_copy", "d", F.posexplode("lines").alias("p", "line"))
-    total = F.sum("line.w").over(Window.partitionBy("d").orderBy("p"))
+    # clustered by the join above already
+    total = F.sum("line.w").over(Window.partitionBy("_k1", "_k2", "_copy").orderBy("p"))
     return out.select(
         "_k1",
         "_k2",
