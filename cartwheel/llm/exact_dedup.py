@@ -16,7 +16,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import WHITE, read_documents, saved, text_of
@@ -79,7 +79,8 @@ def recipes(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _shared_chunks(docs: DataFrame, shared: DataFrame, text: str) -> DataFrame:
-    """Distinct (fp, chunk) of the texts whose digest is in ``shared``."""
+    """Distinct (fp, chunk) of the texts in ``shared`` (_id, text_sha256): one row
+    for each different text, so copies of a hot text do not meet in a task."""
 
     def run(batches):
         seen: set[bytes] = set()
@@ -96,8 +97,13 @@ def _shared_chunks(docs: DataFrame, shared: DataFrame, text: str) -> DataFrame:
             yield pd.DataFrame({"fp": [_fingerprint(c) for c in rows.values()], "chunk": list(rows.values())})
 
     norm = F.regexp_replace(text_of(text), WHITE, " ")
-    mine = docs.select(F.sha2(norm, 256).alias("text_sha256"), text_of(text).alias("text"))
-    return mine.join(shared, "text_sha256", "left_semi").select("text").mapInPandas(run, "fp binary, chunk binary").distinct()
+    mine = docs.select(_id_key(), F.sha2(norm, 256).alias("text_sha256"), text_of(text).alias("text"))
+    one = mine.join(shared, ["_id", "text_sha256"], "left_semi").select("text")
+    return one.mapInPandas(run, "fp binary, chunk binary").distinct()
+
+
+def _id_key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
 
 
 def verified_ids(chunk_table: DataFrame) -> DataFrame:
@@ -124,12 +130,11 @@ def exact_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
         made.groupBy("recipe").agg(
             F.min("doc_id").alias("keep_id"),
             F.count("*").alias("group_size"),
-            F.min("text_sha256").alias("least_sha"),
-            F.max("text_sha256").alias("most_sha"),
         ).filter("group_size > 1"),
         "recipe-groups",
     )
-    shared = made.join(groups.select("recipe"), "recipe", "left_semi").select("text_sha256").distinct()
+    shared = made.join(groups.select("recipe"), "recipe", "left_semi").select(_id_key(), "text_sha256")
+    shared = saved(shared.groupBy("text_sha256").agg(F.min("_id").alias("_id")), "recipe-texts")
     clashes = saved(verified_ids(_shared_chunks(docs, shared, text)), "chunk-clashes")
     if clashes.isEmpty():
         # every fingerprint stands for one chunk, so equal recipes are equal identifier lists
