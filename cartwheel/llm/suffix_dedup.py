@@ -11,7 +11,10 @@ anchors and meet. Neighbouring windows with one anchor are a stretch. Anchors
 that occur once are dropped before any text moves; the stretches of the
 others (each different content once) are dealt out by anchor, and a shard
 sorts the suffixes of its stretches. A window whose suffix shares LENGTH bytes
-with a neighbour in the suffix array is repeated.
+with a neighbour in the suffix array is repeated. An anchor with very many
+different stretches is dealt out again by finer content: windows at nearly
+the same distance from the anchor share all but a few of their bytes, and
+those shared bytes decide the shard.
 """
 
 from __future__ import annotations
@@ -33,6 +36,10 @@ LENGTH = 400
 GRAM = 128
 #: Bytes hashed at a time; longer texts are cut with an overlap of LENGTH.
 CHUNK = 1 << 20
+#: Different stretches of one anchor above which they are dealt out by finer content.
+HOT = 1000
+#: Windows with one shard then differ in their distance from the anchor by less than this.
+FINE = 16
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD)]
 
@@ -58,13 +65,14 @@ def _gram_hashes(data: bytes, gram: int) -> np.ndarray:
 
 
 def stretches(pieces: list[bytes], length: int = LENGTH, gram: int = GRAM):
-    """(piece, s0, s1, anchor) arrays: the windows s0..s1 of a piece have one anchor."""
+    """(piece, s0, s1, anchor, o) arrays: the windows s0..s1 of a piece have one
+    anchor, o bytes behind s0."""
     data = b"".join(pieces)
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     first = np.cumsum(sizes) - sizes
     n, wide = len(data), length - gram + 1
     if n < length:
-        return (np.zeros(0, np.int64),) * 4
+        return (np.zeros(0, np.int64),) * 5
     h = _gram_hashes(data, gram)
     key = (h & np.uint64(0xFFFFFFFF00000000)) | (np.uint64(0xFFFFFFFF) - np.arange(n, dtype=np.uint64))
     padded = np.full(-(-n // wide) * wide + wide, np.uint64(0xFFFFFFFFFFFFFFFF))
@@ -78,14 +86,14 @@ def stretches(pieces: list[bytes], length: int = LENGTH, gram: int = GRAM):
     step[(first + sizes)[has] - length + 1] -= 1
     s = np.flatnonzero(np.cumsum(step[:n]))
     if not len(s):
-        return (np.zeros(0, np.int64),) * 4
+        return (np.zeros(0, np.int64),) * 5
     least = np.minimum(down[s], up[s + wide - 1])
     anchor = (np.uint64(0xFFFFFFFF) - (least & np.uint64(0xFFFFFFFF))).astype(np.int64)
     piece = np.searchsorted(first, s, side="right") - 1
     cut = np.flatnonzero((np.diff(anchor) != 0) | (np.diff(s) != 1) | (np.diff(piece) != 0)) + 1
     lo, hi = np.concatenate(([0], cut)), np.concatenate((cut, [len(s)])) - 1
     owner = piece[lo]
-    return owner, s[lo] - first[owner], s[hi] - first[owner], h[anchor[lo]].view(np.int64)
+    return owner, s[lo] - first[owner], s[hi] - first[owner], h[anchor[lo]].view(np.int64), anchor[lo] - s[lo]
 
 
 def _cut(data: bytes, length: int):
@@ -99,7 +107,7 @@ def _rows(text: Column) -> list[Column]:
 
 
 def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text") -> DataFrame:
-    """(k1, k2, anchor, s0, s1) of every stretch of every text."""
+    """(k1, k2, anchor, s0, s1, o) of every stretch of every text."""
 
     def run(batches):
         for batch in batches:
@@ -118,18 +126,17 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str =
 
     def out(k1, k2, held, where):
         row, at = np.array(where, np.int64).T
-        owner, s0, s1, anchor = stretches(held, length, gram)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (k1[row[owner]], k2[row[owner]], anchor, s0 + at[owner], s1 + at[owner])],
-            names=["k1", "k2", "anchor", "s0", "s1"],
-        )
+        owner, s0, s1, anchor, o = stretches(held, length, gram)
+        columns = (k1[row[owner]], k2[row[owner]], anchor, s0 + at[owner], s1 + at[owner], o)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["k1", "k2", "anchor", "s0", "s1", "o"])
 
     rows = docs.select(*_rows(text_of(text))).filter(F.octet_length("t") >= length)
-    return rows.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, s0 bigint, s1 bigint")
+    return rows.mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, s0 bigint, s1 bigint, o bigint")
 
 
 def repeated_windows(contents: list[bytes], folder: str, length: int = LENGTH, buffer: int | None = None):
-    """(i, a, b): windows a..b of content i whose ``length`` bytes also start elsewhere in the shard."""
+    """(i, a, b): windows a..b of content i whose ``length`` bytes also start
+    elsewhere in the shard. Empties ``contents`` once they are in the shard's file."""
     files = Files(folder) if buffer is None else Files(folder, buffer)
     sizes = np.fromiter(map(len, contents), np.int64, len(contents))
     first = np.cumsum(sizes + 1) - sizes - 1
@@ -142,6 +149,7 @@ def repeated_windows(contents: list[bytes], folder: str, length: int = LENGTH, b
     s = files.array(n, np.uint8 if k <= 256 else np.uint16)
     for c, at in zip(contents, first.tolist()):
         s[at : at + len(c)] = symbol[np.frombuffer(c, np.uint8)]
+    contents.clear()
     order, prefix = suffix_array(s, k, files)
     repeated = files.array(n, bool)
     for lo in range(0, n, BLOCK):
@@ -169,7 +177,7 @@ def _marked_texts(docs: DataFrame, length: int, gram: int, text: str) -> DataFra
     twice = every.groupBy("anchor").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b")
     twice = saved(twice.select("anchor"), "suffix-repeated")
     marks = every.join(twice, "anchor", "left_semi").distinct()
-    marks = saved(marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("s0", "s1", "anchor")).alias("marks")), "suffix-marks")
+    marks = saved(marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("s0", "s1", "anchor", "o")).alias("marks")), "suffix-marks")
     # one row stands for all copies of a text, so copies of a hot text do not meet in one task
     ids = docs.select(F.col("doc_id").cast("string").alias("d"), *_rows(text_of(text)))
     some = F.coalesce(F.col("d"), F.lit("")).alias("d")
@@ -183,7 +191,6 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, tex
     """(texts, ranges): the texts that take part (k1, k2, t), each once, and
     (k1, k2, a, b): their windows a..b that also start elsewhere in another
     text or elsewhere in the same one."""
-    spark = docs.sparkSession
     marked = saved(_marked_texts(docs, length, gram, text), "suffix-texts")
 
     def cut(batches):
@@ -193,40 +200,94 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, tex
             for k1, k2, t, marks in zip(pdf["k1"], pdf["k2"], pdf["t"], pdf["marks"]):
                 for m in marks:
                     content = t[m["s0"] : m["s1"] + length]
-                    name = hashlib.blake2b(content, digest_size=16).digest()
-                    fresh = name not in seen
-                    seen.add(name)
-                    out.append((k1, k2, m["s0"], m["s1"], m["anchor"], name, content if fresh else None))
-            if len(seen) > 1_000_000:
-                seen.clear()
-            yield pd.DataFrame(out, columns=["k1", "k2", "s0", "s1", "anchor", "name", "content"])
-
-    schema = "k1 bigint, k2 bigint, s0 bigint, s1 bigint, anchor bigint, name binary, content binary"
-    parts = saved(marked.mapInPandas(cut, schema), "suffix-stretches")
-    refs = parts.select("k1", "k2", "s0", "s1", "name")
+                    out.append((k1, k2, m["s0"], m["s1"], m["o"], m["anchor"], *_named(content, seen)))
+                if len(out) > 4000:
+                    yield pd.DataFrame(out, columns=["k1", "k2", *_PART])
+                    out = []
+            yield pd.DataFrame(out, columns=["k1", "k2", *_PART])
+
+    parts = saved(marked.mapInPandas(cut, f"k1 bigint, k2 bigint, {_PART_SCHEMA}"), "suffix-stretches")
+    return marked.select("k1", "k2", "t"), _repeated(parts, ["k1", "k2"], length)
+
+
+_PART = ["s0", "s1", "o", "shard", "name", "content"]
+_PART_SCHEMA = "s0 bigint, s1 bigint, o bigint, shard bigint, name binary, content binary"
+
+
+def _named(content: bytes, seen: set[bytes]) -> tuple[bytes, bytes | None]:
+    """The content's digest, and the content itself the first time the task meets it."""
+    name = hashlib.blake2b(content, digest_size=16).digest()
+    if name in seen:
+        return name, None
+    if len(seen) > 1_000_000:  # only saves repeats within a task
+        seen.clear()
+    seen.add(name)
+    return name, content
+
+
+def _repeated(parts: DataFrame, owner: list[str], length: int, fine: bool = False) -> DataFrame:
+    """(owner.., a, b): the windows of ``parts`` (owner.., s0, s1, o, shard,
+    name, content) that also start elsewhere among them."""
+    spark = parts.sparkSession
+    tag = "fine" if fine else "all"
+    refs = parts.select(*owner, "s0", "s1", "name")
     # contents that occur twice are repeated from end to end
-    many = saved(refs.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), "suffix-many")
+    many = saved(refs.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), f"suffix-many-{tag}")
+    contents = parts.filter("content IS NOT NULL").select("shard", "name", "o", "content").dropDuplicates(["shard", "name"])
 
     def sort(batches):
-        names, contents = [], []
+        names, held = [], []
         for pdf in batches:
             names += pdf["name"].tolist()
-            contents += pdf["content"].tolist()
+            held += pdf["content"].tolist()
         if not names:
             return
         with tempfile.TemporaryDirectory() as folder:
-            i, a, b = repeated_windows(contents, folder, length)
+            i, a, b = repeated_windows(held, folder, length)
         for lo in range(0, len(i), 50_000):
             part = slice(lo, lo + 50_000)
             yield pd.DataFrame({"name": [names[x] for x in i[part]], "a": a[part], "b": b[part]})
 
+    found = []
+    if not fine:
+        per_shard = parts.select("shard", "name").distinct().groupBy("shard").agg(F.count("*").alias("n"))
+        hot = saved(per_shard.filter(F.col("n") > HOT).select("shard"), "suffix-hot")
+        if not hot.isEmpty():
+            again = contents.join(hot, "shard", "left_semi").mapInPandas(
+                lambda batches: _finer(batches, length), f"parent binary, {_PART_SCHEMA}"
+            )
+            inner = _repeated(saved(again, "suffix-fine"), ["parent"], length, fine=True)
+            found.append(inner.withColumnRenamed("parent", "name"))
+            contents = contents.join(hot, "shard", "left_anti")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = parts.filter("content IS NOT NULL").select("anchor", "name", "content").dropDuplicates(["anchor", "name"])
-    dealt = shards.repartition(width, "anchor").select("name", "content")
-    inside = saved(dealt.mapInPandas(sort, "name binary, a bigint, b bigint"), "suffix-inside")
-    whole = refs.join(many, "name", "left_semi").select("k1", "k2", F.col("s0").alias("a"), F.col("s1").alias("b"))
-    some = refs.join(inside, "name").select("k1", "k2", (F.col("s0") + F.col("a")).alias("a"), (F.col("s0") + F.col("b")).alias("b"))
-    return marked.select("k1", "k2", "t"), whole.unionByName(some)
+    dealt = contents.repartition(width, "shard").select("name", "content")
+    found.append(dealt.mapInPandas(sort, "name binary, a bigint, b bigint"))
+    inside = found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    inside = saved(inside, f"suffix-inside-{tag}")
+    whole = refs.join(many, "name", "left_semi").select(*owner, F.col("s0").alias("a"), F.col("s1").alias("b"))
+    a, b = (F.col("s0") + F.col("a")).alias("a"), (F.col("s0") + F.col("b")).alias("b")
+    return whole.unionByName(refs.join(inside, "name").select(*owner, a, b))
+
+
+def _finer(batches, length: int):
+    """Stretches cut into runs of windows by distance from the anchor; what all
+    windows at such distances share decides the shard."""
+    seen: set[bytes] = set()
+    for pdf in batches:
+        out = []
+        for name, o, content in zip(pdf["name"], pdf["o"], pdf["content"]):
+            last = len(content) - length
+            for j in range((o - last) // FINE, o // FINE + 1):
+                lo, hi = max(0, o - FINE * j - FINE + 1), min(last, o - FINE * j)
+                if lo > hi:
+                    continue
+                core = content[o - FINE * j : o - FINE * j - FINE + 1 + length]
+                shard = int.from_bytes(hashlib.blake2b(core, digest_size=8).digest(), "little", signed=True)
+                out.append((name, lo, hi, o - lo, shard, *_named(content[lo : hi + length], seen)))
+            if len(out) > 4000:
+                yield pd.DataFrame(out, columns=["parent", *_PART])
+                out = []
+        yield pd.DataFrame(out, columns=["parent", *_PART])
 
 
 def _kept(t: bytes, ranges, length: int):

@@ -71,6 +71,18 @@ def test_repeated_strings_match_plain_search(awkward):
     assert got == _repeats([(i, t.encode()) for i, t in ROWS], 400)
 
 
+def test_hot_anchors_are_dealt_again(spark, monkeypatch):
+    """One passage in many different surroundings, with the finer dealing forced on every anchor."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = some(430)
+    rows = [(i, some(rng.randint(0, 500)) + passage[rng.randint(0, 40) :] + some(rng.randint(0, 500))) for i in range(40)]
+    rows += [(50, passage[:399]), (51, passage * 3)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert _sorted(tuple(r) for r in got.collect()) == _repeats([(i, t.encode()) for i, t in rows], 400)
+
+
 def test_repeated_strings_kept_text(awkward):
     out = suffix_dedup.remove_repeats(awkward, with_text=True).select("kept", "kept_sha256").collect()
     assert all(hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] for r in out)
@@ -79,7 +91,7 @@ def test_repeated_strings_kept_text(awkward):
 def test_stretches_cover_each_window_once(monkeypatch):
     rng = random.Random(1)
     texts = [bytes(rng.choice(b"ab") for _ in range(n)) for n in (0, 399, 400, 401, 2500, 700)]
-    owner, s0, s1, _ = suffix_dedup.stretches(texts)
+    owner, s0, s1, _, _ = suffix_dedup.stretches(texts)
     got = Counter((int(o), s) for o, a, b in zip(owner, s0, s1) for s in range(a, b + 1))
     assert got == Counter((i, s) for i, t in enumerate(texts) for s in range(len(t) - 399))
     monkeypatch.setattr(suffix_dedup, "CHUNK", 100)
