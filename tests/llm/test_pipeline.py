@@ -26,13 +26,18 @@ def _stages(spark, docs, sf_dir, tmp_path):
     return out
 
 
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    return _stages(spark, read_documents(spark, SF), SF, tmp_path_factory.mktemp("stages"))
+
+
 def _words(t):
     return re.findall(r"\w+", t.lower())
 
 
-def test_stage_by_stage(spark, tmp_path):
+def test_stage_by_stage(spark, built):
     docs = read_documents(spark, SF)
-    language, lines, near, clean, packed = _stages(spark, docs, SF, tmp_path)
+    language, lines, near, clean, packed = built
     for df in (language, lines, near, clean):
         assert df.columns == docs.columns
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
@@ -67,8 +72,8 @@ def test_awkward_rows_go_through(spark, awkward, nothing, tmp_path):
     assert _stages(spark, nothing, SF, tmp_path / "none")[-1].collect() == []
 
 
-def test_run_equals_the_stages(spark, tmp_path):
-    want = _stages(spark, read_documents(spark, SF), SF, tmp_path)[-1]
+def test_run_equals_the_stages(spark, built):
+    want = built[-1]
     key = lambda r: (r["doc_id"], r["piece"], r["length"], r["ids_crc32"])
     assert sorted(map(key, corpus_pipeline.run(spark, SF).collect())) == sorted(map(key, want.collect()))
 
