@@ -2,18 +2,22 @@
 
 Every line is known by its 128-bit digest and every line of the corpus by its
 place in (doc_id, row, line) order. Prefix doubling ranks the suffixes of the
-line sequences by their first 1, 2, 4, ... lines: a round joins each suffix's
-rank with the rank of the suffix that many lines on and ranks the pairs.
-Suffixes alone in their rank drop out, so rounds shrink quickly. Suffixes of
-equal rank are an interval of the suffix array whose longest common prefix
-has at least that many lines; in each interval the earliest suffix is the
-original and every other one starts a later copy.
-
-A run is worth deleting when it has ``min_words`` words. A repeated run with
-that many words is covered by its windows of at most ``min_words`` lines with
-that many words, so depths up to ``min_words`` decide everything and deeper
-ranks would not change a row. Depths between powers of two are the overlap of
-two ranked windows.
+sequences of lines that hold a word by their first 1, 2, 4, ... such lines: a
+round joins each suffix's rank with the rank of the suffix that many lines on,
+and with a hash of the blank lines (lines without a word) between the two, and
+ranks the pairs. Suffixes alone in their rank drop out, so rounds shrink
+quickly. Suffixes of equal rank are an interval of the suffix array whose
+longest common prefix has at least that many lines; in each interval the
+earliest suffix is the original and every other one starts a later copy.
+
+A run is worth deleting when it has ``min_words`` words. As blank lines are no
+place of their own, each ranked line has a word, and a repeated run with that
+many words is covered by its windows of at most ``min_words`` ranked lines with
+that many words, however many blank lines lie in it. So depths up to
+``min_words`` decide everything and deeper ranks would not change a row.
+Depths between powers of two are the overlap of two ranked windows. Blank lines
+before and behind a window belong to the copy as far as they, too, stand
+beside an earlier copy.
 
 DataFrame operations only.
 """
@@ -45,9 +49,12 @@ def _lines(text: Column) -> Column:
 
 
 def line_table(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(_k1, _k2, _copy, d, g, w0, w1, id), one row per line: d is the place of
-    the row's first line among all lines, g the line's own place, w0 and w1
-    the words of the row before and after the line, id the line's digest."""
+    """(_k1, _k2, _copy, d, g, u, w0, w1, id, x, y), one row per line: d is the
+    place of the row's first line among all lines, g the line's own place, w0
+    and w1 the words of the row before and after the line, id the line's
+    digest. u numbers the row's lines that hold a word from 1; a blank line has
+    the number of the one before it. x and y are two hashes of the blank lines
+    since the last line with a word, up to this line (0 if there are none)."""
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         *_row_key(F.col("doc_id").cast("bigint"), text_of(text)),
@@ -69,70 +76,130 @@ def line_table(docs: DataFrame, text: str = "text") -> DataFrame:
     # the key columns of `placed` equal those of `same`; a null doc_id is inside the hashes
     full = placed.drop("doc_id", "n").join(same.select("_k1", "_k2", "lines"), ["_k1", "_k2"])
     out = full.select("_k1", "_k2", "_copy", "d", F.posexplode("lines").alias("p", "line"))
-    # clustered by the join above already
-    total = F.sum("line.w").over(Window.partitionBy("_k1", "_k2", "_copy").orderBy("p"))
+    # clustered by the join above already, and sorted once for all windows
+    so_far = Window.partitionBy("_k1", "_k2", "_copy").orderBy("p")
+    earlier = so_far.rowsBetween(Window.unboundedPreceding, -1)
+    worded = F.col("line.w") > 0
+    out = out.select(
+        "*",
+        F.sum("line.w").over(so_far).alias("w1"),
+        F.count(F.when(worded, 1)).over(so_far).cast("int").alias("u"),
+        (F.col("p") - F.coalesce(F.max(F.when(worded, F.col("p"))).over(so_far), F.lit(-1))).alias("back"),
+    )
+    blank = _blank_hashes(F.col("line.id"), F.col("back"))
+    out = out.select(
+        "*", *[F.bit_xor(F.when(~worded, h).otherwise(F.lit(0))).over(so_far).alias(f"{c}_all") for c, h in blank.items()]
+    )
+    since = {
+        c: F.col(f"{c}_all").bitwiseXOR(F.coalesce(F.last(F.when(worded, F.col(f"{c}_all")), True).over(earlier), F.lit(0)))
+        for c in blank
+    }
     return out.select(
         "_k1",
         "_k2",
         "_copy",
         "d",
         (F.col("d") + F.col("p")).alias("g"),
-        (total - F.col("line.w")).alias("w0"),
-        total.alias("w1"),
+        "u",
+        (F.col("w1") - F.col("line.w")).alias("w0"),
+        "w1",
         F.col("line.id").alias("id"),
+        *[h.alias(c) for c, h in since.items()],
     )
 
 
+def _blank_hashes(line: Column, place: Column) -> dict[str, Column]:
+    """Two hashes of a blank line at a place of its gap; a gap's are the exclusive or of its lines'."""
+    return {"x": F.xxhash64(line, place), "y": F.xxhash64(F.lit("blank"), place, line)}
+
+
 def _intervals(s: DataFrame, keys: list[str], name: str) -> DataFrame:
     """The suffix-array intervals with two or more suffixes: keys, n, first."""
     return saved(s.groupBy(*keys).agg(F.count("*").alias("n"), F.min("g").alias("first")).filter("n > 1"), name)
 
 
+def _blank_sides(runs: DataFrame, blanks: DataFrame) -> list[DataFrame]:
+    """(d, g, span): the blank lines behind and before a repeated window that
+    stand there at an earlier place of the window, too."""
+    back = F.row_number().over(Window.partitionBy("d", "u").orderBy(F.desc("g")))
+    turned = _blank_hashes(F.col("id"), F.col("back"))
+    down = Window.partitionBy("d", "u").orderBy("back")
+    before = blanks.withColumn("back", back).select("d", "u", "g", *[F.bit_xor(h).over(down).alias(c) for c, h in turned.items()])
+    out = []
+    for name, beside, u in (("behind", blanks, F.col("u") + F.col("m") - 1), ("before", before, F.col("u") - 1)):
+        # the shortest window at the gap decides: longer ones hold it
+        at = runs.select("d", u.alias("u"), F.struct("m", "k1", "k2", F.col("g").alias("from")).alias("r"))
+        at = at.groupBy("d", "u").agg(F.min("r").alias("r")).select("d", "u", "r.*")
+        lines = saved(beside.select("d", "u", "g", "x", "y").join(at, ["d", "u"]), f"blank-{name}")
+        keys = ["m", "k1", "k2", "x", "y"]
+        sets = lines.groupBy(*keys).agg(F.count("*").alias("n"), F.min("from").alias("first")).filter("n > 1")
+        late = lines.join(sets, keys).filter(F.col("from") > F.col("first"))
+        out.append(late.select("d", "g", F.lit(0).alias("span")))
+    return out
+
+
 def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(d, g, m): windows of m lines from place g, with at least ``min_words``
-    words, that also start at an earlier place."""
+    """(d, g, span): the lines from place g to g + span of a run, with at least
+    ``min_words`` words, that also starts at an earlier place."""
     found = []
 
-    def keep(s: DataFrame, m: int) -> None:
-        late = s.filter((F.col("g") > F.col("first")) & (F.col("w1") - F.col("w0") >= min_words))
-        found.append(late.select("d", "g", F.lit(m).alias("m")))
+    def keep(s: DataFrame, m: int, k2: str | None = None) -> None:
+        many = s.filter(F.col("w1") - F.col("w0") >= min_words)
+        key = F.col(k2) if k2 else F.lit(0).cast("bigint")
+        found.append(many.select("d", "u", "g", "span", F.lit(m).alias("m"), F.col("rank").alias("k1"), key.alias("k2"), "first"))
 
     # depth 1: the digest orders the lines; rank = place of the interval in the suffix array
-    line_sets = _intervals(lines, ["id"], "lines-1")
+    worded = lines.filter("w1 > w0")
+    line_sets = _intervals(worded, ["id"], "lines-1")
     ranked = running_start(line_sets, ["id"], "n", "rank", "lines-1-order")
-    s = saved(lines.join(ranked, "id").select("d", "g", "w0", "w1", "rank", "first"), "suffixes-1")
+    span = F.lit(0).alias("span")
+    s = saved(worded.join(ranked, "id").select("d", "u", "g", span, "w0", "w1", "x", "y", "rank", "first"), "suffixes-1")
     keep(s, 1)
     depth = 1
     while depth < min_words:
         for m in range(depth + 1, min(2 * depth, min_words) + 1):
             # window m = window `depth` here and window `depth` that ends with it
             ahead = s.select(
-                "d", (F.col("g") - (m - depth)).alias("g"), F.col("w1").alias("w1"), F.col("rank").alias("rank2")
+                "d",
+                (F.col("u") - (m - depth)).alias("u"),
+                (F.col("g") + F.col("span")).alias("last"),
+                "w1",
+                F.col("rank").alias("rank2"),
+                # where the windows only touch, the blank lines between them
+                *([F.col("x").alias("x2"), F.col("y").alias("y2")] if m == 2 * depth else []),
             )
-            pairs = s.select("d", "g", "w0", "rank").join(ahead, ["d", "g"])
+            pairs = s.select("d", "u", "g", "w0", "x", "y", "rank").join(ahead, ["d", "u"])
+            pairs = pairs.withColumn("span", (F.col("last") - F.col("g")).cast("int")).drop("last")
             if m < 2 * depth:
                 sets = _intervals(pairs, ["rank", "rank2"], f"lines-{m}")
-                keep(pairs.join(sets, ["rank", "rank2"]), m)
+                keep(pairs.join(sets, ["rank", "rank2"]), m, "rank2")
                 continue
+            keys = ["rank", "rank2", "x2", "y2"]
             pairs = saved(pairs, f"pairs-{m}")
-            sets = _intervals(pairs, ["rank", "rank2"], f"lines-{m}")
-            order = running_start(sets, ["rank", "rank2"], "n", "next_rank", f"lines-{m}-order")
-            new = pairs.join(order, ["rank", "rank2"]).select(
-                "d", "g", "w0", "w1", F.col("next_rank").alias("rank"), "first"
+            sets = _intervals(pairs, keys, f"lines-{m}")
+            order = running_start(sets, keys, "n", "next_rank", f"lines-{m}-order")
+            new = pairs.join(order, keys).select(
+                "d", "u", "g", "span", "w0", "w1", "x", "y", F.col("next_rank").alias("rank"), "first"
             )
         if 2 * depth > min_words:
             break
         s = saved(new, f"suffixes-{2 * depth}")
         keep(s, 2 * depth)
         depth *= 2
-    return reduce(DataFrame.unionByName, found)
+    runs = reduce(DataFrame.unionByName, found)
+    blanks = lines.filter("w1 = w0")
+    sides = []
+    if not blanks.isEmpty():
+        runs = saved(runs, "line-runs")
+        sides = _blank_sides(runs, blanks)
+    return reduce(DataFrame.unionByName, sides, runs.filter("g > first").select("d", "g", "span"))
 
 
 def removed_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
     """(_k1, _k2, _copy, _gone): for rows that lose lines, the places of those lines in order."""
     lines = saved(line_table(docs, text), "lines")
     late = later_copies(lines, min_words)
-    gone = late.select("d", F.explode(F.sequence(F.col("g") - F.col("d"), F.col("g") - F.col("d") + F.col("m") - 1)).alias("p"))
+    gone = late.select("d", F.explode(F.sequence(F.col("g") - F.col("d"), F.col("g") - F.col("d") + F.col("span"))).alias("p"))
     per_row = gone.distinct().groupBy("d").agg(F.sort_array(F.collect_list(F.col("p").cast("int"))).alias("_gone"))
     rows = lines.filter("d = g").select("_k1", "_k2", "_copy", "d")
     return saved(per_row.join(rows, "d").select("_k1", "_k2", "_copy", "_gone"), "lines-gone")
@@ -142,9 +209,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text")
     """All columns of ``docs`` with the text cleaned, and n_lines, n_removed
     and n_runs (maximal removed runs) appended.
 
-    A line goes when it lies in a window of at most ``min_words`` consecutive
-    lines with together at least ``min_words`` words that also starts at an
-    earlier place, places being ordered by doc_id (null last), then by the
+    A line goes when it lies in a run of consecutive lines, of any length, with
+    together at least ``min_words`` words that also starts at an earlier place,
+    places being ordered by doc_id (null last), then by the
     row's hash, then by line; a blank line counts no word. Of repeated rows one
     keeps its lines. A text that is null stays null if it loses nothing, and
     has one (blank) line. Columns named n_lines, n_removed or n_runs are
@@ -193,7 +260,8 @@ _WINDOWS = "\n  UNION ALL ".join(
 _LEADS = ", ".join(
     f"lead(h, {i}) OVER o AS h{i}, lead(w, {i}) OVER o AS w{i}" for i in range(1, MIN_WORDS)
 )
-#: The same answer from all windows of 1 to MIN_WORDS lines by grouping; no suffix order.
+#: The same answer where every line has a word (as in the driver's tables), from all
+#: windows of 1 to MIN_WORDS lines by grouping; no suffix order.
 ORACLE = {
     "op6_line_dedup": rf"""
 WITH a AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
