@@ -7,8 +7,9 @@ those of the documents (first on 64-bit hashes alone, then, for the documents
 that met one, on the tokens themselves). Each alignment of a document with an
 item must fill the item's slots consistently: one value of the document for
 one value of the item, and the reverse. Windows over inconsistent slots do
-not count. A document is contaminated by an item when the consistent windows
-cover the given share of the item's windows.
+not count. A window whose own lower-cased words stand in the document counts
+without its template, too. A document is contaminated by an item when such
+windows cover the given share of the item's windows.
 
 DataFrame operations only.
 """
@@ -36,6 +37,8 @@ UNITS = (
     "liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month "
     "months year years percent cent cents dollar dollars euro euros degree degrees"
 ).split()
+#: White space other than one plain space.
+_SPACES = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+"
 _BREAK = rf"[^\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}]+"
 
 
@@ -46,19 +49,19 @@ def _tokens(s: Column) -> Column:
 
 
 def templates(text: Column) -> tuple[Column, Column]:
-    """(canonical, original): two token arrays of one length. Numbers are runs
-    of digits (separators between digits are dropped first), names are
-    capitalised words behind a lower-case letter, digit or comma and a space
-    (so not at the start of a sentence)."""
-    clean = F.translate(text, NAME + NUMBER + UNIT, "   ")
+    """(canonical, original): two token arrays of one length, whatever the
+    layout. Numbers are runs of digits (separators between digits are dropped
+    first), names are capitalised words wherever they stand. Where lower-casing
+    splits a name, the canonical tokens are the original ones."""
+    clean = F.regexp_replace(F.translate(text, NAME + NUMBER + UNIT, "   "), _SPACES, " ")
     has_digit = clean.rlike(r"\p{N}")
     joined = F.regexp_replace(clean, r"(?<=\p{N})[.,](?=\p{N})", "")
     spaced = F.when(has_digit, F.regexp_replace(joined, r"(\p{N}+)", " $1 ")).otherwise(clean)
-    named = F.regexp_replace(spaced, r"(?<=[\p{Ll}\p{N},] )\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", NAME)
+    named = F.regexp_replace(spaced, r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", NAME)
     numbered = F.regexp_replace(named, r"\p{N}+", NUMBER)
     measured = F.regexp_replace(numbered, rf"(?i)(?<={NUMBER} {{1,3}})({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
-    canon = F.when(has_digit, measured).otherwise(named)
-    return _tokens(canon), _tokens(spaced)
+    canon, orig = _tokens(F.when(has_digit, measured).otherwise(named)), _tokens(spaced)
+    return F.when(F.size(canon) == F.size(orig), canon).otherwise(orig), orig
 
 
 def _starts(tokens: Column, words: int) -> Column:
@@ -67,8 +70,10 @@ def _starts(tokens: Column, words: int) -> Column:
     return F.when(F.size(tokens) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _window_hashes(tokens: Column, words: int) -> Column:
-    return F.transform(_starts(tokens, words), lambda i: F.xxhash64(F.slice(tokens, i + 1, words)))
+def _window_hashes(canon: Column, orig: Column, words: int) -> Column:
+    """For each window the hashes of its template and its literal tokens (one where they agree)."""
+    both = lambda i: F.array(*[F.xxhash64(F.slice(c, i + 1, words)) for c in (canon, orig)])
+    return F.transform(_starts(orig, words), lambda i: F.array_distinct(both(i)))
 
 
 def _literals(window: Column) -> Column:
@@ -76,18 +81,21 @@ def _literals(window: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, words: int = WORDS, text: str = "text") -> DataFrame:
-    """(item_id, n_windows, ipos, canon, orig, h): the windows of every item
-    that hold enough literal tokens; n_windows counts those."""
+    """(item_id, ipos, canon, orig, typed, h, literal_h, n_typed, n_all): the
+    windows of every item. Those with enough literal tokens are typed: their
+    templates count as well; n_typed and n_all count windows."""
     canon, orig = templates(text_of(text))
     rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), canon.alias("c"), orig.alias("o"))
-    rows = rows.filter(F.size("c") == F.size("o"))
-    at = rows.select("*", F.explode(_starts(F.col("c"), words)).alias("ipos"))
+    at = rows.select("*", F.explode(_starts(F.col("o"), words)).alias("ipos"))
     cut = at.select(
         "item_id", "ipos", F.slice("c", F.col("ipos") + 1, words).alias("canon"), F.slice("o", F.col("ipos") + 1, words).alias("orig")
     )
     need = F.least(F.lit(LITERALS), F.size("canon"))
-    cut = cut.filter(_literals(F.col("canon")) >= need).dropDuplicates(["item_id", "ipos"])
-    return cut.withColumn("n_windows", F.count("*").over(Window.partitionBy("item_id"))).withColumn("h", F.xxhash64("canon"))
+    cut = cut.withColumn("typed", _literals(F.col("canon")) >= need).filter("typed")
+    cut = cut.dropDuplicates(["item_id", "ipos"])
+    cut = cut.withColumn("h", F.when(F.col("typed"), F.xxhash64("canon"))).withColumn("literal_h", F.xxhash64("orig"))
+    item = Window.partitionBy("item_id")
+    return cut.withColumn("n_typed", F.count("h").over(item)).withColumn("n_all", F.count("*").over(item))
 
 
 def _limited(small: DataFrame, most: int) -> DataFrame:
@@ -98,32 +106,58 @@ def _limited(small: DataFrame, most: int) -> DataFrame:
 def _hits(docs: DataFrame, hashes: DataFrame, words: int, text: str) -> DataFrame:
     """(a, b, pos, h): texts (by key) and places with a window among ``hashes``; the texts do not move."""
     rows = docs.select(text_of(text).alias("t"))
-    canon, _ = templates(F.col("t"))
-    rows = rows.select(F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"), canon.alias("c"))
-    each = rows.select("a", "b", F.posexplode(_window_hashes(F.col("c"), words)).alias("pos", "h"))
+    canon, orig = templates(F.col("t"))
+    rows = rows.select(
+        F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"), canon.alias("c"), orig.alias("o")
+    )
+    each = rows.select("a", "b", F.posexplode(_window_hashes(F.col("c"), F.col("o"), words)).alias("pos", "hs"))
+    each = each.select("a", "b", "pos", F.explode("hs").alias("h"))
     # equal texts share a key; a place counts once
     hit = each.join(_limited(hashes, BROADCAST_WINDOWS), "h").select("a", "b", "pos", "h").distinct()
     return saved(hit, "bench-hits")
 
 
+def _covered(matched: DataFrame, coverage: float) -> DataFrame:
+    """(a, b, item_id, n_windows, n_matched, coverage) from matched windows (a,
+    b, item_id, n_typed, n_all, ipos, typed, literal): of the typed windows in
+    either form or of all windows literally, whichever is more."""
+    item = ["a", "b", "item_id", "n_typed", "n_all"]
+    once = matched.groupBy(*item, "ipos", "typed").agg(F.max("literal").alias("literal"))
+    per = once.groupBy(*item).agg(F.count_if("typed").alias("typed"), F.count_if("literal").alias("literal"))
+    typed = F.when(F.col("n_typed") > 0, F.col("typed") / F.col("n_typed")).otherwise(0.0)
+    literal = F.col("literal") / F.col("n_all")
+    pick = lambda x, y: F.when(typed >= literal, x).otherwise(y)
+    out = per.select(
+        "a",
+        "b",
+        "item_id",
+        pick(F.col("n_typed"), F.col("n_all")).alias("n_windows"),
+        pick(F.col("typed"), F.col("literal")).alias("n_matched"),
+        pick(typed, literal).alias("coverage"),
+    )
+    return out.filter(F.col("coverage") >= coverage)
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, words: int = WORDS, coverage: float = COVERAGE, text: str = "text"
 ) -> DataFrame:
     """(a, b, item_id, n_windows, n_matched, coverage): texts (by key) and the items that contaminate them."""
     items = saved(benchmark_windows(benchmark, words), "bench-windows")
-    hits = _hits(docs, saved(items.select("h").distinct(), "bench-hashes"), words, text)
+    counts = ["item_id", "n_typed", "n_all", "ipos", "typed"]
+    keys = items.select(*counts, "literal_h", F.explode(F.array_distinct(F.array("h", "literal_h"))).alias("h"))
+    keys = keys.filter("h IS NOT NULL").withColumn("literal", F.col("h") == F.col("literal_h")).drop("literal_h")
+    hits = _hits(docs, saved(keys.select("h").distinct(), "bench-hashes"), words, text)
     # texts whose hashes alone could reach the coverage for some item
-    met = hits.join(items.select("h", "item_id", "n_windows", "ipos"), "h").groupBy("a", "b", "item_id", "n_windows")
-    near = met.agg(F.count_distinct("ipos").alias("n")).filter(F.col("n") >= coverage * F.col("n_windows"))
+    near = _covered(hits.join(keys, "h").select("a", "b", *counts, "literal"), coverage)
     near = saved(near.select("a", "b").distinct(), "bench-near")
-    places = hits.join(near, ["a", "b"]).groupBy("a", "b").agg(F.collect_list("pos").alias("places"))
+    places = hits.join(near, ["a", "b"]).groupBy("a", "b").agg(F.collect_set("pos").alias("places"))
     rows = docs.select(text_of(text).alias("t"))
     keyed = rows.select("t", F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"))
     canon, orig = templates(F.col("t"))
     # equal texts give equal rows: one of them is enough
     own = keyed.join(_limited(near, BROADCAST_KEYS), ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
     own = own.join(places, ["a", "b"])
-    own = own.select("a", "b", "places", canon.alias("c"), orig.alias("o")).filter(F.size("c") == F.size("o"))
+    own = own.select("a", "b", "places", canon.alias("c"), orig.alias("o"))
     at = own.select(
         "a",
         "b",
@@ -133,9 +167,11 @@ def contaminated(
                 lambda p: F.struct(p.alias("pos"), F.slice("c", p + 1, words).alias("dc"), F.slice("o", p + 1, words).alias("do")),
             )
         ).alias("w"),
-    ).select("a", "b", "w.*", F.xxhash64("w.dc").alias("h"))
-    pairs = at.join(items, "h").filter("dc = canon")
-    pairs = saved(pairs.select("a", "b", "item_id", "n_windows", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "canon", "orig", "do"), "bench-pairs")
+    ).select("a", "b", "w.*", F.xxhash64("w.dc").alias("h"), F.xxhash64("w.do").alias("literal_h"))
+    at = saved(at, "bench-places")
+    same = at.select("a", "b", "do", "literal_h").join(items.drop("h"), "literal_h").filter("do = orig")
+    pairs = at.drop("literal_h").join(items.drop("literal_h"), "h").filter("dc = canon")
+    pairs = saved(pairs.select("a", "b", *counts, (F.col("pos") - F.col("ipos")).alias("shift"), "canon", "orig", "do"), "bench-pairs")
     align = ["a", "b", "item_id", "shift"]
     slots = pairs.select(
         *align,
@@ -159,10 +195,10 @@ def contaminated(
         bad.withColumnRenamed("canon", "kind"),
         align,
     ).filter("canon = kind AND (orig = item_value OR do = doc_value)").select(*align, "ipos").distinct()
-    good = pairs.select(*align, "n_windows", "ipos").join(bad_windows, [*align, "ipos"], "left_anti")
-    per = good.select("a", "b", "item_id", "n_windows", "ipos").distinct().groupBy("a", "b", "item_id", "n_windows")
-    out = per.agg(F.count("*").alias("n_matched")).withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
-    return saved(out.filter(F.col("coverage") >= coverage), "bench-contaminated")
+    good = pairs.select(*align, *counts[1:]).join(bad_windows, [*align, "ipos"], "left_anti")
+    found = good.select("a", "b", *counts, F.lit(False).alias("literal"))
+    found = found.unionByName(same.select("a", "b", *counts, F.lit(True).alias("literal")))
+    return saved(_covered(found, coverage), "bench-contaminated")
 
 
 def find_contamination(
