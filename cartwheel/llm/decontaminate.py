@@ -9,7 +9,9 @@ item must fill the item's slots consistently: one value of the document for
 one value of the item, and the reverse. Windows over inconsistent slots do
 not count. A window whose own lower-cased words stand in the document counts
 without its template, too. A document is contaminated by an item when such
-windows cover the given share of the item's windows.
+windows cover the given share of the item's windows. Templates need enough literal
+tokens; the lower-cased words of all windows are compared as well, so an item
+of numbers and names alone is found by its own words.
 
 DataFrame operations only.
 """
@@ -91,7 +93,7 @@ def benchmark_windows(benchmark: DataFrame, words: int = WORDS, text: str = "tex
         "item_id", "ipos", F.slice("c", F.col("ipos") + 1, words).alias("canon"), F.slice("o", F.col("ipos") + 1, words).alias("orig")
     )
     need = F.least(F.lit(LITERALS), F.size("canon"))
-    cut = cut.withColumn("typed", _literals(F.col("canon")) >= need).filter("typed")
+    cut = cut.withColumn("typed", _literals(F.col("canon")) >= need)
     cut = cut.dropDuplicates(["item_id", "ipos"])
     cut = cut.withColumn("h", F.when(F.col("typed"), F.xxhash64("canon"))).withColumn("literal_h", F.xxhash64("orig"))
     item = Window.partitionBy("item_id")
