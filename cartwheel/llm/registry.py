@@ -6,7 +6,7 @@ import importlib
 
 MODULES = [
     "suffix_dedup", "lang_id", "packing", "token_files", "decontaminate", "line_dedup", "toxicity", "exact_dedup", "simhash", "pii",
-    "merkle",
+    "quality", "resampling", "merkle",
 ]
 
 
