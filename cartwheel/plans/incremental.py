@@ -5,7 +5,8 @@ marketplace orders of 1997-12-31: that channel's feed for the day arrives
 late (with the full table at run 2). By default every row is considered and
 the key anti join drops what is loaded, so no late or tied row is lost; a
 one-day ``lookback`` is the bounded form, and a reset-and-replay recovers what
-a strict mark missed; the stream form has no mark and loads everything once. Load times are fixed literals so the
+a strict mark missed; a folder of files is read by
+its ledger, each file once; the stream form has no mark and loads everything once. Load times are fixed literals so the
 final table is reproducible. Each query returns the final target table.
 """
 
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from ..oracle import with_fixtures
 from ..session import scratch_path
 from ..sources import fixtures as fx
+from ..sources.tables import read_table
 from ..streaming import incremental as inc
+from ..streaming.ledger import FileSource
 
 CUTOFF = "1998-01-01"
 LATE_DAY = "1997-12-31"
@@ -77,6 +80,36 @@ def incremental_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.read_loaded(spark, p["target_root"])
 
 
+def _file_runs(spark: SparkSession, sf_dir: str, name: str) -> dict[str, str]:
+    """A folder that grows by files, loaded by its ledger. Drop 1 is the early
+    source; drop 2 exports everything from the late day on again, so it holds
+    late rows, rows that are loaded already and new ones; the third run finds
+    no new file. Files come in the raw shape of the orders table."""
+    p = _paths(spark, name)
+    src = scratch_path(spark, "incremental", f"{name}-source")
+    raw = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    day = F.lit(LATE_DAY).cast("timestamp")
+    late = (F.col("o_orderdate") == day) & (fx.channel_of(F.col("o_orderkey")) == LATE_CHANNEL)
+    early = raw.where((F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp")) & ~late)
+    source = FileSource(src, raw.schema, fx.orders_of)
+    for drop, at in ((early, T1), (raw.where(F.col("o_orderdate") >= day), T2), (None, T3)):
+        if drop is not None:
+            drop.write.mode("append").parquet(src)
+        inc.incremental_run(spark, source, key="order_id", ts_col="order_date", loaded_at=at, **p)
+    return p
+
+
+def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over a growing folder, each reading new files
+    only; late and tied rows come in, repeats drop out at the key index."""
+    return inc.read_loaded(spark, _file_runs(spark, sf_dir, "files")["target_root"])
+
+
+def incremental_files_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of those batches took, landed and loaded."""
+    return inc.landing_audit(spark, **{k: v for k, v in _file_runs(spark, sf_dir, "files-audit").items()}).drop("files")
+
+
 def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """I5 stream form: two file drops, each processed by an availableNow run of
     the same streaming query (same checkpoint)."""
@@ -117,6 +150,16 @@ SELECT *, {_ts(T1)} AS loaded_at FROM v1
 UNION ALL
 SELECT *, {_ts(T2)} FROM sales_orders
 WHERE order_date > (SELECT m - INTERVAL 1 DAY FROM m1) AND order_id NOT IN (SELECT order_id FROM v1)""",
+    "incremental_files": f"""
+WITH {_V1}
+SELECT *, {_ts(T1)} AS loaded_at FROM v1
+UNION ALL
+SELECT *, {_ts(T2)} FROM sales_orders WHERE order_id NOT IN (SELECT order_id FROM v1)""",
+    "incremental_files_audit": f"""
+WITH {_V1}, drop2 AS (SELECT * FROM sales_orders WHERE order_date >= TIMESTAMP '{LATE_DAY}')
+SELECT '0-000001' AS batch_id, COUNT(*) AS rows_taken, COUNT(*) AS rows_landed, COUNT(*) AS rows_loaded FROM v1
+UNION ALL
+SELECT '0-000002', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE order_id NOT IN (SELECT order_id FROM v1)) FROM drop2""",
     "incremental_reset": f"""
 WITH {_V1},
 r2 AS (SELECT * FROM sales_orders WHERE order_date > (SELECT m FROM m1) AND order_id NOT IN (SELECT order_id FROM v1))
@@ -134,6 +177,8 @@ SELECT *, {_ts(STREAM_BASE + dt.timedelta(days=1))} FROM sales_orders WHERE orde
 QUERIES = {
     "incremental_two_runs": incremental_two_runs,
     "incremental_lookback": incremental_lookback,
+    "incremental_files": incremental_files,
+    "incremental_files_audit": incremental_files_audit,
     "incremental_reset": incremental_reset,
     "incremental_stream": incremental_stream,
 }

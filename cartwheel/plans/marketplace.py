@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_iso_utc
 from ..functions.numeric import integral_long
 from ..operators import cleaning as cl
-from ..operators import upsert as up
 from ..operators.quality import apply_defaults
 from ..oracle import with_fixtures
 from ..session import scratch_path
 from ..sinks.materialize import materialized
+from ..sinks.snapshot import BucketedTable
 from ..sources import files
 from ..sources import fixtures as fx
 
@@ -172,8 +172,29 @@ def upsert_marketplace(spark: SparkSession, sf_dir: str) -> DataFrame:
     for where, at in ((page * 3 <= last * 2, RUN1_AT), (page * 3 > last, RUN2_AT)):
         # loaded_at takes its default (this load's time) at write
         batch = apply_defaults(clean_frame(_flagged(spark, sf_dir, where)), {"loaded_at": F.lit(at).cast("timestamp")})
-        up.upsert(spark, root, batch, "source_order_id")
-    return up.read_current(spark, root)
+        BucketedTable(spark, root, "source_order_id").upsert(batch)
+    return BucketedTable(spark, root, "source_order_id").read()
+
+
+#: Order numbers in one bucket of the query below, so a load of the latest orders meets few buckets.
+ORDERS_PER_BUCKET = 1000
+
+
+def upsert_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: a full load, then corrections of the last page's orders, into buckets
+    of consecutive order numbers: per bucket its rows and the version that
+    wrote them. Buckets without a corrected order stay as version 1 wrote them."""
+    root = scratch_path(spark, "marketplace_by_number")
+    number = F.substring_index("source_order_id", "-", -1).cast("bigint")
+    place = F.expr(f"cast(substring_index(source_order_id, '-', -1) as bigint) div {ORDERS_PER_BUCKET}")
+    table = BucketedTable(spark, root, "source_order_id", place=lambda: place)
+    clean = clean_frame(_flagged(spark, sf_dir))
+    table.upsert(clean)
+    last = table.read().agg(F.max(number)).scalar()
+    table.upsert(table.read().where(number > last - 50).withColumn("amount_usd", F.col("amount_usd") + 1))
+    return table.entries().select(
+        "bucket", "rows", F.regexp_extract("path", "v=([0-9]+)", 1).cast("bigint").alias("version")
+    )
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -213,6 +234,11 @@ register(
 )
 
 SQL = {
+    "upsert_touched_buckets": f"""
+WITH c AS (SELECT CAST(substr(source_order_id, 5) AS BIGINT) AS nr FROM ({_clean_sql()}))
+SELECT nr // {ORDERS_PER_BUCKET} AS bucket, COUNT(*) AS "rows",
+       CASE WHEN MAX(nr) > (SELECT MAX(nr) FROM c) - 50 THEN 2 ELSE 1 END::BIGINT AS version
+FROM c GROUP BY 1""",
     "page_flatten": "SELECT * FROM mkt_flat",
     "page_reconcile": """
 WITH z AS (SELECT MAX(page) AS z, COUNT(*) AS announced FROM mkt_records),
@@ -251,5 +277,6 @@ QUERIES = {
     "marketplace_reject_counts": marketplace_reject_counts,
     "marketplace_quarantine": marketplace_quarantine,
     "upsert_marketplace": upsert_marketplace,
+    "upsert_touched_buckets": upsert_touched_buckets,
 }
 ORACLE = {name: with_fixtures(sql) for name, sql in SQL.items()}

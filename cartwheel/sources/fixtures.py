@@ -83,7 +83,11 @@ def order_status(orderstatus: Column, key: Column) -> Column:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    return orders_of(read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]))
+
+
+def orders_of(o: DataFrame) -> DataFrame:
+    """The domain's orders from rows of the source table."""
     return o.select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),

@@ -3,18 +3,22 @@
 Batch form (``incremental_run``), per run:
 
 1. read the high-water mark from a one-row state table (default epoch, I1);
-2. extract the source rows to look at: all of them by default, because a late
-   or tied row below the mark must not be lost; with ``lookback`` only
-   ``ts > mark - lookback``, as a literal that reaches the Parquet scan
-   (``PushedFilters``) - a bound the caller must know to hold;
+2. extract the source rows to look at. A folder of files (``FileSource``) is
+   read by a ledger of the files already taken (``ledger.py``): only new files
+   are opened, so late and tied rows come in and nothing is read twice. A
+   DataFrame has no such log: with ``lookback`` only ``ts > mark - lookback``
+   is read, as a literal that reaches the Parquet scan (``PushedFilters``) - a
+   bound the caller must know to hold; without it all rows, lest any be lost;
 3. land them unmodified under ``batch_id=<id>`` (K5, audit trail); a repeated
    batch id replaces its own landing; stop if nothing was extracted (F24);
 4. keep the first row per key inside the batch (F9) and drop keys already in
-   the target (anti join, J10); write the rest with a load time as the
-   batch's own directory of the target (K7, F23) and commit it; a batch
-   whose rows are all present leaves no directory;
-5. only then move the mark to the batch maximum (I2), also when nothing was
-   new, so a bounded run does not re-read the same rows forever (I8).
+   the target (anti join, J10), which an index of the loaded keys answers
+   (``operators/key_index.py``) without a scan of the target; write the rest
+   with a load time as the batch's own directory of the target (K7, F23) and
+   commit it, then its keys; a batch whose rows are all present leaves no
+   directory;
+5. only then move the mark to the batch maximum (I2) and enter the files in the
+   ledger, also when nothing was new, so the same rows are not read again (I8).
 
 The target is the union of its committed batch directories; the commit marker
 is ours, not Spark's ``_SUCCESS``. The key anti join makes every replay a
@@ -36,8 +40,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import keep_first_by
+from ..operators.key_index import KeyIndex
 from ..operators.upsert import read_current, write_version
 from ..sinks.commit import commit, committed_children, remove
+from .ledger import FileLedger, FileSource
 
 DEFAULT_MARK = dt.datetime(1970, 1, 1)
 
@@ -108,12 +114,25 @@ def read_loaded(spark: SparkSession, target_root: str, without: str | None = Non
     return spark.read.parquet(*[f"{target_root}/{n}" for n in names]) if names else None
 
 
+def key_index(spark: SparkSession, target_root: str, key: str, without: str | None = None) -> KeyIndex:
+    """The index of the target's keys, kept beside its batches. Batches that were
+    committed but not indexed (a run that failed in between) are added first."""
+    index = KeyIndex(spark, f"{target_root}/_index", key)
+    known = index.batches()
+    for name in committed_children(spark, target_root, "batch="):
+        batch = name.removeprefix("batch=")
+        if batch != without and batch not in known:
+            index.add(spark.read.parquet(f"{target_root}/{name}"), batch)
+    return index
+
+
 def _load(
     spark: SparkSession, landed: DataFrame, target_root: str, batch_id: str, key: str, ts_col: str, loaded_at: Column
 ) -> int:
     """The batch's new rows as its committed directory of the target; returns how many."""
     path = f"{target_root}/batch={batch_id}"
-    fresh = new_rows(landed, read_loaded(spark, target_root, batch_id), key, ts_col)
+    index = key_index(spark, target_root, key, batch_id)
+    fresh = new_rows(landed, None, key, ts_col).join(index.present(landed, without=batch_id), key, "left_anti")
     obs = Observation()
     # T5: rows sorted by event time inside each file keep Parquet min/max
     # statistics tight, so later range scans on ts_col skip row groups
@@ -121,8 +140,11 @@ def _load(
     out.sortWithinPartitions(ts_col).write.mode("overwrite").parquet(path)
     if obs.get["rows"]:
         commit(spark, path)
+        index.add(spark.read.parquet(path), batch_id)
     else:
         remove(spark, path)  # everything was loaded before
+        if batch_id in index.batches():
+            index.forget(batch_id)
     return obs.get["rows"]
 
 
@@ -135,7 +157,7 @@ def _as_column(at: dt.datetime | Column | None) -> Column:
 
 def incremental_run(
     spark: SparkSession,
-    source: DataFrame,
+    source: DataFrame | FileSource,
     target_root: str,
     state_root: str,
     landing_root: str,
@@ -147,20 +169,57 @@ def incremental_run(
 ) -> dict:
     """One incremental run; returns what it did (counts come from the writes).
 
-    ``lookback=None`` considers every source row (nothing is ever lost); a
-    timedelta bounds the re-read, zero being a strict mark."""
+    A ``FileSource`` is read by its ledger (kept beside the mark): a run without
+    new files lists the source and writes nothing. Of a DataFrame,
+    ``lookback=None`` considers every row (nothing is ever lost); a timedelta
+    bounds the re-read, zero being a strict mark."""
     state = WatermarkState(spark, state_root)
     since = state.read()
-    batch_id = batch_id or uuid.uuid4().hex
-    landed, n = land(spark, extract_new(source, ts_col, since, lookback), landing_root, batch_id)
-    if not n:
+    entries = None
+    if isinstance(source, FileSource):
+        ledger = FileLedger(spark, f"{state_root}/ledger")
+        taken = ledger.take(source)
+        if taken is None:
+            return {"since": since, "extracted": 0, "loaded": 0}
+        rows, entries = taken
+        batch_id = batch_id or ledger.next_batch()
+    else:
+        rows = extract_new(source, ts_col, since, lookback)
+        batch_id = batch_id or uuid.uuid4().hex
+    landed, n = land(spark, rows, landing_root, batch_id)
+    loaded = 0
+    if n:
+        loaded = _load(spark, landed, target_root, batch_id, key, ts_col, _as_column(loaded_at))
+        state.write(landed.agg(F.greatest(F.max(ts_col), F.lit(since).cast("timestamp")).alias("watermark")))
+    else:
         remove(spark, f"{landing_root}/batch_id={batch_id}")
+    if entries is not None:
+        ledger.record(entries, batch_id)
+    if not n:
         return {"since": since, "extracted": 0, "loaded": 0}
-    loaded = _load(spark, landed, target_root, batch_id, key, ts_col, _as_column(loaded_at))
-    state.write(landed.agg(F.greatest(F.max(ts_col), F.lit(since).cast("timestamp")).alias("watermark")))
     return {"since": since, "batch_id": batch_id, "extracted": n, "loaded": loaded}
 
 
+def landing_audit(spark: SparkSession, state_root: str, landing_root: str, target_root: str) -> DataFrame:
+    """Per batch of a ``FileSource`` the files and rows the ledger says it
+    took, the rows that were landed and the rows that were loaded."""
+    taken = FileLedger(spark, f"{state_root}/ledger").entries()
+    per = taken.groupBy("batch_id").agg(
+        F.countDistinct("file").alias("files"), F.sum(F.col("next_row") - F.col("first_row")).alias("rows_taken")
+    )
+    # partition columns only: the counts come from the footers
+    landed = spark.read.parquet(landing_root).groupBy(F.col("batch_id").cast("string").alias("batch_id"))
+    names = committed_children(spark, target_root, "batch=")
+    out = per.join(landed.agg(F.count(F.lit(1)).alias("rows_landed")), "batch_id", "left")
+    if names:
+        target = spark.read.option("basePath", target_root).parquet(*[f"{target_root}/{n}" for n in names])
+        loaded = target.groupBy(F.col("batch").cast("string").alias("batch_id")).agg(F.count(F.lit(1)).alias("rows_loaded"))
+        out = out.join(loaded, "batch_id", "left")
+    else:
+        out = out.withColumn("rows_loaded", F.lit(0).cast("bigint"))
+    return out.na.fill(0, ["rows_landed", "rows_loaded"])
+
+
 def stream_load(
     spark: SparkSession,
     source_dir: str,
