@@ -10,10 +10,11 @@ to the root.
 The tree is built in pages. A page holds 2**STRIDE neighbouring nodes of one
 level and the levels above them up to a single node, so a tree of 2**40 leaves
 has five levels of pages, and one group never holds more than 2**STRIDE nodes.
-The built levels are stored as node rows with a link to their parent. Upper
-nodes are stored once for every bottom page below them, cut to the pairs on
-that page's way: a key therefore never serves more than 2**STRIDE leaves,
-although the nodes near the root lie on the way of every leaf.
+The built levels are stored as node rows with a link to their parent: a row for
+every bottom page, and above it rows of up to REACH levels each. Upper nodes
+are stored once for every bottom page below them, cut to the siblings on that
+page's way: a key therefore never serves more than 2**STRIDE leaves, although
+the nodes near the root lie on the way of every leaf.
 
 A recursive query then climbs from all leaves at once: each step joins the
 leaf's row with the node row it has reached, appends the siblings found there
@@ -30,6 +31,8 @@ from cartwheel.llm.order import running_start
 
 #: Levels of the binary tree in one page.
 STRIDE = 8
+#: Levels above the bottom pages in one node row, so in one step of the climb.
+REACH = 16
 #: The tree of the subroots; the languages' trees are numbered from 0.
 CROWN = -1
 #: Rows of the global order that share one row of the table of language starts.
@@ -57,7 +60,7 @@ def tampered(modulus: int = 7) -> Column:
 
 
 def _ranked(leaves: DataFrame) -> DataFrame:
-    """``leaves`` (lang, doc_id, leaf, ..) with tree (number of the language),
+    """``leaves`` (lang, doc_id, leaf binary, ..) with tree (number of the language),
     pos (place in it) and n (its size).
 
     The order is global over (lang, doc_id, leaf), null first. Each stretch of
@@ -112,10 +115,10 @@ def _pages(nodes: DataFrame, stride: int) -> DataFrame:
     return out.select("tree", "page", "pages", "levels", F.element_at("level", 1).alias("top"))
 
 
-def _built(leaves: DataFrame, stride: int) -> tuple[list[DataFrame], DataFrame]:
-    """All pages from the root's down to the bottom, by level of pages, and
-    the subroots (tree, subroot). Pages: tree, stage, page, levels, top, and
-    parent_tree, parent_stage, parent_page, slot (place among its nodes)."""
+def _built(leaves: DataFrame, stride: int) -> list[DataFrame]:
+    """All pages from the root's down to the bottom, by level of pages: tree,
+    stage, page, pages, levels, top, and parent_tree, parent_stage,
+    parent_page, slot (place among the parent's nodes)."""
     mask = (1 << stride) - 1
     made: list[DataFrame] = []
     subroots: list[DataFrame] = []
@@ -144,86 +147,96 @@ def _built(leaves: DataFrame, stride: int) -> tuple[list[DataFrame], DataFrame]:
             nodes = upper.select("tree", F.col("page").alias("pos"), F.col("top").alias("digest"), F.col("pages").alias("n"))
             stage += 1
 
-    climb(leaves.select("tree", "pos", F.unhex("leaf").alias("digest"), "n"), False)
+    climb(leaves.select("tree", "pos", F.col("leaf").alias("digest"), "n"), False)
     roots = subroots[0]
     for s in subroots[1:]:
         roots = roots.unionByName(s)
     crown = roots.select(F.lit(CROWN).cast("bigint").alias("tree"), F.col("tree").alias("pos"), F.col("subroot").alias("digest"))
     trees = roots.agg(F.count("*")).first()[0]
     climb(crown.withColumn("n", F.lit(trees).cast("bigint")), True)
-    return made[::-1], roots
+    return made[::-1]
 
 
-def node_rows(leaves: DataFrame, stride: int = STRIDE) -> DataFrame:
-    """The stored tree: tree, page (a bottom page), step, levels, slot (of the
-    node below; null at step 0), top, subroot (whether top is one), next_step
-    (null at the root).
+_WAY = "array<struct<sibling: binary, right: boolean>>"
 
-    Step 0 is the bottom page itself; the steps above are the pages on its
-    way, cut to the pairs on that way, carried down from the root page by page.
+
+def node_rows(leaves: DataFrame, stride: int = STRIDE, reach: int = REACH) -> DataFrame:
+    """The stored tree: tree, page (a bottom page), step, levels, way, next_step,
+    subroot, root.
+
+    Step 0 has the levels of the bottom page; each later step has the next
+    ``reach`` levels of its way: the sibling (null where there is none) and
+    whether the climbing node is the right one of the two. next_step is the
+    link to the parent row, null at the root, where subroot and root are given.
+    The ways are carried down from the root, page by page.
     """
-    made, _ = _built(leaves, stride)
-    way = "array<struct<levels: array<array<binary>>, slot: int, top: binary, subroot: boolean>>"
     down: DataFrame | None = None
     bottom: list[DataFrame] = []
-    for i, pages in enumerate(made):  # a page's parent is always in an earlier table
-        roots = pages.filter("parent_page IS NULL").withColumn("way", F.array().cast(way))
-        below = roots
+    for i, pages in enumerate(_built(leaves, stride)):  # a page's parent is always in an earlier table
+        below = pages.filter("parent_page IS NULL").select(
+            "*", F.array().cast(_WAY).alias("way"), F.lit(None).cast("binary").alias("subroot"), F.col("top").alias("root")
+        )
         if down is not None:
-            parent = [F.col("_tree") == F.col("parent_tree"), F.col("_stage") == F.col("parent_stage"), F.col("_page") == F.col("parent_page")]
             up = down.select(
                 F.col("tree").alias("_tree"), F.col("stage").alias("_stage"), F.col("page").alias("_page"),
-                F.col("levels").alias("_levels"), F.col("top").alias("_top"), F.col("way").alias("_way"),
-                (F.col("parent_tree") == CROWN).alias("_sub"),
+                F.col("levels").alias("_levels"), F.col("way").alias("_way"), F.col("subroot").alias("_subroot"), "root",
             )
-            joined = pages.join(up, parent)
-            pair = lambda level, l: F.slice(level, F.call_function("shiftright", F.col("slot"), l).bitwiseAND(-2) + 1, 2)
-            here = F.struct(
-                F.transform("_levels", pair).alias("levels"), F.col("slot").alias("slot"), F.col("_top").alias("top"),
-                F.coalesce((F.col("_tree") != CROWN) & F.col("_sub"), F.lit(False)).alias("subroot"),
+            place = lambda l: F.call_function("shiftright", F.col("slot"), l)
+            here = F.transform(
+                "_levels",
+                lambda level, l: F.struct(
+                    F.try_element_at(level, place(l).bitwiseXOR(1) + 1).alias("sibling"),
+                    (place(l).bitwiseAND(1) == 1).alias("right"),
+                ),
+            )
+            joined = pages.join(
+                up, [F.col("_tree") == F.col("parent_tree"), F.col("_stage") == F.col("parent_stage"), F.col("_page") == F.col("parent_page")]
+            ).select(
+                *pages.columns, F.concat(here, "_way").cast(_WAY).alias("way"),
+                F.when((F.col("parent_tree") == CROWN) & (F.col("tree") != CROWN), F.col("top")).otherwise(F.col("_subroot")).alias("subroot"),
+                "root",
             )
-            below = joined.withColumn("way", F.concat(F.array(here), "_way").cast(way)).select(*pages.columns, "way").unionByName(roots)
+            below = joined.unionByName(below)
         stored = saved(below, f"merkle-down-{i}")
         down = stored if down is None else down.unionByName(stored)
         bottom.append(stored.filter(f"stage = 0 AND tree <> {CROWN}"))
     pages = bottom[0]
     for b in bottom[1:]:
         pages = pages.unionByName(b)
-    own = F.struct(
-        F.col("levels").alias("levels"), F.lit(None).cast("int").alias("slot"), F.col("top").alias("top"),
-        (F.col("parent_tree") == CROWN).alias("subroot"),
+    size = F.size("way")
+    cuts = F.when(size > 0, F.sequence(F.lit(1), size, F.lit(reach))).otherwise(F.array().cast("array<int>"))
+    ways = F.concat(F.array(F.lit(None).cast(_WAY)), F.transform(cuts, lambda at: F.slice("way", at, reach)))
+    rows = pages.select(
+        "tree", "page", "levels", "subroot", "root", F.size(cuts).alias("last"), F.posexplode(ways).alias("step", "way")
+    )
+    top = F.col("step") == F.col("last")
+    return rows.select(
+        "tree", "page", "step", F.when(F.col("step") == 0, F.col("levels")).alias("levels"), "way",
+        F.when(~top, F.col("step") + 1).alias("next_step"), F.when(top, F.col("subroot")).alias("subroot"),
+        F.when(top, F.col("root")).alias("root"),
     )
-    steps = pages.select("tree", "page", F.concat(F.array(own), "way").cast(way).alias("way"))
-    rows = steps.select("tree", "page", F.size("way").alias("steps"), F.posexplode("way").alias("step", "node"))
-    following = F.when(F.col("step") + 1 < F.col("steps"), F.col("step") + 1)
-    return rows.select("tree", "page", "step", "node.*", following.alias("next_step"))
 
 
-#: One step: the siblings of the climbing node at each level of the page, level
-#: by level. A level cut to the pair on the way holds places (slot >> l) & ~1 on.
+#: One step: the siblings of the climbing node level by level, appended to the
+#: proof and folded into the digest.
 _CLIMB = """
 WITH RECURSIVE climb (doc_id, leaf, tree, page, step, place, folded, proof, subroot, root) AS (
   SELECT doc_id, leaf, tree, page, 0, place, folded, X'', CAST(NULL AS BINARY), CAST(NULL AS BINARY) FROM {leaves}
   UNION ALL
-  SELECT doc_id, leaf, tree, page, next_step, place, unhex(way.h), way.proof,
-         coalesce(subroot, reached), if(next_step IS NULL, top, CAST(NULL AS BINARY))
+  SELECT doc_id, leaf, tree, page, next_step, place, unhex(went.h), went.proof, subroot, root
   FROM (
-    SELECT doc_id, leaf, tree, page, next_step, place, subroot, top, if(is_subroot, top, CAST(NULL AS BINARY)) AS reached,
+    SELECT c.doc_id, c.leaf, c.tree, c.page, c.place, n.next_step, n.subroot, n.root,
       aggregate(
-        transform(levels, (level, l) -> named_struct(
-          'right', shiftright(at, l) & 1,
-          'sibling', try_element_at(level, ((shiftright(at, l) ^ 1) - if(size(level) <= 2, shiftright(at, l) & -2, 0)) + 1))),
-        named_struct('h', lower(hex(folded)), 'proof', proof),
+        coalesce(n.way, transform(n.levels, (level, l) -> named_struct(
+          'sibling', try_element_at(level, (shiftright(c.place, l) ^ 1) + 1),
+          'right', shiftright(c.place, l) & 1 = 1))),
+        named_struct('h', lower(hex(c.folded)), 'proof', c.proof),
         (acc, s) -> named_struct(
-          'h', sha2(concat(if(s.right = 1, lower(hex(s.sibling)), ''), acc.h,
-                           if(s.right = 0, coalesce(lower(hex(s.sibling)), ''), '')), 256),
+          'h', sha2(concat(if(s.right, lower(hex(s.sibling)), ''), acc.h,
+                           if(s.right, '', coalesce(lower(hex(s.sibling)), ''))), 256),
           'proof', concat(acc.proof, coalesce(s.sibling, X''))),
-        acc -> acc) AS way
-    FROM (
-      SELECT c.doc_id, c.leaf, c.tree, c.page, c.folded, c.proof, c.place, c.subroot,
-             coalesce(n.slot, c.place) AS at, n.levels, n.top, n.subroot AS is_subroot, n.next_step
-      FROM climb c JOIN {nodes} n ON c.tree = n.tree AND c.page = n.page AND c.step = n.step
-    )
+        acc -> acc) AS went
+    FROM climb c JOIN {nodes} n ON c.tree = n.tree AND c.page = n.page AND c.step = n.step
   )
 )
 SELECT doc_id, leaf, folded, proof, subroot, root FROM climb WHERE step IS NULL
@@ -269,18 +282,18 @@ def manifest(docs: DataFrame, altered: Column | None = None, stride: int = STRID
     more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
     changed = F.lit(False) if altered is None else F.coalesce(altered, F.lit(False))
     leaves = base.select(
-        "doc_id", "lang", leaf_digest().alias("leaf"),
-        F.when(changed & F.col("n_chars").isNotNull(), leaf_digest(more)).alias("changed"),
+        "doc_id", "lang", F.unhex(leaf_digest()).alias("leaf"),
+        F.when(changed & F.col("n_chars").isNotNull(), F.unhex(leaf_digest(more))).alias("changed"),
     )
     placed = saved(_ranked(saved(leaves, "merkle-leaves")), "merkle-placed")
     nodes = saved(node_rows(placed, stride), "merkle-nodes") if not placed.isEmpty() else None
     if nodes is None:
-        digests = [F.col("leaf").alias(c) for c in ("leaf", "subroot", "root", "proof_sha256", "folded_root")]
+        digests = [F.hex("leaf").alias(c) for c in ("leaf", "subroot", "root", "proof_sha256", "folded_root")]
         return placed.select("doc_id", *digests, F.lit(True).alias("verified"))
     start = placed.select(
-        "doc_id", F.unhex("leaf").alias("leaf"), "tree", F.shiftright("pos", stride).alias("page"),
+        "doc_id", "leaf", "tree", F.shiftright("pos", stride).alias("page"),
         F.col("pos").bitwiseAND((1 << stride) - 1).cast("int").alias("place"),
-        F.unhex(F.coalesce("changed", "leaf")).alias("folded"),
+        F.coalesce("changed", "leaf").alias("folded"),
     )
     done = climb(start, nodes)
     text = lambda c: F.lower(F.hex(c))
