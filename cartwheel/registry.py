@@ -15,6 +15,7 @@ PLAN_MODULES = [
     "cartwheel.plans.marketplace",
     "cartwheel.plans.clickstream",
     "cartwheel.plans.warehouse",
+    "cartwheel.plans.history",
     "cartwheel.plans.incremental",
 ]
 

@@ -148,10 +148,12 @@ class BucketedTable:
     def _held(self) -> list:
         return [(r["bucket"], r["path"], r["rows"], r["tag"]) for r in self.manifest() if r["path"] or r["tag"]]
 
-    def _replace(self, touched: list[int], df: DataFrame) -> None:
+    def _replace(self, touched: list[int], df: DataFrame, tag: str | None = None) -> None:
         version = self._next()
         kept = [r for r in self._held() if r[1] is None or r[0] not in set(touched)]
-        self._publish(version, kept + self._write(df, version), self._plain(df))
+        mark = [] if tag is None or tag in self.tags() else [(None, None, 0, tag)]
+        new = self._write(df, version) if touched else []
+        self._publish(version, kept + new + mark, self._plain(df))
 
     def upsert(self, src: DataFrame) -> dict:
         """INSERT OR REPLACE: rows of ``src`` (unique on the keys) replace rows with
@@ -161,13 +163,26 @@ class BucketedTable:
         touched = self.buckets_in(staged)
         if not touched:
             return {"touched": 0}
+        self._merge(touched, staged.select(*self.keys), staged, None)
+        return {"touched": len(touched)}
+
+    def replace(self, keys: DataFrame, rows: DataFrame, tag: str | None = None) -> dict:
+        """``rows`` (all with one of ``keys``, any number for each) instead of the
+        stored rows of ``keys``. ``tag`` is entered in the manifest, also when no
+        row changes."""
+        gone, staged = self._staged(keys.select(*self.keys).distinct()), self._staged(rows)
+        touched = self.buckets_in(gone)
+        if touched or tag is not None and tag not in self.tags():
+            self._merge(touched, gone.select(*self.keys), staged, tag)
+        return {"touched": len(touched)}
+
+    def _merge(self, touched: list[int], gone: DataFrame, staged: DataFrame, tag: str | None) -> None:
         old = self.read(touched)
         merged = staged
         if old is not None:
-            rest = self.with_bucket(old).join(staged.select(*self.keys), self.keys, "left_anti")
+            rest = self.with_bucket(old).join(gone, self.keys, "left_anti")
             merged = rest.unionByName(staged, allowMissingColumns=True)
-        self._replace(touched, merged)
-        return {"touched": len(touched)}
+        self._replace(touched, merged, tag)
 
     def append(self, src: DataFrame, tag: str | None = None) -> dict:
         """Adds rows as further parts of their buckets: nothing stored is read or
