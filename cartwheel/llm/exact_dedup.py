@@ -1,12 +1,14 @@
 """Exact de-duplication by content-defined chunk recipes.
 
 A normalised text is cut where its own bytes say so, which makes a recipe:
-the ordered list of its chunks' fingerprints. Texts whose recipes occur once
-are unique and their bytes never move. For the others the chunks (each
-distinct one once) are brought together under their fingerprint and compared
-byte for byte, which turns a fingerprint into a verified identifier: the
-fingerprint and a variant number among the different chunks that share it.
-Texts are equal when their ordered identifier lists are.
+the ordered list of its chunks' fingerprints, and beside it the list of their
+SHA-256 digests. Texts whose recipes occur once are unique. Where a recipe
+occurs several times the digests decide: if they are the same everywhere, each
+fingerprint stands for one chunk; if not, every distinct pair (fingerprint,
+digest) of those recipes becomes a verified identifier, the fingerprint and a
+variant number among the chunks that share it. Texts are equal when their
+ordered identifier lists are. Only recipes and digests move, about a twentieth
+of the text; the text itself is read once, where it lies.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import WHITE, read_documents, saved, text_of
@@ -25,6 +27,8 @@ from cartwheel.llm.common import WHITE, read_documents, saved, text_of
 CUT_BITS = 10
 MIN_CHUNK = 256
 MAX_CHUNK = 8192
+#: Bytes of a fingerprint.
+WIDTH = 16
 
 _white = re.compile(WHITE)
 
@@ -57,62 +61,46 @@ def chunks(data: bytes, cut_bits: int = CUT_BITS, least: int = MIN_CHUNK, most:
 
 
 def _fingerprint(chunk: bytes) -> bytes:
-    return hashlib.blake2b(chunk, digest_size=16).digest()
+    return hashlib.blake2b(chunk, digest_size=WIDTH).digest()
 
 
 def recipes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, text_sha256, recipe): recipe is the chunk fingerprints, 16 bytes each, joined."""
+    """(doc_id, text_sha256, recipe, digests): the chunks' fingerprints (WIDTH
+    bytes each) and SHA-256 digests (32 bytes each), joined in order."""
 
     def run(batches):
         for pdf in batches:
             data = [normalise(t).encode("utf-8", "surrogatepass") for t in pdf["text"]]
+            cut = [chunks(d) for d in data]
             yield pd.DataFrame(
                 {
                     "doc_id": pdf["doc_id"].astype("Int64"),
                     "text_sha256": [hashlib.sha256(d).hexdigest() for d in data],
-                    "recipe": [b"".join(map(_fingerprint, chunks(d))) for d in data],
+                    "recipe": [b"".join(map(_fingerprint, c)) for c in cut],
+                    "digests": [b"".join(hashlib.sha256(x).digest() for x in c) for c in cut],
                 }
             )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(text).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, text_sha256 string, recipe binary")
+    return rows.mapInPandas(run, "doc_id bigint, text_sha256 string, recipe binary, digests binary")
 
 
-def _shared_chunks(docs: DataFrame, shared: DataFrame, text: str) -> DataFrame:
-    """Distinct (fp, chunk) of the texts in ``shared`` (_id, text_sha256): one row
-    for each different text, so copies of a hot text do not meet in a task."""
+def _pairs(lists: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and (at, fp, digest) of every chunk in recipe and digests."""
+    part = lambda c, i, n: F.substring(F.col(c), i * n + 1, F.lit(n))
+    n = F.floor(F.octet_length("recipe") / WIDTH).cast("int")
+    places = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    pairs = F.transform(places, lambda i: F.struct(i.alias("at"), part("recipe", i, WIDTH).alias("fp"), part("digests", i, 32).alias("digest")))
+    return lists.select(*keep, F.explode(pairs).alias("c")).select(*keep, "c.*")
 
-    def run(batches):
-        seen: set[bytes] = set()
-        for pdf in batches:
-            rows: dict[bytes, bytes] = {}
-            for t in pdf["text"]:
-                for c in chunks(normalise(t).encode("utf-8", "surrogatepass")):
-                    whole = hashlib.sha256(c).digest()
-                    if whole not in seen:
-                        seen.add(whole)
-                        rows[whole] = c
-            if len(seen) > 500_000:  # only saves repeats within a task; distinct() follows
-                seen.clear()
-            yield pd.DataFrame({"fp": [_fingerprint(c) for c in rows.values()], "chunk": list(rows.values())})
-
-    norm = F.regexp_replace(text_of(text), WHITE, " ")
-    mine = docs.select(_id_key(), F.sha2(norm, 256).alias("text_sha256"), text_of(text).alias("text"))
-    one = mine.join(shared, ["_id", "text_sha256"], "left_semi").select("text")
-    return one.mapInPandas(run, "fp binary, chunk binary").distinct()
-
-
-def _id_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id")
-
-
-def verified_ids(chunk_table: DataFrame) -> DataFrame:
-    """(fp, chunk_sha, variant) of fingerprints that different chunks share; normally empty."""
-    per_fp = chunk_table.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp")
-    clash = chunk_table.join(per_fp, "fp", "left_semi").withColumn("chunk_sha", F.sha2("chunk", 256))
-    return clash.select(
-        "fp", "chunk_sha", F.row_number().over(Window.partitionBy("fp").orderBy("chunk")).alias("variant")
-    )
+
+def verified_ids(lists: DataFrame) -> DataFrame:
+    """(fp, digest, variant) of fingerprints that different chunks of ``lists``
+    (recipe, digests) share; normally empty."""
+    pairs = _pairs(lists.select("recipe", "digests").distinct()).select("fp", "digest").distinct()
+    many = pairs.groupBy("fp").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low <> high")
+    clash = pairs.join(many.select("fp"), "fp", "left_semi")
+    return clash.select("fp", "digest", F.row_number().over(Window.partitionBy("fp").orderBy("digest")).alias("variant"))
 
 
 def exact_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -126,21 +114,18 @@ def exact_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     Other columns are ignored; an empty table gives an empty result.
     """
     made = saved(recipes(docs, text), "recipes")
-    groups = saved(
-        made.groupBy("recipe").agg(
-            F.min("doc_id").alias("keep_id"),
-            F.count("*").alias("group_size"),
-        ).filter("group_size > 1"),
-        "recipe-groups",
+    groups = made.groupBy("recipe").agg(
+        F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"), F.min("digests").alias("low"), F.max("digests").alias("high")
     )
-    shared = made.join(groups.select("recipe"), "recipe", "left_semi").select(_id_key(), "text_sha256")
-    shared = saved(shared.groupBy("text_sha256").agg(F.min("_id").alias("_id")), "recipe-texts")
-    clashes = saved(verified_ids(_shared_chunks(docs, shared, text)), "chunk-clashes")
+    mixed = (F.col("low") != F.col("high")).alias("mixed")  # equal recipes of different chunks
+    groups = saved(groups.filter("group_size > 1").select("recipe", "keep_id", "group_size", mixed), "recipe-groups")
+    clashes = groups.filter("mixed").select("recipe")
     if clashes.isEmpty():
         # every fingerprint stands for one chunk, so equal recipes are equal identifier lists
         identified, sized = made, groups
     else:
-        identified = saved(_with_variants(made, docs, clashes, text), "recipes-verified")
+        clashes = saved(verified_ids(made.join(clashes, "recipe", "left_semi")), "chunk-clashes")
+        identified = saved(_with_variants(made, clashes), "recipes-verified")
         sized = saved(
             identified.groupBy("recipe")
             .agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
@@ -159,28 +144,14 @@ def exact_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def _with_variants(made: DataFrame, docs: DataFrame, clashes: DataFrame, text: str) -> DataFrame:
-    """Recipes of the texts that hold a clashing fingerprint, with the variant after each such one."""
-    width = 16
-
-    # chunk digests of the affected texts, place by place
-    def places(batches):
-        for pdf in batches:
-            rows = [
-                (hashlib.sha256(d).hexdigest(), i, _fingerprint(c), hashlib.sha256(c).hexdigest())
-                for d in (normalise(t).encode("utf-8", "surrogatepass") for t in pdf["text"])
-                for i, c in enumerate(chunks(d))
-            ]
-            yield pd.DataFrame(rows, columns=["text_sha256", "at", "fp", "chunk_sha"])
-
-    at = docs.select(text_of(text).alias("text")).mapInPandas(
-        places, "text_sha256 string, at int, fp binary, chunk_sha string"
-    )
-    marked = at.join(clashes, ["fp", "chunk_sha"]).select("text_sha256", "at", "variant").distinct()
+def _with_variants(made: DataFrame, clashes: DataFrame) -> DataFrame:
+    """Recipes of the texts that hold a clashing fingerprint, with the variant of each such chunk behind them."""
+    texts = made.groupBy("text_sha256").agg(F.min(F.struct("recipe", "digests")).alias("r")).select("text_sha256", "r.*")
+    marked = _pairs(texts, "text_sha256").join(clashes, ["fp", "digest"]).select("text_sha256", "at", "variant")
     lists = marked.groupBy("text_sha256").agg(F.array_sort(F.collect_list(F.struct("at", "variant"))).alias("v"))
     tail = F.coalesce(F.encode(F.to_json("v"), "utf-8"), F.lit(b""))
     return made.join(lists, "text_sha256", "left").select(
-        "doc_id", "text_sha256", F.concat(F.col("recipe"), F.lit(b"\0" * width), tail).alias("recipe")
+        "doc_id", "text_sha256", F.concat(F.col("recipe"), F.lit(b"\0" * WIDTH), tail).alias("recipe")
     )
 
 
