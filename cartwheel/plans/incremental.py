@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..oracle import with_fixtures
@@ -127,6 +127,28 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inc.read_loaded(spark, target)
 
 
+def incremental_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I5 stream form with keyed state: the second drop is a full export, whose
+    repeats the state drops before they are landed. Per micro-batch the rows
+    landed and loaded; the checkpoint carries the state from run to run."""
+    root = scratch_path(spark, "incremental", "stream-state")
+    v1 = _source_v1(spark, sf_dir)
+    for drop in (v1, fx.orders(spark, sf_dir)):
+        drop.write.mode("append").parquet(f"{root}/source")
+        inc.stream_load(
+            spark, f"{root}/source", v1.schema, f"{root}/target", f"{root}/landing", f"{root}/checkpoint", "order_id", "order_date",
+            lambda e: STREAM_BASE + dt.timedelta(days=e), repeats_within="2 days",
+        )
+    landed = spark.read.parquet(f"{root}/landing").groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_landed"))
+    loaded = spark.read.parquet(f"{root}/target")
+    per = loaded.groupBy(F.col("batch").alias("batch_id")).agg(F.count(F.lit(1)).alias("rows_loaded"))
+    # micro-batches that only move the watermark take numbers, too: the drops are numbered in their order
+    order = Window.orderBy("batch_id")  # one row a drop
+    return landed.join(per, "batch_id").select(
+        F.row_number().over(order).cast("bigint").alias("drop_number"), "rows_landed", "rows_loaded"
+    )
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 _V1 = f"""v1 AS (SELECT * FROM sales_orders WHERE order_date < TIMESTAMP '{CUTOFF}'
@@ -160,6 +182,10 @@ WITH {_V1}, drop2 AS (SELECT * FROM sales_orders WHERE order_date >= TIMESTAMP '
 SELECT '0-000001' AS batch_id, COUNT(*) AS rows_taken, COUNT(*) AS rows_landed, COUNT(*) AS rows_loaded FROM v1
 UNION ALL
 SELECT '0-000002', COUNT(*), COUNT(*), COUNT(*) FILTER (WHERE order_id NOT IN (SELECT order_id FROM v1)) FROM drop2""",
+    "incremental_stream_state": f"""
+WITH {_V1}, l AS (
+  SELECT CASE WHEN order_id IN (SELECT order_id FROM v1) THEN 1 ELSE 2 END::BIGINT AS drop_number FROM sales_orders)
+SELECT drop_number, COUNT(*) AS rows_landed, COUNT(*) AS rows_loaded FROM l GROUP BY drop_number""",
     "incremental_reset": f"""
 WITH {_V1},
 r2 AS (SELECT * FROM sales_orders WHERE order_date > (SELECT m FROM m1) AND order_id NOT IN (SELECT order_id FROM v1))
@@ -181,5 +207,6 @@ QUERIES = {
     "incremental_files_audit": incremental_files_audit,
     "incremental_reset": incremental_reset,
     "incremental_stream": incremental_stream,
+    "incremental_stream_state": incremental_stream_state,
 }
 ORACLE = {name: with_fixtures(sql) for name, sql in SQL.items()}

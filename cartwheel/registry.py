@@ -14,6 +14,7 @@ PLAN_MODULES = [
     "cartwheel.plans.constraints",
     "cartwheel.plans.marketplace",
     "cartwheel.plans.clickstream",
+    "cartwheel.plans.click_refresh",
     "cartwheel.plans.warehouse",
     "cartwheel.plans.history",
     "cartwheel.plans.incremental",

@@ -34,3 +34,22 @@ def remove(spark: SparkSession, path: str) -> None:
     """Deletes a directory this library wrote (a batch that loaded nothing, a staging copy, an old version)."""
     fs, jpath = hadoop_fs(spark, path)
     fs.delete(jpath, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of metadata, written by the driver to the table's file system."""
+    fs, jpath = hadoop_fs(spark, path)
+    out = fs.create(jpath, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, jpath = hadoop_fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .commit import commit, committed_children, remove
+from .commit import commit, committed_children, read_text, remove, write_text
 
 BUCKET = "_cw_bucket"
-_MANIFEST = "bucket bigint, path string, rows bigint, tag string, buckets int, stored string"
+_MANIFEST = "manifest.json"
 
 
 class BucketedTable:
@@ -39,28 +39,33 @@ class BucketedTable:
         self.spark, self.root, self.place, self.keep = spark, root.rstrip("/"), place, keep
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self._seen: dict[int, list] = {}
-        found = self.manifest()
-        self.buckets = found[0]["buckets"] if found else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = self._current()
+        self.buckets = found["buckets"] if found else buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # ---------------------------------------------------------------- versions
 
     def versions(self) -> list[int]:
         return sorted(int(n[2:]) for n in committed_children(self.spark, f"{self.root}/manifest", "v="))
 
-    def manifest(self, version: int | None = None) -> list:
-        """The rows of a version's manifest: one for each directory (at most
-        buckets x parts) and one, without a directory, for each tag. A version
-        never changes, so it is read once."""
+    def _current(self, version: int | None = None) -> dict | None:
+        """The manifest of a version (the newest): buckets, schema, and the rows
+        (bucket, path, rows, tag): one for each directory (at most buckets x
+        parts) and one, without a directory, for each tag. A version never
+        changes, so its file is read once."""
         if version is None:
             found = self.versions()
             if not found:
-                return []
+                return None
             version = found[-1]
         if version not in self._seen:
-            path = f"{self.root}/manifest/v={version:06d}"
-            self._seen[version] = self.spark.read.schema(_MANIFEST).parquet(path).collect()
+            self._seen[version] = json.loads(read_text(self.spark, f"{self.root}/manifest/v={version:06d}/{_MANIFEST}"))
         return self._seen[version]
 
+    def manifest(self, version: int | None = None) -> list[dict]:
+        found = self._current(version)
+        names = ("bucket", "path", "rows", "tag")
+        return [dict(zip(names, r)) for r in found["rows"]] if found else []
+
     def _parts(self) -> list:
         return [r for r in self.manifest() if r["path"] is not None]
 
@@ -78,8 +83,8 @@ class BucketedTable:
         return {r["tag"] for r in self.manifest() if r["tag"] is not None}
 
     def schema(self) -> T.StructType | None:
-        found = self.manifest()
-        return T.StructType.fromJson(json.loads(found[0]["stored"])) if found else None
+        found = self._current()
+        return T.StructType.fromJson(found["schema"]) if found else None
 
     def _next(self) -> int:
         return (self.versions() or [0])[-1] + 1
@@ -87,9 +92,7 @@ class BucketedTable:
     def _publish(self, version: int, rows: list, schema: T.StructType) -> None:
         """Commits a manifest of (bucket, path, rows, tag) rows, then drops what no kept version names."""
         path = f"{self.root}/manifest/v={version:06d}"
-        stored = schema.json()
-        out = [(*r, self.buckets, stored) for r in rows or [(None, None, 0, None)]]
-        self.spark.createDataFrame(out, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(path)
+        write_text(self.spark, f"{path}/{_MANIFEST}", json.dumps({"buckets": self.buckets, "schema": schema.jsonValue(), "rows": rows}))
         commit(self.spark, path)
         found = self.versions()
         old, kept = found[: -self.keep], found[-self.keep :]
@@ -170,12 +173,16 @@ class BucketedTable:
         """``rows`` (all with one of ``keys``, any number for each) instead of the
         stored rows of ``keys``. ``tag`` is entered in the manifest, also when no
         row changes."""
-        gone, staged = self._staged(keys.select(*self.keys).distinct()), self._staged(rows)
+        gone = self._staged(keys.select(*self.keys).distinct())
         touched = self.buckets_in(gone)
         if touched or tag is not None and tag not in self.tags():
-            self._merge(touched, gone.select(*self.keys), staged, tag)
+            self._merge(touched, gone.select(*self.keys), self.with_bucket(rows), tag)
         return {"touched": len(touched)}
 
+    def rewrite(self, buckets: list[int], rows: DataFrame, tag: str | None = None) -> None:
+        """``rows`` instead of everything in ``buckets`` (and all of them belong there)."""
+        self._replace([int(b) for b in buckets], self.with_bucket(rows), tag)
+
     def _merge(self, touched: list[int], gone: DataFrame, staged: DataFrame, tag: str | None) -> None:
         old = self.read(touched)
         merged = staged

@@ -231,6 +231,7 @@ def stream_load(
     ts_col: str,
     loaded_at: Callable[[int], dt.datetime | Column] | None = None,
     max_files_per_trigger: int = 1000,
+    repeats_within: str | None = None,
 ) -> None:
     """I5 stream form: process every file present in ``source_dir`` once
     (``availableNow``), each micro-batch landed, de-duplicated against the
@@ -239,7 +240,14 @@ def stream_load(
     ``maxFilesPerTrigger``, so a large backlog is worked off in bounded
     micro-batches rather than one. The landed batch is read back in the
     caller's session, where adaptive execution is on (streaming turns it off
-    in its own)."""
+    in its own).
+
+    With ``repeats_within`` (such as ``"2 days"``) the stream keeps the rows it
+    saw as keyed state for that long and drops exact repeats before they are
+    landed; a re-exported file then costs no landing space. The state goes by
+    time of arrival, so no late row is dropped, and lives in the checkpoint, so
+    a restart goes on with it. Repeats that come later, and other rows of a
+    known key, are left to the key index as before."""
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
         bid = f"epoch-{epoch_id:06d}"
@@ -250,11 +258,15 @@ def stream_load(
         else:
             remove(spark, f"{landing_root}/batch_id={bid}")
 
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
+    if repeats_within:
+        columns = [F.col(f"`{c}`") for c in rows.columns]
+        # the arrival is the time of the micro-batch, the same when it is run again
+        marked = rows.select("*", F.sha2(F.to_json(F.struct(*columns)), 256).alias("_cw_row"), F.current_timestamp().alias("_cw_arrived"))
+        rows = marked.withWatermark("_cw_arrived", repeats_within).dropDuplicatesWithinWatermark([key, "_cw_row"]).select(*columns)
+
     q = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(source_dir)
-        .writeStream.foreachBatch(per_batch)
+        rows.writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
