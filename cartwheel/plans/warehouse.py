@@ -20,7 +20,7 @@ from ..functions.numeric import money, pct
 from ..operators.dimensions import asof_version, attach_calendar, lookup_key, promotion_bucket, scd2_merge
 from ..operators.numbering import dense_row_number
 from ..oracle import register, with_fixtures
-from ..sinks.materialize import materialized
+from ..sinks.materialize import materialized, materialized_set
 from ..sinks.writers import table_counts
 from ..sources import fixtures as fx
 
@@ -160,39 +160,34 @@ TABLES = ["dim_date", "dim_customer", "dim_product", "dim_store", "dim_promotion
 
 
 def build(spark: SparkSession, sf_dir: str, refresh: bool = False) -> dict[str, DataFrame]:
-    """All warehouse tables, each written once per application and read back;
-    ``refresh`` rebuilds every table from the sources as they are now."""
-    # source frames are made inside the builders: once the tables exist, a
-    # call only looks them up
-    orders = lambda: fx.orders(spark, sf_dir)
+    """All warehouse tables, written once per application and read back;
+    ``refresh`` rebuilds them from the sources as they are now. The seven
+    become current together: a build that fails leaves the earlier seven."""
     if refresh:
         fx.order_items_with_flag(spark, sf_dir, refresh=True)
         fx.returns(spark, sf_dir, refresh=True)
+    return materialized_set(spark, f"warehouse|{sf_dir}", _builders(spark, sf_dir), refresh)
+
+
+def _builders(spark: SparkSession, sf_dir: str) -> dict:
+    """Per table what makes it from the tables before it; source frames are made
+    inside, so once the tables exist a call only looks them up."""
+    orders = lambda: fx.orders(spark, sf_dir)
     items = lambda: fx.order_items(spark, sf_dir)
     returns = lambda: fx.returns(spark, sf_dir)
-    t: dict[str, DataFrame] = {}
-
-    def keep(name, build_fn):
-        t[name] = materialized(spark, f"warehouse|{name}|{sf_dir}", build_fn, refresh=refresh)
-
-    keep("dim_store", lambda: dim_store_frame(spark))
-    keep("dim_promotion", lambda: dim_promotion_frame(spark))
-    keep("dim_product", lambda: dim_product_frame(fx.products(spark, sf_dir)))
-    keep("dim_customer", lambda: dim_customer_frame(fx.customers(spark, sf_dir)))
-    keep(
-        "dim_date",
-        lambda: dim_date_frame(
-            orders().select(F.to_date("order_date").alias("d")).unionByName(
-                returns().select(F.to_date("return_date").alias("d"))
-            )
-        ),
-    )
-    keep(
-        "fact_sales",
-        lambda: fact_sales_frame(items(), orders(), fx.products(spark, sf_dir), t["dim_customer"], t["dim_store"]),
-    )
-    keep("fact_returns", lambda: fact_returns_frame(returns(), items(), orders(), t["dim_customer"]))
-    return t
+    products = lambda: fx.products(spark, sf_dir)
+    days = lambda: orders().select(F.to_date("order_date").alias("d")).unionByName(
+        returns().select(F.to_date("return_date").alias("d"))
+    )
+    return {
+        "dim_store": lambda t: dim_store_frame(spark),
+        "dim_promotion": lambda t: dim_promotion_frame(spark),
+        "dim_product": lambda t: dim_product_frame(products()),
+        "dim_customer": lambda t: dim_customer_frame(fx.customers(spark, sf_dir)),
+        "dim_date": lambda t: dim_date_frame(days()),
+        "fact_sales": lambda t: fact_sales_frame(items(), orders(), products(), t["dim_customer"], t["dim_store"]),
+        "fact_returns": lambda t: fact_returns_frame(returns(), items(), orders(), t["dim_customer"]),
+    }
 
 
 def _money_out(df: DataFrame) -> DataFrame:

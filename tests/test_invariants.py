@@ -57,3 +57,29 @@ def test_returns_ids_unique_and_only_flagged_items(spark, sf_dir):
     assert r.select("return_id").distinct().count() == r.count()
     flagged = fx.order_items_with_flag(spark, sf_dir).where(F.col("l_returnflag") == "R").select("order_item_id")
     assert r.select("order_item_id").join(flagged, "order_item_id", "left_anti").count() == 0
+
+
+def test_tables_of_a_set_become_current_together(spark, sf_dir, monkeypatch):
+    """A refresh that fails at its last table leaves all seven old ones."""
+    from cartwheel.sinks.materialize import read_set
+
+    before = warehouse.build(spark, sf_dir)
+    files = {n: sorted(t.inputFiles()) for n, t in before.items()}
+    assert set(files) == set(warehouse.TABLES)
+
+    def fail(*a):
+        raise RuntimeError("no space")
+
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "fact_returns_frame", fail)
+        try:
+            warehouse.build(spark, sf_dir, refresh=True)
+            raise AssertionError("the build did not fail")
+        except RuntimeError as e:
+            assert str(e) == "no space"
+    for tables in (warehouse.build(spark, sf_dir), read_set(spark, f"warehouse|{sf_dir}")):
+        assert {n: sorted(t.inputFiles()) for n, t in tables.items()} == files
+    after = warehouse.build(spark, sf_dir, refresh=True)
+    assert all(sorted(after[n].inputFiles()) != files[n] for n in files)
+    assert all(sorted(after[n].inputFiles()) == sorted(t.inputFiles()) for n, t in read_set(spark, f"warehouse|{sf_dir}").items())
+    assert all(after[n].count() == before[n].count() for n in files)  # the old files are still there to read
