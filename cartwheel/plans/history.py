@@ -20,6 +20,7 @@ from ..operators.key_registry import KeyRegistry
 from ..operators.skew import skew_join
 from ..oracle import with_fixtures
 from ..session import scratch_path
+from ..sinks.cluster import write_clustered
 from ..sources import fixtures as fx
 from . import warehouse
 
@@ -112,6 +113,24 @@ def fact_sales_stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.attach(items.select("order_id", "order_item_id", "quantity"))
 
 
+#: A month and a stretch of order ids that the next query asks for.
+ASKED_MONTH, ASKED_IDS = ("1996-03-01", "1996-04-01"), (1000, 9000)
+
+
+def clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders, laid out along a curve over (order_date, order_id), asked
+    by either column: per question the orders and their customers."""
+    path = write_clustered(fx.orders(spark, sf_dir), scratch_path(spark, "orders_by_curve"), ["order_date", "order_id"], files=32)
+    o = spark.read.parquet(path)
+    day = lambda d: F.lit(d).cast("timestamp")
+    month = o.where((F.col("order_date") >= day(ASKED_MONTH[0])) & (F.col("order_date") < day(ASKED_MONTH[1])))
+    ids = o.where(F.col("order_id").between(*ASKED_IDS))
+    ask = lambda name, rows: rows.agg(
+        F.count(F.lit(1)).alias("orders"), F.countDistinct("customer_id").alias("customers"), F.sum("order_id").alias("id_sum")
+    ).select(F.lit(name).alias("question"), "*")
+    return ask("month", month).unionByName(ask("ids", ids))
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 
@@ -149,6 +168,12 @@ opened AS (
 SELECT customer_id, city, country, day AS valid_from, LEAD(day) OVER (PARTITION BY customer_id ORDER BY day) AS valid_to,
        CASE WHEN LEAD(day) OVER (PARTITION BY customer_id ORDER BY day) IS NULL THEN 1 ELSE 0 END AS is_current
 FROM opened""",
+    "clustered_orders": f"""
+SELECT 'month' AS question, COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS customers, SUM(order_id)::BIGINT AS id_sum
+FROM sales_orders WHERE order_date >= TIMESTAMP '{ASKED_MONTH[0]}' AND order_date < TIMESTAMP '{ASKED_MONTH[1]}'
+UNION ALL
+SELECT 'ids', COUNT(*), COUNT(DISTINCT customer_id), SUM(order_id)::BIGINT
+FROM sales_orders WHERE order_id BETWEEN {ASKED_IDS[0]} AND {ASKED_IDS[1]}""",
     "dim_customer_stable_keys": f"""
 SELECT customer_id, email, country,
        ROW_NUMBER() OVER (ORDER BY signup_date >= DATE '{FIRST_SIGNUPS}', customer_id) AS customer_key
@@ -160,6 +185,7 @@ FROM order_items i JOIN sales_orders o USING (order_id)""",
 }
 
 QUERIES = {
+    "clustered_orders": clustered_orders,
     "reseller_revenue": reseller_revenue,
     "asof_customer_version_merged": asof_customer_version_merged,
     "price_at_return": price_at_return,

@@ -230,3 +230,37 @@ def test_registry_keeps_keys_over_refreshes(spark):
     again = KeyRegistry(spark, reg.table.root, "id", "sk")
     assert again.register(spark.createDataFrame([(500,)], "id bigint"), "load-4") == 1
     assert again.attach(spark.createDataFrame([(500,)], "id bigint")).first()["sk"] == 101
+
+
+# ---------------------------------------------------------------- layout
+
+
+def test_clustered_files_skip_on_either_column(spark):
+    """Random pairs: a narrow range of either column meets a small part of the files, and their scan says so."""
+    from cartwheel.sinks.cluster import file_boxes, write_clustered
+
+    df = spark.range(20_000).select(
+        F.pmod(F.col("id") * 7919, F.lit(20_000)).alias("k"),
+        F.when(F.col("id") % 500 != 0, F.timestamp_seconds(F.pmod(F.col("id") * 104_729, F.lit(20_000)) * 3600)).alias("at"),
+        F.col("id").cast("string").alias("v"),
+    )
+    path = write_clustered(df, scratch_path(spark, "test-curve"), ["at", "k"], files=64)
+    back = spark.read.parquet(path)
+    assert back.columns == df.columns and back.exceptAll(df).count() == 0 and back.count() == 20_000
+    boxes = file_boxes(spark, path, ["at", "k"]).collect()
+    assert 48 <= len(boxes) <= 80 and sum(r["rows"] for r in boxes) == 20_000
+    low, high = dt.datetime(1971, 1, 1), dt.datetime(1971, 1, 10)
+    by_time = [r for r in boxes if r["min_at"] is not None and r["min_at"] < high and r["max_at"] >= low]
+    by_key = [r for r in boxes if r["min_k"] < 5200 and r["max_k"] >= 5000]
+    assert len(by_time) < len(boxes) / 3 and len(by_key) < len(boxes) / 3
+    plain = scratch_path(spark, "test-by-time")
+    df.repartitionByRange(64, "at").write.parquet(plain)
+    assert sum(r["min_k"] < 5200 and r["max_k"] >= 5000 for r in file_boxes(spark, plain, ["k"]).collect()) > 50  # sorted by time alone: none is skipped
+    assert "PushedFilters: [IsNotNull(k), LessThan(k" in back.where("k < 5200")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_clustering_of_an_empty_table(spark):
+    from cartwheel.sinks.cluster import write_clustered
+
+    empty = spark.range(0).selectExpr("id as a", "current_date() as b")
+    assert spark.read.parquet(write_clustered(empty, scratch_path(spark, "test-curve-empty"), ["a", "b"], files=4)).count() == 0
