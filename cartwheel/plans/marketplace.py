@@ -22,6 +22,7 @@ from ..operators import cleaning as cl
 from ..operators.quality import apply_defaults
 from ..oracle import with_fixtures
 from ..session import scratch_path
+from ..sinks import writers
 from ..sinks.materialize import materialized
 from ..sinks.snapshot import BucketedTable
 from ..sources import files
@@ -156,6 +157,14 @@ def marketplace_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def marketplace_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, S6 array form: the clean records written as indented JSON arrays and
+    read back in splits."""
+    clean = clean_marketplace(spark, sf_dir)
+    path = writers.write_json_array(clean, scratch_path(spark, "marketplace_arrays"))
+    return files.read_json_array(spark, path, clean.schema, options={"timestampFormat": writers.ISO_TS})
+
+
 # Two loads replayed with fixed load times, so the result is reproducible.
 RUN1_AT = "2026-01-01 00:00:00"
 RUN2_AT = "2026-01-02 00:00:00"
@@ -254,6 +263,7 @@ WITH z AS (SELECT MAX(page) AS z FROM mkt_records)
 SELECT CAST(n AS BIGINT) AS page FROM z, generate_series(1, (SELECT MAX(page) FROM mkt_records)) s(n)
 WHERE n > z / 2.0 AND n < z * 0.6 ORDER BY n""",
     "clean_marketplace": _clean_sql(),
+    "marketplace_json_array": _clean_sql(),
     "marketplace_reject_counts": f"""
 SELECT reject_reason, CAST(COUNT(*) AS BIGINT) AS n FROM ({_flagged_sql()})
 WHERE reject_reason IS NOT NULL GROUP BY reject_reason ORDER BY n DESC, reject_reason""",
@@ -276,6 +286,7 @@ QUERIES = {
     "clean_marketplace": clean_marketplace,
     "marketplace_reject_counts": marketplace_reject_counts,
     "marketplace_quarantine": marketplace_quarantine,
+    "marketplace_json_array": marketplace_json_array,
     "upsert_marketplace": upsert_marketplace,
     "upsert_touched_buckets": upsert_touched_buckets,
 }

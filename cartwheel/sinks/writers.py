@@ -30,6 +30,33 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_json_array(df: DataFrame, path: str, indent: int = 2) -> str:
+    """K2 array form: each part file is one array of objects, indented by
+    ``indent``. Spark makes the objects' text; the rows of a partition only get
+    their brackets, commas and indentation on the way out."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"timestampFormat": ISO_TS, "pretty": "true"})
+    pad = " " * indent
+
+    def run(batches):
+        import pandas as pd
+
+        held = None  # the last object so far: whether a comma follows is not known yet
+        for pdf in batches:
+            out = []
+            for x in pdf["value"]:
+                start = "[\n" if held is None else ""
+                if held is not None:
+                    out.append(held + ",")
+                held = start + pad + x.replace("\n", "\n" + pad)
+            if out:
+                yield pd.DataFrame({"value": out})
+        if held is not None:
+            yield pd.DataFrame({"value": [held + "\n]"]})
+
+    df.select(text.alias("value")).mapInPandas(run, "value string").write.mode("overwrite").text(path)
+    return path
+
+
 def write_parquet(df: DataFrame, path: str) -> str:
     """K3/K9: Parquet, overwrite."""
     df.write.mode("overwrite").parquet(path)

@@ -96,3 +96,35 @@ def missing_pages(pages: DataFrame) -> DataFrame:
     low, high = F.col("run") * 1000 + 1, F.least(F.col("run") * 1000 + 1000, F.col("last"))
     numbers = spread.where(low <= high).select(F.explode(F.sequence(low, high)).alias("page"))
     return numbers.join(pages.select("page").distinct(), "page", "left_anti")
+
+
+def json_array_elements(lines: DataFrame, schema, indent: int = 2, options: dict[str, str] | None = None) -> DataFrame:
+    """Rows of the objects of indented JSON arrays, from their text cut behind
+    each object (column ``value``, see :func:`read_json_array`). What is cut is
+    the object up to its closing brace, after ``[`` or a comma; behind the last
+    one is only ``]``."""
+    body = F.regexp_replace("value", r"^[\s\[,]+", "")
+    objects = lines.select(body.alias("_cw_body")).where(F.col("_cw_body").startswith("{"))
+    parsed = F.from_json(F.concat("_cw_body", F.lit("}")), schema, {"mode": "FAILFAST", **(options or {})})
+    return objects.select(parsed.alias("_cw_row")).select("_cw_row.*")
+
+
+def read_json_array(spark: SparkSession, path: str, schema, indent: int = 2, options: dict[str, str] | None = None) -> DataFrame:
+    """S6/S10 array form: files that hold one array of objects, indented by
+    ``indent`` as JSON writers do. One large file is read by several tasks.
+
+    A JSON string cannot hold a line break, and inner objects are indented
+    deeper, so a line break, ``indent`` blanks and a closing brace end an object
+    of the array and nothing else. That is the line separator of a text scan,
+    which splits files by byte ranges and finds the next separator by itself.
+    An object that does not parse fails the read. Arrays without line breaks
+    have no such mark: they are read whole by ``read_json_typed(multiline=True)``.
+    """
+    lines = spark.read.option("lineSep", "\n" + " " * indent + "}").text(path)
+    return json_array_elements(lines, schema, indent, options)
+
+
+def stream_json_array(spark: SparkSession, path: str, schema, indent: int = 2, options: dict[str, str] | None = None) -> DataFrame:
+    """The same as a stream of files that are added to a folder."""
+    lines = spark.readStream.option("lineSep", "\n" + " " * indent + "}").text(path)
+    return json_array_elements(lines, schema, indent, options)

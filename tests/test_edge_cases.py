@@ -441,3 +441,44 @@ def test_build_session_keeps_running_session_settings(spark):
     assert again.sparkContext is spark.sparkContext
     assert (again.conf.get("spark.sql.shuffle.partitions"), again.sparkContext.master) == before
     assert again.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_one_large_json_array_is_read_by_several_tasks(spark):
+    """An indented array as other tools write it, with brackets and braces in its
+    strings and nested objects; and the same through the stream reader."""
+    import json
+
+    from cartwheel.session import scratch_path
+    from cartwheel.sinks.writers import write_json_array
+    from cartwheel.sources.files import read_json_array, stream_json_array
+
+    rows = [{"id": i, "note": '},{ [x] \\ "q"' * (i % 9), "in": {"a": i, "list": [{"b": 1}, {"b": i}]}} for i in range(3000)]
+    root = scratch_path(spark, "test-array")
+    spark.range(1).selectExpr("1 as x").write.parquet(f"{root}/make")  # the folder
+    with open(f"{root.removeprefix('file:')}/one.json", "w") as f:
+        json.dump(rows, f, indent=2)
+    with open(f"{root.removeprefix('file:')}/none.json", "w") as f:
+        json.dump([], f, indent=2)
+    schema = "id bigint, note string, in struct<a: bigint, list: array<struct<b: bigint>>>"
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = read_json_array(spark, f"{root}/*.json", schema)
+        tasks = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(tasks) > 10 and max(r["count"] for r in tasks) < 600
+        back = sorted(got.collect(), key=lambda r: r["id"])
+        assert [r.asDict(recursive=True) for r in back] == rows
+        again = read_json_array(spark, write_json_array(got, f"{root}/ours"), schema)
+        assert again.exceptAll(got).count() == 0 and again.count() == 3000
+        for name in (f for f in __import__("os").listdir(f"{root.removeprefix('file:')}/ours") if f.endswith(".txt")):
+            with open(f"{root.removeprefix('file:')}/ours/{name}") as f:
+                content = f.read()
+            assert not content or isinstance(json.loads(content), list)  # whole arrays, for any reader
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    q = stream_json_array(spark, f"{root}/ours", schema).writeStream.format("memory").queryName("arrays").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("arrays").count() == 3000
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        spark.createDataFrame([('[\n  {\n    "id": x',)], "value string").write.text(f"{root}/bad")
+        read_json_array(spark, f"{root}/bad", schema).collect()
