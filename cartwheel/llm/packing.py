@@ -67,7 +67,7 @@ def plan(
     documents: int | None = None,
     cost: int | None = None,
     rule: str = "norm",
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0),
 ) -> pd.DataFrame:
     """Where the pieces of each length go: rows (length, lo, hi, bin, per_bin,
     offset): the piece of rank r in [lo, hi) goes to bin + (r - lo) // per_bin
