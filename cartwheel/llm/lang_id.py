@@ -42,8 +42,12 @@ _MARK = "▁"
 
 
 def words(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased, cut at WORD letters."""
-    return _word.findall((text or "").lower())
+    """Runs of letters (Unicode category L), lower-cased, cut at WORD letters."""
+    found = _word.findall((text or "").lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # the pattern also takes number signs such as superscripts and Roman numerals
+    return [part for w in found for part in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
 class Vocabulary:

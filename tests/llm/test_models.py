@@ -126,3 +126,8 @@ def test_toxic_awkward_rows(spark, awkward, nothing):
     assert toxicity.score_toxicity(nothing, labels, F.lit(False), F.lit(True)).collect() == []
     none = toxicity.score_toxicity(awkward, labels.limit(0), F.lit(False), F.lit(True)).collect()
     assert {r["predicted"] for r in none} == {0}
+
+
+def test_signs_that_are_no_letters_have_no_language(spark):
+    """Number signs are word characters but not letters: a text of them alone is ``und``."""
+    assert lang_id.words("²½ Ⅷ ① ٣") == [] and lang_id.words("x² Aⅷb naïve ß") == ["x", "a", "b", "naïve", "ß"]
