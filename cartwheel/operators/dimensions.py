@@ -37,7 +37,7 @@ def resolve_key(found: Column, key: str, natural: str, policy: str) -> Column:
 
 
 def lookup_key(
-    facts: DataFrame, dim: DataFrame, natural: str, dim_natural: str, key: str, policy: str = "fail"
+    facts: DataFrame, dim: DataFrame, natural: str, dim_natural: str, key: str, policy: str = "fail", small: bool = False
 ) -> DataFrame:
     """Natural -> surrogate key by a join with the dimension.
 
@@ -46,11 +46,16 @@ def lookup_key(
     ``'unknown_member'`` maps it to -1. A dimension with two rows for one
     natural key fails. No size hint: adaptive execution broadcasts a dimension
     it has measured as small; otherwise NULL natural keys (unknown members)
-    are spread over the reducers instead of all hashing to one.
+    are spread over the reducers instead of all hashing to one. ``small`` is
+    for a dimension of a fixed list: it is broadcast, and the facts, which would
+    meet in as many reducers as it has rows, stay where they are.
     """
     nat = F.col(dim_natural).cast(facts.schema[natural].dataType)
     d = dim.where(nat.isNotNull()).select(nat.alias("_cw_nat"), F.col(key).alias("_cw_key"))
     d = unique_or_fail(d, "_cw_nat", f"dimension of {key}")
+    if small:
+        joined = facts.join(F.broadcast(d), facts[natural] == d["_cw_nat"], "left").drop("_cw_nat")
+        return joined.withColumn(key, resolve_key(F.col("_cw_key"), key, natural, policy)).drop("_cw_key")
     d = d.select(*spread_key_right(F.col("_cw_nat")), "_cw_key")
     joined = facts.select("*", *spread_key_left(facts, natural)).join(d, ["_cw_k", "_cw_s"], "left").drop("_cw_k", "_cw_s")
     return joined.withColumn(key, resolve_key(F.col("_cw_key"), key, natural, policy)).drop("_cw_key")

@@ -77,7 +77,7 @@ def dim_date_frame(dates: DataFrame) -> DataFrame:
 
 def dim_customer_frame(customers: DataFrame) -> DataFrame:
     """One current type 2 version per customer, valid from signup."""
-    numbered = dense_row_number(customers, ["customer_id"], "customer_key")
+    numbered = dense_row_number(customers, ["customer_id"], "customer_key", rows=customers.count())
     return numbered.select(
         "customer_key",
         "customer_id",
@@ -113,14 +113,19 @@ def fact_sales_frame(
     current = dim_customer.where(F.col("is_current") == 1)
     o = orders.select("order_id", "customer_id", "order_date", "status", "channel")
     o = lookup_key(o, current, "customer_id", "customer_id", "customer_key", policy)
-    o = lookup_key(o, dim_store, "channel", "channel_code", "store_key", policy)
+    o = lookup_key(o, dim_store, "channel", "channel_code", "store_key", policy, small=True)
+    o = o.select("order_id", date_key("order_date").alias("date_key"), "customer_key", "store_key", "status")
     p = products.select("product_id", "unit_cost")
-    f = items.join(o, "order_id").join(p, "product_id")
+    # the narrow items meet the products first, so neither join moves more than it needs;
+    # what follows from other columns is computed after the numbering
+    lines = items.select("order_item_id", "order_id", "product_id", "quantity", "unit_price").join(p, "product_id")
+    numbered = dense_row_number(lines.join(o, "order_id"), ["order_item_id"], "sales_key", rows=items.count())
     ext = F.col("quantity") * F.col("unit_price")
-    base = f.select(
+    return numbered.select(
+        "sales_key",
         "order_id",
         "order_item_id",
-        date_key("order_date").alias("date_key"),
+        "date_key",
         "customer_key",
         F.col("product_id").alias("product_key"),
         "store_key",
@@ -132,7 +137,6 @@ def fact_sales_frame(
         "unit_cost",
         (ext - F.col("quantity") * F.col("unit_cost")).cast("decimal(18,2)").alias("gross_margin"),
     )
-    return dense_row_number(base, ["order_item_id"], "sales_key").select("sales_key", *base.columns)
 
 
 def fact_returns_frame(
@@ -142,8 +146,7 @@ def fact_returns_frame(
     current = dim_customer.where(F.col("is_current") == 1)
     o = lookup_key(orders.select("order_id", "customer_id"), current, "customer_id", "customer_id", "customer_key", policy)
     f = returns.join(items.select("order_item_id", "order_id", "product_id", "quantity", "unit_price"), "order_item_id")
-    f = f.join(o, "order_id")
-    base = f.select(
+    base = f.join(o, "order_id").select(
         "return_id",
         "order_item_id",
         date_key("return_date").alias("date_key"),
@@ -153,7 +156,7 @@ def fact_returns_frame(
         F.col("quantity").alias("returned_quantity"),
         (F.col("quantity") * F.col("unit_price")).cast("decimal(18,2)").alias("refund_amount"),
     )
-    return dense_row_number(base, ["return_id"], "return_key").select("return_key", *base.columns)
+    return dense_row_number(base, ["return_id"], "return_key", rows=returns.count()).select("return_key", *base.columns)
 
 
 TABLES = ["dim_date", "dim_customer", "dim_product", "dim_store", "dim_promotion", "fact_sales", "fact_returns"]
@@ -456,14 +459,16 @@ def star_declining_by_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per channel and category, every month's revenue against the month
     with sales before it, where it fell."""
     t = build(spark, sf_dir)
-    per = _sales(t).groupBy("store_key", "product_key", "date_key").agg(F.sum("extended_price").alias("rev"))
-    month = t["dim_date"].select("date_key", month_bucket("full_date").alias("month"))
-    monthly = (
-        attach_calendar(per, month)
+    # sales hardly repeat a (store, product, day): the category comes first, so the groups are few
+    per = (
+        _sales(t)
+        .select("store_key", "product_key", "date_key", "extended_price")
         .join(t["dim_product"].select("product_key", "category"), "product_key")
-        .groupBy("store_key", "category", "month")
-        .agg(F.sum("rev").alias("rev"))
+        .groupBy("store_key", "category", "date_key")
+        .agg(F.sum("extended_price").alias("rev"))
     )
+    month = t["dim_date"].select("date_key", month_bucket("full_date").alias("month"))
+    monthly = attach_calendar(per, month).groupBy("store_key", "category", "month").agg(F.sum("rev").alias("rev"))
     w = Window.partitionBy("store_key", "category").orderBy("month")
     prior = monthly.withColumn("prior_month", F.lag("month").over(w)).withColumn("prior_rev", F.lag("rev").over(w))
     fell = prior.where(F.col("rev") < F.col("prior_rev"))

@@ -26,21 +26,28 @@ BUILD_SECONDS: dict[str, float] = {}
 
 
 def materialized(
-    spark: SparkSession, key: str, build, fmt: str = "parquet", schema=None, refresh: bool = False
+    spark: SparkSession, key: str, build, fmt: str = "parquet", schema=None, refresh: bool = False, stored: bool = False,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """The table for ``key``: built and written the first time, or again with ``refresh``.
 
     Every build goes to a new path and is used only when its write has
     returned, so a failed rebuild leaves the earlier table in use. ``fmt`` is
     the file format (``parquet``, or ``json`` for raw landed records);
-    ``schema`` is applied when reading back a schema-less format.
+    ``schema`` is applied when reading back a schema-less format, ``options``
+    when writing. With ``stored`` the build has written its rows itself (as the
+    numbering does) and its frame is kept without a second copy.
     """
     frame_key = (spark.sparkContext.applicationId, key, id(spark))  # a frame belongs to one session
     if refresh or frame_key not in _FRAMES:
         digest = hashlib.sha1(key.encode()).hexdigest()[:16]
         path = scratch_path(spark, "tables", digest)
         began = time.time()
-        build().write.format(fmt).save(path)
+        if stored:
+            _FRAMES[frame_key] = build()
+            BUILD_SECONDS[key] = round(time.time() - began, 3)
+            return _FRAMES[frame_key]
+        build().write.format(fmt).options(**(options or {})).save(path)
         BUILD_SECONDS[key] = round(time.time() - began, 3)
         reader = spark.read.format(fmt)
         if schema is not None:
