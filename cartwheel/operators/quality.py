@@ -66,36 +66,26 @@ class TableRules:
 def check_table(df: DataFrame, rules: TableRules, parents: dict[str, DataFrame]) -> DataFrame:
     """(table_name, rule, violations) rows for one table.
 
-    The first unique key (the primary key) groups the rows once; the groups
-    carry the NOT NULL and CHECK counts, so those and that key's repeats come
-    from one scan and one shuffle whose map side reduces a hot key. A CHECK
-    that evaluates to NULL passes, as in SQL; UNIQUE counts rows beyond the
-    first per non-NULL key. A foreign key counts non-NULL child keys missing
-    from the parent: the child keys are counted first (one row per key and map
-    task), then anti-joined.
+    The NOT NULL and CHECK counts are one pass without groups. Each unique key
+    groups its own columns only: about every row is a group of its own, so a
+    group that carried the counts would hold the table in hash tables. The map
+    side reduces a hot key. A CHECK that evaluates to NULL passes, as in SQL;
+    UNIQUE counts rows beyond the first per non-NULL key. A foreign key counts
+    non-NULL child keys missing from the parent: the child keys are counted
+    first (one row per key and map task), then anti-joined.
     """
     counted = [(f"not_null({c})", F.col(c).isNull()) for c in rules.not_null]
     counted += [(f"check({name})", ~cond) for name, cond in rules.checks.items()]
     names = [name for name, _ in counted]
     sums = [F.count_if(cond).alias(f"r{i}") for i, (_, cond) in enumerate(counted)]
-    if rules.unique:
-        key = rules.unique[0]
-        per_key = df.groupBy(*key).agg(*sums, F.count(F.lit(1)).alias("_n"))
-        whole = F.lit(True)
-        for c in key:
-            whole = whole & F.col(c).isNotNull()
-        repeats = F.sum(F.when(whole, F.col("_n") - 1).otherwise(0)).alias(f"r{len(names)}")
-        totals = per_key.agg(*[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(names))], repeats)
-        names.append(f"unique({','.join(key)})")
-    else:
-        totals = df.agg(*sums)
     rule = [
-        F.struct(F.lit(name).alias("rule"), F.coalesce(F.col(f"r{i}"), F.lit(0)).cast("bigint").alias("violations"))
-        for i, name in enumerate(names)
+        F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").cast("bigint").alias("violations")) for i, name in enumerate(names)
     ]
-    parts = [totals.select(F.explode(F.array(*rule)).alias("x")).select("x.rule", "x.violations")]
-    for key in rules.unique[1:]:
-        dup = df.na.drop(subset=key).groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    parts = [df.agg(*sums).select(F.explode(F.array(*rule)).alias("x")).select("x.rule", "x.violations")] if rule else []
+    for i, key in enumerate(rules.unique):
+        whole = " AND ".join(f"`{c}` IS NOT NULL" for c in key)
+        keyed = df.where(whole) if i == 0 else df.na.drop(subset=key)
+        dup = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
         many = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("violations")
         parts.append(dup.agg(many).select(F.lit(f"unique({','.join(key)})").alias("rule"), "violations"))
     for col, parent, pcol in rules.foreign_keys:
