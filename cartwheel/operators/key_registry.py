@@ -43,7 +43,7 @@ class KeyRegistry:
             new = new.join(known.select(*self.natural), self.natural, "left_anti")
         # every number up to the registry's rows is given: its manifest says where to go on
         block = self.table.rows()
-        self.table.append(dense_row_number(new, self.natural, self.key, start=block + 1), tag=load)
+        self.table.append(dense_row_number(new, self.natural, self.key, start=block + 1, rows=asked.count()), tag=load)
         return self.table.rows() - block
 
     def attach(self, df: DataFrame) -> DataFrame:
