@@ -3,10 +3,11 @@
 ``build`` derives the five dimensions and two facts from the OLTP tables and
 writes each once per application as a Parquet table in the checkpoint
 folder (``refresh=True`` rebuilds them all, K10); every star question then
-starts from Parquet scans. No dimension carries a broadcast hint: adaptive
-execution measures each and broadcasts the small ones. The star
-questions aggregate the fact on its foreign keys *before* attaching the
-dimension attributes, so the joins see one row per key, not per sale.
+starts from Parquet scans. Only the fixed list of stores carries a broadcast
+hint: adaptive execution measures the others and broadcasts the small ones. The
+star questions aggregate the fact on its foreign keys *before* attaching the
+dimension attributes, so the joins see one row per key, not per sale, except
+where about every sale is a key of its own (declining categories).
 """
 
 from __future__ import annotations
