@@ -39,31 +39,41 @@ UNITS = (
     "liter liters litre litres gallon gallons second seconds minute minutes hour hours day days week weeks month "
     "months year years percent cent cents dollar dollars euro euros degree degrees"
 ).split()
-#: White space other than one plain space.
-_SPACES = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*| [\s\p{Z}]+"
 _BREAK = rf"[^\p{{L}}\p{{N}}{NAME}{NUMBER}{UNIT}]+"
 
 
-def _tokens(s: Column) -> Column:
-    """Words of a lower-cased string; the empty text has none."""
-    edge = F.regexp_replace(F.lower(s), rf"^{_BREAK}|{_BREAK}$", "")
-    return F.when(edge == "", F.array().cast("array<string>")).otherwise(F.split(edge, _BREAK))
+def _split(s: Column) -> Column:
+    """Words of a lower-cased string; the first and the last may be empty."""
+    return F.split(F.lower(s), _BREAK)
 
 
-def templates(text: Column) -> tuple[Column, Column]:
-    """(canonical, original): two token arrays of one length, whatever the
-    layout. Numbers are runs of digits (separators between digits are dropped
-    first), names are capitalised words wherever they stand. Where lower-casing
-    splits a name, the canonical tokens are the original ones."""
-    clean = F.regexp_replace(F.translate(text, NAME + NUMBER + UNIT, "   "), _SPACES, " ")
-    has_digit = clean.rlike(r"\p{N}")
-    joined = F.regexp_replace(clean, r"(?<=\p{N})[.,](?=\p{N})", "")
-    spaced = F.when(has_digit, F.regexp_replace(joined, r"(\p{N}+)", " $1 ")).otherwise(clean)
-    named = F.regexp_replace(spaced, r"(?<![\p{L}\p{N}])\p{Lu}\p{Ll}+(?![\p{L}\p{N}])", NAME)
-    numbered = F.regexp_replace(named, r"\p{N}+", NUMBER)
-    measured = F.regexp_replace(numbered, rf"(?i)(?<={NUMBER} {{1,3}})({'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
-    canon, orig = _tokens(F.when(has_digit, measured).otherwise(named)), _tokens(spaced)
-    return F.when(F.size(canon) == F.size(orig), canon).otherwise(orig), orig
+def _inner(tokens: str) -> Column:
+    """Such words without the empty ones at the edges; the empty text has none."""
+    head, tail = ((F.element_at(tokens, k) == "").cast("int") for k in (1, -1))
+    return F.slice(tokens, head + 1, F.greatest(F.size(tokens) - head - tail, F.lit(0)))
+
+
+def with_templates(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with c (canonical) and o (original), two token arrays of one
+    length, whatever the layout, in place of its column ``text``. Numbers are
+    runs of digits (separators between digits are dropped first), names are
+    capitalised words wherever they stand. Where lower-casing splits a name,
+    the canonical tokens are the original ones.
+
+    Each step is a projection of its own, so no expression over a whole text
+    stands (and is evaluated) twice.
+    """
+    t, kept = F.col(text), [x for x in df.columns if x != text]
+    marks = t.contains(NAME) | t.contains(NUMBER) | t.contains(UNIT)
+    clean = df.select(*kept, F.when(marks, F.translate(t, NAME + NUMBER + UNIT, "   ")).otherwise(t).alias(text))
+    spaced = F.regexp_replace(F.regexp_replace(text, r"[.,](?<=\p{N}[.,])(?=\p{N})", ""), r"\p{N}+", " $0 ")
+    numbered = F.regexp_replace(text, r"\p{N}+(?:(?<=\p{N})[.,]\p{N}+)*", f" {NUMBER} ")
+    named = F.regexp_replace(numbered, r"(?=\p{Lu})(?<![\p{L}\p{N}])\p{Lu}\p{Ll}++(?![\p{L}\p{N}])", NAME)
+    unit = rf"(?i){NUMBER}[\s\p{{Z}}]+(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])"
+    measured = F.regexp_replace(named, unit, f"{NUMBER} {UNIT}")
+    cut = clean.select(*kept, _split(measured).alias("c"), _split(spaced).alias("o"))
+    cut = cut.select(*kept, _inner("c").alias("c"), _inner("o").alias("o"))
+    return cut.select(*kept, F.when(F.size("c") == F.size("o"), F.col("c")).otherwise(F.col("o")).alias("c"), "o")
 
 
 def _starts(tokens: Column, words: int) -> Column:
@@ -72,10 +82,10 @@ def _starts(tokens: Column, words: int) -> Column:
     return F.when(F.size(tokens) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
-def _window_hashes(canon: Column, orig: Column, words: int) -> Column:
-    """For each window the hashes of its template and its literal tokens (one where they agree)."""
-    both = lambda i: F.array(*[F.xxhash64(F.slice(c, i + 1, words)) for c in (canon, orig)])
-    return F.transform(_starts(orig, words), lambda i: F.array_distinct(both(i)))
+def _window_hashes(tokens: str, words: int) -> Column:
+    """The hash of each window; equal to that of the window as an array (absent tokens do not count)."""
+    at = lambda i: [F.get(tokens, i + k) for k in range(words)]
+    return F.transform(_starts(F.col(tokens), words), lambda i: F.xxhash64(*at(i)))
 
 
 def _literals(window: Column) -> Column:
@@ -86,8 +96,7 @@ def benchmark_windows(benchmark: DataFrame, words: int = WORDS, text: str = "tex
     """(item_id, ipos, canon, orig, typed, h, literal_h, n_typed, n_all): the
     windows of every item. Those with enough literal tokens are typed: their
     templates count as well; n_typed and n_all count windows."""
-    canon, orig = templates(text_of(text))
-    rows = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), canon.alias("c"), orig.alias("o"))
+    rows = with_templates(benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), text_of(text).alias("t")), "t")
     at = rows.select("*", F.explode(_starts(F.col("o"), words)).alias("ipos"))
     cut = at.select(
         "item_id", "ipos", F.slice("c", F.col("ipos") + 1, words).alias("canon"), F.slice("o", F.col("ipos") + 1, words).alias("orig")
@@ -105,17 +114,22 @@ def _limited(small: DataFrame, most: int) -> DataFrame:
     return F.broadcast(small) if small.count() <= most else small
 
 
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    """(t, a, b): every text and its key."""
+    rows = docs.select(text_of(text).alias("t"))
+    return rows.select("t", F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"))
+
+
 def _hits(docs: DataFrame, hashes: DataFrame, words: int, text: str) -> DataFrame:
     """(a, b, pos, h): texts (by key) and places with a window among ``hashes``; the texts do not move."""
-    rows = docs.select(text_of(text).alias("t"))
-    canon, orig = templates(F.col("t"))
-    rows = rows.select(
-        F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"), canon.alias("c"), orig.alias("o")
-    )
-    each = rows.select("a", "b", F.posexplode(_window_hashes(F.col("c"), F.col("o"), words)).alias("pos", "hs"))
-    each = each.select("a", "b", "pos", F.explode("hs").alias("h"))
+    rows = with_templates(_keyed(docs, text), "t")
+    # the windows of the templates, then those of the words; exploded as an expression, because for a
+    # column Spark infers a filter that, pushed down, evaluates all of the above again
+    both = F.concat(_window_hashes("c", words), _window_hashes("o", words))
+    each = rows.select("a", "b", F.size(_starts(F.col("o"), words)).alias("n"), F.posexplode(both).alias("place", "h"))
+    hit = each.join(_limited(hashes, BROADCAST_WINDOWS), "h").select("a", "b", (F.col("place") % F.col("n")).alias("pos"), "h")
     # equal texts share a key; a place counts once
-    hit = each.join(_limited(hashes, BROADCAST_WINDOWS), "h").select("a", "b", "pos", "h").distinct()
+    hit = hit.distinct()
     return saved(hit, "bench-hits")
 
 
@@ -153,13 +167,9 @@ def contaminated(
     near = _covered(hits.join(keys, "h").select("a", "b", *counts, "literal"), coverage)
     near = saved(near.select("a", "b").distinct(), "bench-near")
     places = hits.join(near, ["a", "b"]).groupBy("a", "b").agg(F.collect_set("pos").alias("places"))
-    rows = docs.select(text_of(text).alias("t"))
-    keyed = rows.select("t", F.xxhash64("t").alias("a"), F.xxhash64(F.lit("bench"), F.col("t")).alias("b"))
-    canon, orig = templates(F.col("t"))
     # equal texts give equal rows: one of them is enough
-    own = keyed.join(_limited(near, BROADCAST_KEYS), ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
-    own = own.join(places, ["a", "b"])
-    own = own.select("a", "b", "places", canon.alias("c"), orig.alias("o"))
+    own = _keyed(docs, text).join(_limited(near, BROADCAST_KEYS), ["a", "b"], "left_semi").dropDuplicates(["a", "b"])
+    own = with_templates(own.join(places, ["a", "b"]), "t")
     at = own.select(
         "a",
         "b",
