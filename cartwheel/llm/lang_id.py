@@ -11,6 +11,7 @@ the model (vocabulary size times languages) comes to the driver.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections import Counter, defaultdict
 
@@ -36,6 +37,8 @@ SCALE = 100.0
 #: Distinct words a worker remembers before it starts anew.
 KEPT_WORDS = 400_000
 FLUSH = 300_000
+#: Words of texts a worker reads ahead before it scores those texts.
+AHEAD = 250_000
 
 _word = re.compile(r"[^\W\d_]{1,%d}" % WORD)
 _MARK = "▁"
@@ -271,24 +274,34 @@ def predict(docs: DataFrame, langs: list[str], model: np.ndarray, vocabulary_pat
         place: dict[str, int] = defaultdict()
         place.default_factory = place.__len__
         known = np.zeros((0, len(langs)))
-        for batch in batches:
-            if len(place) > KEPT_WORDS:
-                place.clear()
-                known = known[:0]
-            at = [
-                np.fromiter(map(place.__getitem__, words(t.as_py())), np.int64)
-                for t in batch.column(names.index(text))
-            ]
-            new = list(place)[len(known) :]
+
+        def scored(at):
+            nonlocal known
+            new = list(itertools.islice(place, len(known), None))
             if new and langs:
                 known = np.concatenate((known, score_words(vocab, new, model)))
-            pred, score = [UNKNOWN] * len(at), np.zeros(len(at))
-            for i, a in enumerate(at):
+            for a in at:
                 if len(a) and langs:
                     total = known[a].sum(axis=0)
                     p = np.exp(total - total.max())
                     best = int(p.argmax())  # a tie goes to the first language by name
-                    pred[i], score[i] = langs[best], p[best] / p.sum()
+                    yield langs[best], p[best] / p.sum()
+                else:
+                    yield UNKNOWN, 0.0
+            if len(place) > KEPT_WORDS:
+                place.clear()
+                known = known[:0].copy()
+
+        for batch in batches:
+            said, at, ahead = [], [], 0
+            for t in batch.column(names.index(text)):
+                at.append(np.fromiter(map(place.__getitem__, words(t.as_py())), np.int64))
+                ahead += len(at[-1])
+                if ahead >= AHEAD:
+                    said += scored(at)
+                    at, ahead = [], 0
+            said += scored(at)
+            pred, score = [x for x, _ in said], [x for _, x in said]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())],
                 names=[*names, "lang_pred", "score"],

@@ -18,9 +18,11 @@ import itertools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cartwheel.llm import graph
 from cartwheel.llm.common import read_documents, saved, text_of, whole_row
@@ -59,16 +61,23 @@ def fingerprint(text: str | None, n: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, n: int = SHINGLE_WORDS, text: str = "text") -> DataFrame:
-    """(doc_id, fp bigint) for every row; a null text counts as empty."""
+def _add_fingerprints(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with their last column, the text, replaced by its fingerprint.
+    A worker holds one text at a time beside the batch."""
+    schema = StructType([*[StructField(f.name, f.dataType) for f in rows.schema.fields[:-1]], StructField("fp", LongType())])
 
     def run(batches):
-        for pdf in batches:
-            fp = np.array([fingerprint(t, n) for t in pdf["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "fp": fp})
+        for batch in batches:
+            *kept, texts = batch.columns
+            fp = np.fromiter((fingerprint(t.as_py(), n) for t in texts), np.uint64, len(texts))
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(fp.view(np.int64))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(text).alias("text"))
-    return rows.mapInPandas(run, "doc_id bigint, fp bigint")
+def fingerprints(docs: DataFrame, n: int = SHINGLE_WORDS, text: str = "text") -> DataFrame:
+    """(doc_id, fp bigint) for every row; a null text counts as empty."""
+    return _add_fingerprints(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of(text).alias("text")), n)
 
 
 def _cuts(bits: list[int], parts: int, keep: int) -> list[tuple[int, list[int]]]:
@@ -221,14 +230,8 @@ def keep_one(
     body = text_of(text)
     key = [F.xxhash64(body).alias("_r"), F.xxhash64(F.col("doc_id").cast("bigint"), body).alias("_q")]
 
-    def run(batches):
-        for pdf in batches:
-            pdf["fp"] = np.array([fingerprint(t, n) for t in pdf["text"]], np.uint64).view(np.int64)
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-            yield pdf[["doc_id", "_r", "_q", "fp"]]
-
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *key, body.alias("text"))
-    fps = saved(rows.mapInPandas(run, "doc_id bigint, _r bigint, _q bigint, fp bigint"), "simhash-rows")
+    fps = saved(_add_fingerprints(rows, n), "simhash-rows")
     of = _components(fps.select("fp").distinct(), max_bits, group)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_r", "_q"))
     per_fp = saved(fps.groupBy("fp").agg(best.alias("best")), "simhash-best-of-fp")
